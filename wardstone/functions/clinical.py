@@ -72,7 +72,8 @@ def comorbidity_count(*codes: Column) -> Column:
 
 
 def medications_with_status(statuses: list[str], columns: list[str]) -> Column:
-    return reduce(add, [flag(F.col(c).isin(statuses)) for c in columns])
+    listed = ", ".join(f"'{status}'" for status in statuses)
+    return F.expr(" + ".join(f"CAST(coalesce({c} IN ({listed}), false) AS INT)" for c in columns))
 
 
 def medication_ordinal(status: Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from wardstone import schema as S
 from wardstone.functions import clinical as C
-from wardstone.functions.rates import count_where, fraction, rate_pct, ratio_2dp
+from wardstone.functions.rates import count_where, fraction, integer_div, rate_pct, ratio_2dp
 
 def is_positive() -> Column:
     return F.col("readmitted") == S.POSITIVE_OUTCOME
@@ -49,7 +49,7 @@ def reference_rates(df: DataFrame, dim: str, min_count: int = 0) -> DataFrame:
     """Rate over all rows, and the plain mean of the group rates, from one grouping."""
     grouped = df.groupBy(dim).agg(F.count("*").alias("n"), count_where(is_positive()).alias("pos"))
     kept = F.col("n") > min_count
-    rate_cents = F.when(kept, (rate_pct(F.col("pos"), F.col("n")) * 100).cast("long"))
+    rate_cents = F.when(kept, integer_div(F.col("pos") * 20000 + F.col("n"), F.col("n") * 2))
     return grouped.agg(
         rate_pct(F.sum("pos"), F.sum("n")).alias("overall_rate"),
         (fraction(F.sum(rate_cents), F.count(rate_cents)) / 100.0).alias("mean_of_group_rates"),

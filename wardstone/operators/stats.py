@@ -163,3 +163,16 @@ def score_histogram(df: DataFrame, score: str, by: str, bins: int = 50) -> DataF
         by, "bin", (start + width * F.col("bin")).alias("bin_start"), filled.alias("count"),
         (filled.cast("double") / (F.col("n").cast("double") * width)).alias("density"),
     )
+
+
+def standardize(df: DataFrame, columns: list[str], keep: list[str]) -> DataFrame:
+    """(x − mean) / population deviation; a constant column gives NULL."""
+    sums = [_sum(F.col(c)).alias(f"s_{c}") for c in columns] + [_sum(_product(c, c)).alias(f"q_{c}") for c in columns]
+    stats = df.agg(F.struct(exact(F.count("*")).alias("n"), *sums).alias("t")).scalar()
+
+    def z(c: str) -> Column:
+        n, s, q = (stats.getField(f) for f in ("n", f"s_{c}", f"q_{c}"))
+        deviation = F.sqrt((n * q - s * s).cast("double")) / n.cast("double")
+        return (F.col(c).cast("double") - s.cast("double") / n.cast("double")) / F.nullif(deviation, F.lit(0.0))
+
+    return df.select(*keep, *[z(c).alias(c) for c in columns])

@@ -1,6 +1,13 @@
 """All named queries; importing this module registers them."""
 
-from wardstone.plans import profiling, segment_rates  # noqa: F401
+from wardstone.plans import (  # noqa: F401
+    evaluation,
+    feature_queries,
+    profiling,
+    scoring_queries,
+    segment_rates,
+    statistics,
+)
 from wardstone.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -7,7 +7,7 @@ SQL engine. The orders side may be a stream; the other two tables are static.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardstone import schema as S
@@ -37,19 +37,22 @@ _COMMON_DRUGS = {
 }
 
 
-def _draw(multiplier: int) -> Column:
+def _draw(multiplier: int) -> str:
     """Per-mille draw from the order key."""
-    return (F.col("o_orderkey") * multiplier + 12345) % 1000003 % 1000
+    return f"((o_orderkey * {multiplier} + 12345) % 1000003 % 1000)"
 
 
-def _choose(draw: Column, cuts: list[tuple], rest) -> Column:
-    chain = F.when(draw < cuts[0][0], cuts[0][1])
-    for bound, value in cuts[1:]:
-        chain = chain.when(draw < bound, value)
-    return chain.otherwise(rest)
+def _literal(value: int | str) -> str:
+    return f"'{value}'" if isinstance(value, str) else str(value)
 
 
-def _medication(name: str) -> Column:
+def _choose(draw: str, cuts: list[tuple], rest: int | str) -> str:
+    """First value whose bound lies above the draw."""
+    arms = " ".join(f"WHEN {draw} < {bound} THEN {_literal(value)}" for bound, value in cuts)
+    return f"CASE {arms} ELSE {_literal(rest)} END"
+
+
+def _medication(name: str) -> str:
     draw = _draw(3571 + 104 * S.MEDICATIONS.index(name))
     cuts = zip(_COMMON_DRUGS.get(name, _RARE_DRUG), S.MEDICATION_STATUSES)
     return _choose(draw, list(cuts), S.MEDICATION_STATUSES[-1])
@@ -70,53 +73,55 @@ def derive_encounters(orders: DataFrame, customer: DataFrame, lineitem: DataFram
     base = (
         orders.join(customer.select("c_custkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
         .join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-        .withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in ("n_items", "qty", "n_parts")})
+        .fillna(0, ["n_items", "qty", "n_parts"])
     )
-    prior = _draw(7919)
-    inpatient = _choose(prior, [(660, F.lit(0)), (850, F.lit(1)), (930, F.lit(2))], prior % 4 + 3)
-    decade = F.col("o_custkey") * 31 % 97 % 10 * 10
-    race = F.when(F.col("o_custkey") % 50 == 0, "?")
-    for segment, value in _RACES.items():
-        race = race.when(F.col("c_mktsegment") == segment, value)
-    outpatient, emergency = _draw(5557), _draw(3301)
+    prior, outpatient, emergency, outcome = (_draw(m) for m in (7919, 5557, 3301, 104729))
+    inpatient = f"CASE WHEN {prior} < 660 THEN 0 WHEN {prior} < 850 THEN 1 WHEN {prior} < 930 THEN 2 ELSE {prior} % 4 + 3 END"
+    decade = "(o_custkey * 31 % 97 % 10 * 10)"
+    races = " ".join(f"WHEN c_mktsegment = '{segment}' THEN '{race}'" for segment, race in _RACES.items())
     columns = {
-        "encounter_id": F.col("o_orderkey") + 1,
-        "patient_nbr": F.col("o_custkey") * 10 + F.col("o_orderkey") % 10,
-        "encounter_ts": F.col("o_orderdate"),
-        "race": race.otherwise("Other"),
-        "gender": F.when(F.col("o_custkey") % 499 == 7, S.INVALID_GENDER)
-        .when(F.col("o_custkey") % 2 == 0, "Female")
-        .otherwise("Male"),
-        "age": F.format_string("[%d-%d)", decade, decade + 10),
+        "encounter_id": "o_orderkey + 1",
+        "patient_nbr": "o_custkey * 10 + o_orderkey % 10",
+        "encounter_ts": "o_orderdate",
+        "race": f"CASE WHEN o_custkey % 50 = 0 THEN '?' {races} ELSE 'Other' END",
+        "gender": f"CASE WHEN o_custkey % 499 = 7 THEN '{S.INVALID_GENDER}' WHEN o_custkey % 2 = 0 THEN 'Female' ELSE 'Male' END",
+        "age": f"concat('[', {decade}, '-', {decade} + 10, ')')",
         "weight": _choose(_draw(611), [(970, "?")], "[75-100)"),
-        "admission_type_id": F.substring("o_orderpriority", 1, 1),
+        "admission_type_id": "substring(o_orderpriority, 1, 1)",
         "discharge_disposition_id": _choose(_draw(2741), *_DISPOSITIONS),
         "admission_source_id": _choose(_draw(4447), *_SOURCES),
-        "time_in_hospital": _draw(6133) % 14 + 1,
+        "time_in_hospital": f"{_draw(6133)} % 14 + 1",
         "payer_code": _choose(_draw(887), [(400, "?")], "MC"),
         "medical_specialty": _choose(_draw(1429), *_SPECIALTIES),
-        "num_lab_procedures": F.col("qty") % 132 + 1,
-        "num_procedures": F.col("n_items") % 7,
-        "num_medications": (F.col("n_parts") * 5 + _draw(9001) % 11) % 81 + 1,
-        "number_outpatient": F.when(outpatient < 835, 0).otherwise(outpatient % 12),
-        "number_emergency": F.when(emergency < 890, 0).otherwise(emergency % 8),
+        "num_lab_procedures": "qty % 132 + 1",
+        "num_procedures": "n_items % 7",
+        "num_medications": f"(n_parts * 5 + {_draw(9001)} % 11) % 81 + 1",
+        "number_outpatient": f"CASE WHEN {outpatient} < 835 THEN 0 ELSE {outpatient} % 12 END",
+        "number_emergency": f"CASE WHEN {emergency} < 890 THEN 0 ELSE {emergency} % 8 END",
         "number_inpatient": inpatient,
         "diag_1": _choose(_draw(8081), *_DIAG_1),
         "diag_2": _choose(_draw(8087), *_DIAG_2),
         "diag_3": _choose(_draw(8093), *_DIAG_3),
-        "number_diagnoses": F.least(F.col("n_items") + 2, F.lit(9)),
+        "number_diagnoses": "least(n_items + 2, 9)",
         "max_glu_serum": _choose(_draw(1033), *_GLUCOSE),
         "A1Cresult": _choose(_draw(1039), *_A1C),
         **{name: _medication(name) for name in S.MEDICATIONS},
-        "readmitted": F.when(_draw(104729) < 85 + 50 * F.least(inpatient, F.lit(3)), "<30")
-        .when(_draw(104729) < 450, ">30")
-        .otherwise("NO"),
+        "readmitted": f"CASE WHEN {outcome} < 85 + 50 * least({inpatient}, 3) THEN '<30' WHEN {outcome} < 450 THEN '>30' ELSE 'NO' END",
     }
-    return base.select(*[columns[f.name].cast(f.dataType).alias(f.name) for f in S.ENCOUNTER_SCHEMA])
+    types = {field.name: field.dataType.simpleString() for field in S.ENCOUNTER_SCHEMA}
+    return base.selectExpr(*[f"CAST({columns[c]} AS {types[c]}) AS {c}" for c in S.ENCOUNTER_COLUMNS])
+
+
+# declared, so that building a query reads no file footers
+_TABLE_SCHEMAS = {
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "customer": "c_custkey BIGINT, c_mktsegment STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_quantity DOUBLE",
+}
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(_TABLE_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def raw_encounters(spark: SparkSession, folder: str) -> DataFrame:
@@ -129,6 +134,7 @@ def encounters(spark: SparkSession, folder: str) -> DataFrame:
 
 def encounter_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The same table with new orders arriving as a stream of files."""
-    schema = _table(spark, folder, "orders").schema
-    orders = spark.readStream.schema(schema).option("pathGlobFilter", "orders*.parquet").parquet(folder)
+    orders = (
+        spark.readStream.schema(_TABLE_SCHEMAS["orders"]).option("pathGlobFilter", "orders*.parquet").parquet(folder)
+    )
     return normalize(derive_encounters(orders, _table(spark, folder, "customer"), _table(spark, folder, "lineitem")))

@@ -129,22 +129,37 @@ def category_levels(df: DataFrame, columns: list[str], max_levels: int = MAX_LEV
     return {c: sorted(v) for c, v in levels.items()}
 
 
-def one_hot(df: DataFrame, levels: dict[str, list[str]], sanitize: bool = False) -> DataFrame:
-    """0/1 column per level but the first; an unseen level is 0 everywhere."""
-    added = {}
+def _quoted(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def level_columns(levels: dict[str, list[str]], sanitize: bool = False) -> dict[str, str]:
+    """Name and SQL condition of the 0/1 column of every level but the first."""
+    out = {}
     for column, values in levels.items():
         for value in values[1:]:
             name = f"{column}_{value}"
-            added[safe_name(name) if sanitize else name] = C.flag(as_category(F.col(column)) == value)
-    return df.withColumns(added).drop(*levels)
+            out[safe_name(name) if sanitize else name] = (
+                f"coalesce(cast(`{column}` as string), '{S.UNKNOWN}') = {_quoted(value)}"
+            )
+    return out
+
+
+def one_hot(df: DataFrame, levels: dict[str, list[str]], sanitize: bool = False) -> DataFrame:
+    """0/1 column per level but the first; an unseen level is 0 everywhere."""
+    kept = [f"`{c}`" for c in df.columns if c not in levels]
+    added = [f"cast({test} as int) AS `{name}`" for name, test in level_columns(levels, sanitize).items()]
+    return df.selectExpr(*kept, *added)
 
 
 def fill_medians(df: DataFrame, columns: list[str]) -> DataFrame:
     """NULLs replaced by the column's exact median over ``df``."""
     long = quantiles(df, columns, 0.5)
-    wide = long.agg(*[F.max(F.when(F.col("measure") == c, F.col("quantile"))).alias(c) for c in columns])
-    medians = wide.select(F.struct(*columns).alias("m")).scalar()
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), medians.getField(c)) for c in columns})
+    medians = long.agg(F.map_from_entries(F.collect_list(F.struct("measure", "quantile"))).alias("m"))
+    kept = [f"`{c}`" for c in df.columns if c not in columns]
+    filled = [f"coalesce(cast(`{c}` as double), _medians['{c}']) AS `{c}`" for c in columns]
+    return df.withColumn("_medians", medians.scalar()).selectExpr(*kept, *filled)
 
 
 def model_ready(
@@ -157,15 +172,10 @@ def model_ready(
     if spec.fill == "median":
         built = fill_medians(built, spec.numeric)
     else:
-        built = built.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in spec.numeric})
+        built = built.fillna(0, spec.numeric)
     return one_hot(built, levels, sanitize=spec.name == ORDINAL.name)
 
 
-def _quoted(text: str) -> str:
-    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
-    return f"'{escaped}'"
-
-
 @dataclass(frozen=True)
 class Encoder:
     """A fitted, savable encoding of encounters into ``features``, and the names of its slots."""
@@ -199,11 +209,9 @@ def fit_encoder(train: DataFrame, spec: FeatureSpec = CLINICAL) -> Encoder:
     for column in spec.numeric:
         names.append(column)
         parts.append(f"coalesce(cast(`{column}` as double), {float(fills.get(column, 0.0))!r}D)")
-    for column, values in levels.items():
-        for value in values[1:]:
-            names.append(safe_name(f"{column}_{value}"))
-            test = f"coalesce(cast(`{column}` as string), '{S.UNKNOWN}') = {_quoted(value)}"
-            parts.append(f"cast({test} as double)")
+    for name, test in level_columns(levels, sanitize=True).items():
+        names.append(name)
+        parts.append(f"cast({test} as double)")
     slots = [f"f__{i}" for i in range(len(parts))]
     listed = ", ".join(f"{part} AS {slot}" for part, slot in zip(parts, slots))
     encode = SQLTransformer(statement=f"SELECT *, {listed} FROM __THIS__")

@@ -89,15 +89,15 @@ def multi_encounter_patients(df: DataFrame, key: str = "patient_nbr", limit: int
 
 
 def first_encounter(df: DataFrame, key: str = "patient_nbr", order: str = "encounter_id") -> DataFrame:
-    """The row with the smallest ``order`` value of each ``key``.
+    """The rows with the smallest ``order`` value of each ``key``.
 
-    One scan and one shuffle, no self-join: each map task reduces a key to a
-    single row first, so a key with a large part of the table is not gathered
-    anywhere. One aggregate per column lets Catalyst drop the unused ones.
+    The minimum per key is a narrow aggregate that map tasks reduce first. The
+    semi-join back is on both columns, so its work spreads over the unique
+    ``order`` values and a key with a large part of the table is never gathered
+    in one task.
     """
-    others = [c for c in df.columns if c not in (key, order)]
-    reduced = df.groupBy(key).agg(F.min(order).alias(order), *[F.min_by(c, order).alias(c) for c in others])
-    return reduced.select(*df.columns)
+    firsts = df.groupBy(key).agg(F.min(order).alias(order))
+    return df.join(firsts, [key, order], "left_semi").select(*df.columns)
 
 
 def dedup_summary(df: DataFrame, key: str = "patient_nbr", order: str = "encounter_id") -> DataFrame:

@@ -29,22 +29,22 @@ def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
 
     Rows where any of the columns is NULL are left out of every pair.
     """
-    complete = df.select(*columns).dropna()
-    sums = [_sum(F.col(c)).alias(f"s_{c}") for c in columns]
-    squares = [_sum(_product(c, c)).alias(f"q_{c}") for c in columns]
+    complete = df.select(*[F.col(c).cast("long").alias(c) for c in columns]).dropna()
     pairs = [(b, a) for a, b in combinations(columns, 2)]
-    cross = [_sum(_product(a, b)).alias(f"x_{a}_{b}") for a, b in pairs]
-    totals = complete.agg(exact(F.count("*")).alias("n"), *sums, *squares, *cross)
+    terms = {"n": "count(*)"}
+    terms |= {f"s_{c}": f"sum({c})" for c in columns}
+    terms |= {f"q_{c}": f"sum({c} * {c})" for c in columns}
+    terms |= {f"x_{a}_{b}": f"sum({a} * {b})" for a, b in pairs}
+    totals = complete.agg(*[F.expr(f"cast({sql} as decimal(38,0)) AS {name}") for name, sql in terms.items()])
 
-    def spread(c: str) -> Column:
-        return F.sqrt((F.col("n") * F.col(f"q_{c}") - F.col(f"s_{c}") * F.col(f"s_{c}")).cast("double"))
+    def spread(c: str) -> str:
+        return f"sqrt(cast(n * q_{c} - s_{c} * s_{c} as double))"
 
-    def r(a: str, b: str) -> Column:
-        top = F.col("n") * F.col(f"x_{a}_{b}") - F.col(f"s_{a}") * F.col(f"s_{b}")
-        return top.cast("double") / F.nullif(spread(a) * spread(b), F.lit(0.0))
+    def r(a: str, b: str) -> str:
+        return f"cast(n * x_{a}_{b} - s_{a} * s_{b} as double) / nullif({spread(a)} * {spread(b)}, 0D)"
 
-    rows = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r(a, b).alias("r")) for a, b in pairs]
-    return totals.select(F.inline(F.array(*rows)))
+    rows = ", ".join(f"struct('{a}' AS a, '{b}' AS b, {r(a, b)} AS r)" for a, b in pairs)
+    return totals.select(F.expr(f"inline(array({rows}))"))
 
 
 def target_correlations(df: DataFrame, columns: list[str], target: str) -> DataFrame:
@@ -170,9 +170,9 @@ def standardize(df: DataFrame, columns: list[str], keep: list[str]) -> DataFrame
     sums = [_sum(F.col(c)).alias(f"s_{c}") for c in columns] + [_sum(_product(c, c)).alias(f"q_{c}") for c in columns]
     stats = df.agg(F.struct(exact(F.count("*")).alias("n"), *sums).alias("t")).scalar()
 
-    def z(c: str) -> Column:
-        n, s, q = (stats.getField(f) for f in ("n", f"s_{c}", f"q_{c}"))
-        deviation = F.sqrt((n * q - s * s).cast("double")) / n.cast("double")
-        return (F.col(c).cast("double") - s.cast("double") / n.cast("double")) / F.nullif(deviation, F.lit(0.0))
+    def z(c: str) -> str:
+        n = "cast(_t.n as double)"
+        deviation = f"sqrt(cast(_t.n * _t.q_{c} - _t.s_{c} * _t.s_{c} as double)) / {n}"
+        return f"(cast({c} as double) - cast(_t.s_{c} as double) / {n}) / nullif({deviation}, 0D) AS {c}"
 
-    return df.select(*keep, *[z(c).alias(c) for c in columns])
+    return df.select(*keep, *columns).withColumn("_t", stats).selectExpr(*keep, *[z(c) for c in columns])

@@ -5,11 +5,10 @@ from pyspark.sql import functions as F
 from wardstone.functions import clinical as C
 from wardstone.operators import evaluate as V
 from wardstone.operators import splits as L
-from wardstone.operators.profile import first_encounter
 from wardstone.operators.scoring import score_encounters
 from wardstone.plans.oracle import over, scored, seeded_hash
 from wardstone.plans.registry import query
-from wardstone.sources.orders_fixture import encounters
+from wardstone.plans.tables import encounters, first_encounters
 
 SEED = 42
 
@@ -186,7 +185,7 @@ def subgroup_metrics(spark, sf):
 
 
 def _labelled(spark, sf):
-    first = first_encounter(encounters(spark, sf))
+    first = first_encounters(spark, sf)
     return first.select("encounter_id", C.readmitted_30().alias("readmitted_30"))
 
 

@@ -6,10 +6,9 @@ from wardstone import schema as S
 from wardstone.functions import clinical as C
 from wardstone.operators import features as X
 from wardstone.operators import scoring as R
-from wardstone.operators.profile import first_encounter
 from wardstone.plans.oracle import features, over
 from wardstone.plans.registry import query
-from wardstone.sources.orders_fixture import encounters
+from wardstone.plans.tables import encounters, first_encounters
 
 # ---- fixed values: categorical levels of the data set, sorted; the first of each is dropped ----
 LEVELS = {
@@ -32,10 +31,6 @@ LEVELS = {
 }
 
 
-def _first(spark, sf):
-    return first_encounter(encounters(spark, sf))
-
-
 def _feature_sql(*columns: str) -> str:
     return over(
         f"SELECT encounter_id, {', '.join(columns)} FROM features",
@@ -44,7 +39,7 @@ def _feature_sql(*columns: str) -> str:
 
 
 def _built(spark, sf, *columns):
-    return X.build_features(_first(spark, sf)).select("encounter_id", *columns)
+    return X.build_features(first_encounters(spark, sf)).select("encounter_id", *columns)
 
 
 def _register_feature_queries() -> None:
@@ -69,7 +64,7 @@ _register_feature_queries()
 @query("icd9_category_floor", _feature_sql("diag_1", "diag1_category_floor"))
 def icd9_category_floor(spark, sf):
     category = C.icd9_category(F.col("diag_1"), floor=True).alias("diag1_category_floor")
-    return _first(spark, sf).select("encounter_id", "diag_1", category)
+    return first_encounters(spark, sf).select("encounter_id", "diag_1", category)
 
 
 def _ordinal_sql(m: str) -> str:
@@ -85,7 +80,7 @@ def _ordinal_sql(m: str) -> str:
 )
 def med_ordinal(spark, sf):
     codes = [C.medication_ordinal(F.col(m)).alias(m) for m in S.MEDICATIONS]
-    return _first(spark, sf).select("encounter_id", *codes)
+    return first_encounters(spark, sf).select("encounter_id", *codes)
 
 
 def _dummies(columns: list[str], sanitize: bool = False) -> list[str]:
@@ -106,7 +101,7 @@ def _dummies(columns: list[str], sanitize: bool = False) -> list[str]:
     ),
 )
 def onehot_race_gender(spark, sf):
-    kept = _first(spark, sf).select("encounter_id", "race", "gender")
+    kept = first_encounters(spark, sf).select("encounter_id", "race", "gender")
     return X.one_hot(kept, {c: LEVELS[c] for c in ("race", "gender")})
 
 
@@ -125,7 +120,7 @@ _MEDIANS = ", ".join(
 )
 def model_ready(spark, sf):
     levels = {c: LEVELS[c] for c in X.CLINICAL.categorical}
-    return X.model_ready(_first(spark, sf), X.CLINICAL, levels, ["encounter_id", "readmitted_30"])
+    return X.model_ready(first_encounters(spark, sf), X.CLINICAL, levels, ["encounter_id", "readmitted_30"])
 
 
 _ORDINAL_NUMERIC = ", ".join(
@@ -143,7 +138,7 @@ _ORDINAL_NUMERIC = ", ".join(
 )
 def model_ready_ordinal(spark, sf):
     levels = {c: LEVELS[c] for c in X.ORDINAL.categorical}
-    return X.model_ready(_first(spark, sf), X.ORDINAL, levels, ["encounter_id", "readmitted_30"])
+    return X.model_ready(first_encounters(spark, sf), X.ORDINAL, levels, ["encounter_id", "readmitted_30"])
 
 
 _SPARSE = {"num_lab_procedures": "number_inpatient", "num_medications": "num_procedures"}
@@ -164,7 +159,7 @@ _SPARSE = {"num_lab_procedures": "number_inpatient", "num_medications": "num_pro
 def median_fill(spark, sf):
     """The data set has no numeric gaps, so two measures are blanked by a rule first."""
     gaps = [F.when(F.col(by) > 0, F.col(c)).alias(c) for c, by in _SPARSE.items()]
-    return X.fill_medians(_first(spark, sf).select("encounter_id", *gaps), list(_SPARSE))
+    return X.fill_medians(first_encounters(spark, sf).select("encounter_id", *gaps), list(_SPARSE))
 
 
 _ADMISSION = "CASE admission_type_id WHEN 1 THEN 'Emergency' WHEN 2 THEN 'Urgent' ELSE 'Elective' END"

@@ -10,7 +10,8 @@ from wardstone.plans.oracle import POS, count_if, over, rate, ratio, scored
 from wardstone.plans.registry import query
 from wardstone.session import scratch_path
 from wardstone.sources import encounters as E
-from wardstone.sources.orders_fixture import encounters, raw_encounters
+from wardstone.plans.tables import encounters
+from wardstone.sources.orders_fixture import raw_encounters
 
 _ALL = ", ".join(S.ENCOUNTER_COLUMNS)
 _KEY_COLUMNS = {

@@ -11,7 +11,7 @@ from wardstone.plans.oracle import POS, over, rate, scored
 from wardstone.plans.registry import query
 from wardstone.session import scratch_path
 from wardstone.sources.encounters import write_csv
-from wardstone.sources.orders_fixture import encounters
+from wardstone.plans.tables import encounters
 
 
 def _scored(spark, sf):

@@ -10,7 +10,7 @@ from wardstone.operators.scoring import kpis as kpi_cards
 from wardstone.operators.scoring import score_encounters
 from wardstone.plans.oracle import POS, count_if, features, over, rate, ratio, scored
 from wardstone.plans.registry import query
-from wardstone.sources.orders_fixture import encounters
+from wardstone.plans.tables import encounters, first_encounters
 
 _RATE = rate(POS, "COUNT(*)")
 
@@ -132,17 +132,17 @@ def _eda_sql(column: str, having: int, alias: str | None = None, source: str = "
 
 @query("rate_by_glucose", _eda_sql("max_glu_serum", 100))
 def rate_by_glucose(spark, sf):
-    return G.mean_rate(P.first_encounter(encounters(spark, sf)), "max_glu_serum", min_count=100)
+    return G.mean_rate(first_encounters(spark, sf), "max_glu_serum", min_count=100)
 
 
 @query("eda_a1c", _eda_sql("A1Cresult", 100))
 def eda_a1c(spark, sf):
-    return G.mean_rate(P.first_encounter(encounters(spark, sf)), "A1Cresult", min_count=100)
+    return G.mean_rate(first_encounters(spark, sf), "A1Cresult", min_count=100)
 
 
 @query("eda_age", _eda_sql("age", 0))
 def eda_age(spark, sf):
-    return G.mean_rate(P.first_encounter(encounters(spark, sf)), "age")
+    return G.mean_rate(first_encounters(spark, sf), "age")
 
 
 _LABEL = """CASE discharge_disposition_id WHEN 1 THEN 'Home' WHEN 2 THEN 'Home (other)' WHEN 3 THEN 'Skilled Nursing Facility'
@@ -173,7 +173,7 @@ def discharge_labels(spark, sf):
     ),
 )
 def rate_by_discharge_label(spark, sf):
-    return G.rate_by_label(P.first_encounter(encounters(spark, sf)), min_count=200)
+    return G.rate_by_label(first_encounters(spark, sf), min_count=200)
 
 
 @query("rate_by_diagnoses", _rate_sql("number_diagnoses"))
@@ -223,7 +223,7 @@ def insight_segments(spark, sf):
     ),
 )
 def med_status_rates(spark, sf):
-    return G.medication_status_rates(P.first_encounter(encounters(spark, sf)))
+    return G.medication_status_rates(first_encounters(spark, sf))
 
 
 @query(
@@ -236,7 +236,7 @@ def med_status_rates(spark, sf):
 )
 def comorbidity_counts(spark, sf):
     count = C.comorbidity_count(F.col("diag_1"), F.col("diag_2"), F.col("diag_3"))
-    return P.value_counts(P.first_encounter(encounters(spark, sf)), count, "comorbidity_count").orderBy(
+    return P.value_counts(first_encounters(spark, sf), count, "comorbidity_count").orderBy(
         "comorbidity_count"
     )
 
@@ -249,7 +249,7 @@ def comorbidity_counts(spark, sf):
     ),
 )
 def icd_counts(spark, sf):
-    first = P.first_encounter(encounters(spark, sf))
+    first = first_encounters(spark, sf)
     return P.value_counts(first, C.icd9_category(F.col("diag_1")), "diag1_category").orderBy(
         F.desc("count"), "diag1_category"
     )
@@ -265,7 +265,7 @@ def icd_counts(spark, sf):
 )
 def rate_by_risk_group(spark, sf):
     group = C.discharge_risk_group(F.col("discharge_disposition_id")).alias("discharge_risk_group")
-    return G.mean_rate(P.first_encounter(encounters(spark, sf)), group, percent=False)
+    return G.mean_rate(first_encounters(spark, sf), group, percent=False)
 
 
 @query(
@@ -280,7 +280,7 @@ def rate_by_risk_group(spark, sf):
 )
 def rate_by_util_bin(spark, sf):
     score = C.prior_utilization(F.col("number_inpatient"), F.col("number_emergency"), F.col("number_outpatient"))
-    banded = P.first_encounter(encounters(spark, sf)).withColumn("utilization_band", C.utilization_band(score))
+    banded = first_encounters(spark, sf).withColumn("utilization_band", C.utilization_band(score))
     return G.mean_rate(banded.filter(F.col("utilization_band").isNotNull()), "utilization_band", percent=False)
 
 
@@ -292,7 +292,7 @@ def rate_by_util_bin(spark, sf):
     ),
 )
 def age_map_check(spark, sf):
-    first = P.first_encounter(encounters(spark, sf))
+    first = first_encounters(spark, sf)
     return first.select("age", C.age_midpoint(F.col("age")).alias("age_numeric")).distinct().orderBy("age_numeric")
 
 

@@ -6,11 +6,10 @@ from wardstone import schema as S
 from wardstone.functions import clinical as C
 from wardstone.operators import stats as T
 from wardstone.operators.features import build_features
-from wardstone.operators.profile import first_encounter
 from wardstone.operators.scoring import score_encounters
 from wardstone.plans.oracle import features, over, scored
 from wardstone.plans.registry import query
-from wardstone.sources.orders_fixture import encounters
+from wardstone.plans.tables import encounters, first_encounters
 
 _NUMERIC = [*S.MEASURES, "readmitted_30"]
 _BOX = ["time_in_hospital", "num_medications", "number_diagnoses", "number_inpatient"]
@@ -18,7 +17,7 @@ _MED_FEATURES = ["medication_changes", "insulin_changed", "num_active_meds"]
 
 
 def _labelled(spark, sf):
-    return first_encounter(encounters(spark, sf)).withColumn("readmitted_30", C.readmitted_30())
+    return first_encounters(spark, sf).withColumn("readmitted_30", C.readmitted_30())
 
 
 def _r(a: str, b: str) -> str:
@@ -91,7 +90,7 @@ def boxplot_stats(spark, sf):
     ),
 )
 def describe_meds(spark, sf):
-    return T.describe(build_features(first_encounter(encounters(spark, sf))), _MED_FEATURES)
+    return T.describe(build_features(first_encounters(spark, sf)), _MED_FEATURES)
 
 
 @query(
@@ -102,7 +101,7 @@ def describe_meds(spark, sf):
     ),
 )
 def lab_p75(spark, sf):
-    return T.quantile(first_encounter(encounters(spark, sf)), "num_lab_procedures", 0.75, "lab_p75")
+    return T.quantile(first_encounters(spark, sf), "num_lab_procedures", 0.75, "lab_p75")
 
 
 @query(

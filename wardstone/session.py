@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "wardstone", cores: int | str = 8) -> SparkSession:
@@ -51,3 +51,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``checkpoint()`` and the tree learner's own checkpoints usable."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write a result several later steps read, and continue from the stored copy.
+
+    Later steps do not repeat the work behind it, and a lost executor costs no
+    recomputation.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -11,22 +11,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from wardstone.operators import profile
 from wardstone.session import scratch_path
 from wardstone.sources import orders_fixture
 
-_PATHS: dict[tuple[str, str, str], str] = {}
+_STORED: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 
 def stored(spark: SparkSession, folder: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     """The table as written earlier by this application, or write it now."""
     key = (spark.sparkContext.applicationId, folder, name)
-    if key not in _PATHS:
-        path = scratch_path(spark, name)
-        build().write.parquet(path)
-        _PATHS[key] = path
-    return spark.read.parquet(_PATHS[key])
+    if key not in _STORED:
+        path, table = scratch_path(spark, name), build()
+        table.write.parquet(path)
+        _STORED[key] = (path, table.schema)
+    path, schema = _STORED[key]
+    return spark.read.schema(schema).parquet(path)
 
 
 def encounters(spark: SparkSession, folder: str) -> DataFrame:

@@ -98,6 +98,42 @@ def _block_of(blocks: DataFrame) -> DataFrame:
     return blocks.withColumn("block", F.pmod(F.xxhash64("vid", F.lit(7)), F.col("blocks")).cast("int"))
 
 
+def _with_bounds(data: DataFrame, k: int) -> DataFrame:
+    """Distance that holds enough neighbours of a row, from its own block alone."""
+
+    def own_block(frame: pd.DataFrame) -> pd.DataFrame:
+        radius = _radius(_nearest_in_block(frame, frame, k), frame.set_index("vid")["wanted"])
+        return frame[["vid", "x"]].assign(bound=np.sqrt(frame["vid"].map(radius)).fillna(np.inf))
+
+    return (
+        data.select("vid", "x", "copies", "wanted", "cell", "block")
+        .groupBy("cell", "block")
+        .applyInPandas(own_block, "vid long, x array<double>, bound double")
+    )
+
+
+def _reachable_cells(bounded: DataFrame, pivots: np.ndarray, reach: np.ndarray, filled: np.ndarray) -> DataFrame:
+    """One row per vector and cell that can hold something closer than its bound."""
+    between = np.sqrt(_squared(pivots, pivots))
+
+    def reachable(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            d2 = _squared(_matrix(batch["x"]), pivots)
+            own = d2.argmin(1)
+            nearest = d2[np.arange(len(batch)), own][:, None]
+            gap = between[own]
+            beyond = np.where(gap > 0, (d2 - nearest) / np.where(gap > 0, 2 * gap, 1.0), 0.0)
+            lower = np.maximum(np.sqrt(d2) - reach[None, :], beyond)
+            limit = batch["bound"].to_numpy()[:, None] * (1 + SLACK) + SLACK
+            row, cell = np.nonzero((lower <= limit) & filled[None, :])
+            visit = batch[["vid", "x"]].iloc[row].reset_index(drop=True)
+            yield visit.assign(cell=cell.astype("int32"))
+
+    return bounded.mapInPandas(reachable, "vid long, x array<double>, cell int")
+
+
 def k_nearest(vectors: DataFrame, k: int, sizes: BlockSizes = BlockSizes()) -> DataFrame:
     """Neighbour lists of distinct vectors.
 
@@ -121,36 +157,12 @@ def k_nearest(vectors: DataFrame, k: int, sizes: BlockSizes = BlockSizes()) -> D
     )
     data = _block_of(placed.join(F.broadcast(cells), "cell"))  # bounded: one row per pivot
 
-    def own_block(frame: pd.DataFrame) -> pd.DataFrame:
-        """Radius that holds enough neighbours, from the row's own block alone."""
-        radius = _radius(_nearest_in_block(frame, frame, k), frame.set_index("vid")["wanted"])
-        return frame[["vid", "x", "wanted"]].assign(bound=np.sqrt(frame["vid"].map(radius)).fillna(np.inf))
-
-    bounded = (
-        data.filter(F.col("wanted") > 0)
-        .select("vid", "x", "copies", "wanted", "cell", "block")
-        .groupBy("cell", "block")
-        .applyInPandas(own_block, "vid long, x array<double>, wanted long, bound double")
-    )
-    between = np.sqrt(_squared(pivots, pivots))
-
-    def reachable(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Cells that can hold a row closer than the bound."""
-        for batch in batches:
-            if not len(batch):
-                continue
-            d2 = _squared(_matrix(batch["x"]), pivots)
-            own = d2.argmin(1)
-            nearest = d2[np.arange(len(batch)), own][:, None]
-            gap = between[own]
-            beyond = np.where(gap > 0, (d2 - nearest) / np.where(gap > 0, 2 * gap, 1.0), 0.0)
-            lower = np.maximum(np.sqrt(d2) - reach[None, :], beyond)
-            limit = batch["bound"].to_numpy()[:, None] * (1 + SLACK) + SLACK
-            row, cell = np.nonzero((lower <= limit) & (blocks_in > 0)[None, :])
-            visit = batch[["vid", "x"]].iloc[row].reset_index(drop=True)
-            yield visit.assign(cell=cell.astype("int32"))
-
-    visits = materialize(bounded.mapInPandas(reachable, "vid long, x array<double>, cell int"), "knn_visits")
+    asked = data.filter(F.col("wanted") > 0)
+    if len(pivots) == 1:  # one cell: there is nothing to rule out
+        visits = asked.select(*[F.col(c).alias(c) for c in ("vid", "x", "cell")])  # new column identities
+    else:
+        bounded = _with_bounds(asked, k)
+        visits = materialize(_reachable_cells(bounded, pivots, reach, blocks_in > 0), "knn_visits")
     slices = (
         visits.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(sizes.slice)).cast("int").alias("slices"))
     )

@@ -3,6 +3,7 @@
 from wardstone.plans import (  # noqa: F401
     evaluation,
     feature_queries,
+    modelling,
     profiling,
     scoring_queries,
     segment_rates,

@@ -83,6 +83,8 @@ def test_scorecard_clamps(spark):
     df = spark.createDataFrame([(20, 20, 40, 9, 14, "No", "None"), (0, 0, 0, 0, 0, "Up", ">8")], columns)
     rows = R.score_encounters(df).collect()
     assert [(r["score"], r["tier"]) for r in rows] == [(0.95, "High"), (0.11, "Low")]
+    gap = R.score_encounters(df.withColumn("number_inpatient", F.lit(None).cast("int"))).first()
+    assert (gap["score"], gap["tier"]) == (None, None)
 
 
 def test_hyphenated_medications_are_renamed(spark):

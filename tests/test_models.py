@@ -76,9 +76,11 @@ def test_attributions_are_shapley_values(spark, boosted):
     rows = spark.read.parquet(f"{path}/data").filter("treeID = 1").select("nodeData").collect()
     nodes = {r["nodeData"]["id"]: r["nodeData"].asDict(recursive=True) for r in rows}
     used = sorted({n["split"]["featureIndex"] for n in nodes.values() if n["leftChild"] >= 0})
-    if len(used) > 10:  # keep the subsets few: cut the tree two levels below its root
+    if len(used) > 10:  # keep the subsets few: cut the tree below its third level
+        parent = {c: n["id"] for n in nodes.values() for c in (n["leftChild"], n["rightChild"]) if c >= 0}
+
         def depth(i):
-            return 0 if i == 0 else 1 + depth(next(p["id"] for p in nodes.values() if i in (p["leftChild"], p["rightChild"])))
+            return 0 if i == 0 else 1 + depth(parent[i])
 
         for n in nodes.values():
             if n["leftChild"] >= 0 and depth(n["id"]) >= 3:

@@ -97,7 +97,7 @@ def _scores(spark, n=4000, decimals=None):
     rows = []
     for _ in range(n):
         label = int(rng.random() < 0.2)
-        score = min(max(rng.gauss(0.4 + 0.15 * label, 0.15), 0), 1)
+        score = min(max(rng.gauss(0.4 + 0.15 * label, 0.15), 0.0), 1.0)
         rows.append((label, round(score, decimals) if decimals else score))
     return rows, spark.createDataFrame(rows, "label int, score double")
 

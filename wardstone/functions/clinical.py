@@ -133,8 +133,16 @@ def scorecard_milli() -> Column:
 
 
 def scorecard_clamped() -> Column:
+    """Score within its bounds; NULL when an input is missing."""
     low, high = S.SCORECARD_CLAMP
-    return F.greatest(F.lit(low), F.least(F.lit(high), scorecard_milli()))
+    return clamp(scorecard_milli(), low, high)
+
+
+def clamp(value: Column, low: int | None = None, high: int | None = None) -> Column:
+    """``greatest``/``least`` that keep NULL instead of skipping it."""
+    bounded = value if high is None else F.least(value, F.lit(high))
+    bounded = bounded if low is None else F.greatest(bounded, F.lit(low))
+    return F.when(value.isNotNull(), bounded)
 
 
 def seeded_hash(key: Column, seed: int) -> Column:

@@ -60,10 +60,10 @@ def request_features(df: DataFrame) -> DataFrame:
         "prior_utilization_score": C.prior_utilization(
             F.col("num_inpatient"), F.col("num_emergency"), F.col("num_outpatient")
         ),
-        "comorbidity_count": F.least(F.col("num_diagnoses"), F.lit(3)),
+        "comorbidity_count": C.clamp(F.col("num_diagnoses"), high=3),
         "medication_changes": changed,
         "insulin_changed": changed,
-        "num_active_meds": F.greatest(F.lit(1), F.floor(F.col("num_medications") / 3)).cast("int"),
+        "num_active_meds": C.clamp(F.floor(F.col("num_medications") / 3), low=1).cast("int"),
         "high_lab_burden": C.flag(F.col("num_lab_procs") > FORM_LAB_CUT),
         "admitted_from_er": emergency,
         "emergency_admission": emergency,

@@ -142,7 +142,7 @@ def insight_segments(df: DataFrame) -> DataFrame:
 
 def inpatient_uplift(df: DataFrame) -> DataFrame:
     """Rates for 0, 1, 2 and 3 or more prior stays, and the ratio of the last to the first."""
-    bucket = F.least(F.col("number_inpatient"), F.lit(3)).alias("prior_inpatient_bucket")
+    bucket = C.clamp(F.col("number_inpatient"), high=3).alias("prior_inpatient_bucket")
     everyone = Window.partitionBy()
     grouped = df.groupBy(bucket).agg(F.count("*").alias("total"), count_where(is_positive()).alias("_pos"))
 

@@ -147,7 +147,7 @@ def score_histogram(df: DataFrame, score: str, by: str, bins: int = 50) -> DataF
     bounds = df.groupBy(by).agg(F.min(score).alias("lo"), F.max(score).alias("hi"), F.count(score).alias("n"))
     span = (F.col("hi") - F.col("lo")).cast("double")
     position = (F.col(score) - F.col("lo")).cast("double") * bins / F.nullif(span, F.lit(0.0))
-    index = F.coalesce(F.least(F.floor(position), F.lit(bins - 1)), F.lit(bins // 2)).cast("int")
+    index = F.least(F.coalesce(F.floor(position), F.lit(bins // 2)), F.lit(bins - 1)).cast("int")
     counted = (
         df.filter(F.col(score).isNotNull())
         .select(by, score)

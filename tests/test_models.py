@@ -87,7 +87,8 @@ def test_attributions_are_shapley_values(spark, boosted):
                 n["leftChild"] = n["rightChild"] = -1
         reach, stack = {}, [0]
         while stack:
-            n = reach[stack[-1]] = nodes[stack.pop()]
+            n = nodes[stack.pop()]
+            reach[n["id"]] = n
             stack += [c for c in (n["leftChild"], n["rightChild"]) if c >= 0]
         nodes = reach
         used = sorted({n["split"]["featureIndex"] for n in nodes.values() if n["leftChild"] >= 0})

@@ -13,6 +13,7 @@ from wardstone.operators import profile as P
 from wardstone.operators import segments as G
 from wardstone.operators import splits as L
 from wardstone.operators import stats as T
+from wardstone.operators.ranges import ranked_quantiles
 from wardstone.plans.catalog import QUERIES
 from wardstone.plans.tables import encounters, first_encounters
 
@@ -172,6 +173,18 @@ def test_median_fill(spark):
     assert [r["a"] for r in X.fill_medians(df, ["a"]).orderBy("id").collect()] == [1.0, 2.5, 4.0]
 
 
+@pytest.mark.parametrize("p", [0.0, 0.25, 0.5, 0.9, 1.0])
+def test_quantiles_in_ranges(spark, p):
+    rng = random.Random(2)
+    values = [rng.choice([1.5, 2.5, rng.random() * 100]) for _ in range(2000)]
+    df = spark.createDataFrame([("a", v) for v in values] + [("b", 7.0)], "measure string, value double")
+    counts = df.groupBy("measure", "value").agg(F.count("*").alias("n"))
+    want = df.groupBy("measure").agg(F.percentile("value", p).alias("quantile"))
+    for size in (50, 10**6):
+        got = {r["measure"]: r["quantile"] for r in ranked_quantiles(counts, ["measure"], p, size).collect()}
+        assert got == pytest.approx({r["measure"]: r["quantile"] for r in want.collect()})
+
+
 def test_constant_column_has_no_spread(spark):
     df = spark.createDataFrame([(1, 5), (2, 5)], "id int, a int")
     assert [r["a"] for r in T.standardize(df, ["a"], ["id"]).collect()] == [None, None]

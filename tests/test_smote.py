@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from wardstone.operators.neighbors import BlockSizes, k_nearest
 from wardstone.operators.smote import smote_balance
 
-SMALL = BlockSizes(cell=40, block=25, slice=30)
+SMALL = BlockSizes(cell=40, probe=15, block=25, slice=30)
 
 
 def brute_force(points, copies, k):

@@ -10,17 +10,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardstone.functions.rates import count_where, exact, fraction
+from wardstone.operators.ranges import ROWS_PER_RANGE, with_range
 from wardstone.operators.segments import long_segments
 from wardstone.session import materialize
 
-ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 4096
-
 
 def score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
     """Positives and negatives per distinct score."""
@@ -36,23 +33,13 @@ def _totals(counts: DataFrame, keys: list[str]) -> DataFrame:
     return counts.groupBy(*keys).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
 
 
-def _with_range(counts: DataFrame, rows_per_range: int) -> DataFrame:
-    """Adds ``_range``, rising with the score, with about ``rows_per_range`` distinct scores in each."""
-    ranges = min(-(-counts.count() // rows_per_range), MAX_RANGES)
-    if ranges <= 1:
-        return counts.withColumn("_range", F.lit(0.0))
-    steps = [i / ranges for i in range(1, ranges)]
-    bounds = sorted(set(counts.approxQuantile("score", steps, 0.1 / ranges)))
-    splits = [float("-inf"), *bounds, float("inf")]
-    return Bucketizer(splits=splits, inputCol="score", outputCol="_range").transform(counts)
-
-
 def running_counts(df: DataFrame, label: str, score: str, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Per distinct score: ``tp``/``fp`` at or above it, and the class totals ``P``/``N``.
 
     The counts per score are stored first, so the scored table is read once.
     """
-    ranged = _with_range(materialize(score_counts(df, label, score), "score_counts"), rows_per_range)
+    counts = materialize(score_counts(df, label, score), "score_counts")
+    ranged = with_range(counts, "score", rows_per_range)
     down = Window.partitionBy().orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = Window.partitionBy()
     offsets = _totals(ranged, ["_range"]).select(

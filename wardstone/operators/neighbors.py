@@ -18,22 +18,29 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardstone.session import materialize
 
 MAX_PIVOTS = 4096
+CHUNK = 512
 SLACK = 1e-9
 
 
 @dataclass(frozen=True)
 class BlockSizes:
-    """Rows per cell aimed at, and upper sizes of the two sides of one comparison."""
+    """Rows per cell aimed at, and upper sizes of what one task compares.
+
+    ``probe`` rows are compared with each other for a first bound; a ``slice``
+    of visiting rows is compared with a ``block`` of a cell. Larger blocks mean
+    fewer copies of visitors on the wire.
+    """
 
     cell: int = 2048
-    block: int = 2048
-    slice: int = 2048
+    probe: int = 2048
+    block: int = 16384
+    slice: int = 4096
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -45,24 +52,31 @@ def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum((a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * cross, 0.0)
 
 
+def _chunks(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    for start in range(0, len(frame), CHUNK):
+        yield frame.iloc[start : start + CHUNK]
+
+
 def _nearest_in_block(queries: pd.DataFrame, block: pd.DataFrame, k: int) -> pd.DataFrame:
     """Up to k closest other rows of the block for every query, as long rows."""
     block = block.sort_values("vid")
-    ids = block["vid"].to_numpy()
-    distances = _squared(_matrix(queries["x"]), _matrix(block["x"]))
-    distances[queries["vid"].to_numpy()[:, None] == ids[None, :]] = np.inf
-    order = np.argsort(distances, axis=1, kind="stable")[:, :k]
-    found = np.take_along_axis(distances, order, axis=1)
-    keep = np.isfinite(found)
-    width = order.shape[1]
-    return pd.DataFrame(
-        {
-            "vid": np.repeat(queries["vid"].to_numpy(), width).reshape(-1, width)[keep],
-            "dist2": found[keep],
-            "nvid": ids[order][keep],
-            "copies": block["copies"].to_numpy()[order][keep],
-        }
-    )
+    ids, copies, points = block["vid"].to_numpy(), block["copies"].to_numpy(), _matrix(block["x"])
+    width = min(k, len(ids))
+    parts = []
+    for chunk in _chunks(queries):
+        asking = chunk["vid"].to_numpy()
+        distances = _squared(_matrix(chunk["x"]), points)
+        distances[asking[:, None] == ids[None, :]] = np.inf
+        furthest = np.partition(distances, width - 1, axis=1)[:, width - 1]
+        row, col = np.nonzero(distances <= furthest[:, None])
+        found = distances[row, col]
+        order = np.lexsort((col, found, row))
+        row, col, found = row[order], col[order], found[order]
+        rank = np.arange(len(row)) - np.searchsorted(row, row)
+        keep = (rank < width) & np.isfinite(found)
+        row, col, found = row[keep], col[keep], found[keep]
+        parts.append(pd.DataFrame({"vid": asking[row], "dist2": found, "nvid": ids[col], "copies": copies[col]}))
+    return pd.concat(parts, ignore_index=True)
 
 
 def _radius(found: pd.DataFrame, wanted: pd.Series) -> pd.Series:
@@ -84,56 +98,55 @@ def _assign(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if len(batch):
-                d2 = _squared(_matrix(batch["x"]), pivots)
+            for chunk in _chunks(batch):
+                d2 = _squared(_matrix(chunk["x"]), pivots)
                 cell = d2.argmin(1)
-                yield batch.assign(cell=cell.astype("int32"), radius=np.sqrt(d2[np.arange(len(batch)), cell]))
+                yield chunk.assign(cell=cell.astype("int32"), radius=np.sqrt(d2[np.arange(len(chunk)), cell]))
 
     return vectors.mapInPandas(
         assign, "vid long, x array<double>, copies long, wanted long, cell int, radius double"
     )
 
 
-def _block_of(blocks: DataFrame) -> DataFrame:
-    return blocks.withColumn("block", F.pmod(F.xxhash64("vid", F.lit(7)), F.col("blocks")).cast("int"))
-
-
 def _with_bounds(data: DataFrame, k: int) -> DataFrame:
-    """Distance that holds enough neighbours of a row, from its own block alone."""
+    """Distance that holds enough neighbours of a row, from its own probe group alone."""
 
-    def own_block(frame: pd.DataFrame) -> pd.DataFrame:
+    def own_group(frame: pd.DataFrame) -> pd.DataFrame:
         radius = _radius(_nearest_in_block(frame, frame, k), frame.set_index("vid")["wanted"])
         return frame[["vid", "x"]].assign(bound=np.sqrt(frame["vid"].map(radius)).fillna(np.inf))
 
     return (
-        data.select("vid", "x", "copies", "wanted", "cell", "block")
-        .groupBy("cell", "block")
-        .applyInPandas(own_block, "vid long, x array<double>, bound double")
+        data.select("vid", "x", "copies", "wanted", "cell", "probe")
+        .groupBy("cell", "probe")
+        .applyInPandas(own_group, "vid long, x array<double>, bound double")
     )
 
 
 def _reachable_cells(bounded: DataFrame, pivots: np.ndarray, reach: np.ndarray, filled: np.ndarray) -> DataFrame:
     """One row per vector and cell that can hold something closer than its bound."""
-    between = np.sqrt(_squared(pivots, pivots))
 
     def reachable(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if not len(batch):
-                continue
-            d2 = _squared(_matrix(batch["x"]), pivots)
-            own = d2.argmin(1)
-            nearest = d2[np.arange(len(batch)), own][:, None]
-            gap = between[own]
-            beyond = np.where(gap > 0, (d2 - nearest) / np.where(gap > 0, 2 * gap, 1.0), 0.0)
-            lower = np.maximum(np.sqrt(d2) - reach[None, :], beyond)
-            limit = batch["bound"].to_numpy()[:, None] * (1 + SLACK) + SLACK
-            row, cell = np.nonzero((lower <= limit) & filled[None, :])
-            visit = batch[["vid", "x"]].iloc[row].reset_index(drop=True)
-            yield visit.assign(cell=cell.astype("int32"))
+            for chunk in _chunks(batch):
+                d2 = _squared(_matrix(chunk["x"]), pivots)
+                own = d2.argmin(1)
+                nearest = d2[np.arange(len(chunk)), own][:, None]
+                gap = np.sqrt(_squared(pivots[own], pivots))
+                beyond = np.where(gap > 0, (d2 - nearest) / np.where(gap > 0, 2 * gap, 1.0), 0.0)
+                lower = np.maximum(np.sqrt(d2) - reach[None, :], beyond)
+                limit = chunk["bound"].to_numpy()[:, None] * (1 + SLACK) + SLACK
+                row, cell = np.nonzero((lower <= limit) & filled[None, :])
+                visit = chunk[["vid", "x"]].iloc[row].reset_index(drop=True)
+                yield visit.assign(cell=cell.astype("int32"))
 
     return bounded.mapInPandas(reachable, "vid long, x array<double>, cell int")
 
 
+def _part(count: str, salt: int, alias: str) -> Column:
+    """Even share of a cell's rows, by hash of the id."""
+    return F.pmod(F.xxhash64("vid", F.lit(salt)), F.col(count)).cast("int").alias(alias)
+
+
 def k_nearest(vectors: DataFrame, k: int, sizes: BlockSizes = BlockSizes()) -> DataFrame:
     """Neighbour lists of distinct vectors.
 
@@ -150,31 +163,37 @@ def k_nearest(vectors: DataFrame, k: int, sizes: BlockSizes = BlockSizes()) -> D
     per_cell = summary.toPandas()  # bounded: one row per pivot
     reach = np.full(len(pivots), -np.inf)
     reach[per_cell["cell"]] = per_cell["reach"]
-    blocks_in = np.zeros(len(pivots), dtype=np.int64)
-    blocks_in[per_cell["cell"]] = -(-per_cell["rows"] // sizes.block)
+    rows_in = np.zeros(len(pivots), dtype=np.int64)
+    rows_in[per_cell["cell"]] = per_cell["rows"]
     cells = spark.createDataFrame(
-        pd.DataFrame({"cell": np.arange(len(pivots), dtype="int32"), "blocks": blocks_in})
+        pd.DataFrame(
+            {
+                "cell": np.arange(len(pivots), dtype="int32"),
+                "probes": (-(-rows_in // sizes.probe)).astype("int32"),
+                "blocks": (-(-rows_in // sizes.block)).astype("int32"),
+            }
+        )
+    )
+    data = placed.join(F.broadcast(cells), "cell").select(  # bounded: one row per pivot
+        "vid", "x", "copies", "wanted", "cell", _part("probes", 3, "probe"), _part("blocks", 7, "block")
     )
-    data = _block_of(placed.join(F.broadcast(cells), "cell"))  # bounded: one row per pivot
-
     asked = data.filter(F.col("wanted") > 0)
     if len(pivots) == 1:  # one cell: there is nothing to rule out
         visits = asked.select(*[F.col(c).alias(c) for c in ("vid", "x", "cell")])  # new column identities
     else:
-        bounded = _with_bounds(asked, k)
-        visits = materialize(_reachable_cells(bounded, pivots, reach, blocks_in > 0), "knn_visits")
+        visits = materialize(_reachable_cells(_with_bounds(asked, k), pivots, reach, rows_in > 0), "knn_visits")
     slices = (
         visits.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(sizes.slice)).cast("int").alias("slices"))
     )
     plan = F.broadcast(cells.join(slices, "cell"))  # bounded: one row per pivot
     asking = (
         visits.join(plan, "cell")
-        .withColumn("slice", F.pmod(F.xxhash64("vid", F.lit(11)), F.col("slices")).cast("int"))
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)))
+        .select("cell", "vid", "x", "blocks", _part("slices", 11, "slice"))
+        .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("cell", "block", "slice", "vid", "x")
     )
     answering = (
-        data.drop("blocks").join(plan, "cell")
+        data.join(plan.drop("blocks"), "cell")
         .withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
         .select("cell", "block", "slice", "vid", "x", "copies")
     )

@@ -15,7 +15,7 @@ from wardstone.functions.clinical import seeded_hash
 from wardstone.functions.rates import integer_div
 
 HASH_RANGE = (1 << 31) - 1
-RANGES = 4096
+RANGES = 16384
 
 
 def _with_range(df: DataFrame, id_column: str, seed: int, ranges: int) -> DataFrame:

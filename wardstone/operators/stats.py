@@ -12,8 +12,11 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from wardstone.functions.rates import exact
+from wardstone.operators.ranges import ranked_quantiles
+from wardstone.session import materialize
 
 
 def _sum(expression: Column) -> Column:
@@ -108,15 +111,21 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def quantile(df: DataFrame, column: str, probability: float, alias: str) -> DataFrame:
-    """Exact quantile with linear interpolation, over value counts."""
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
-    return counts.agg(F.percentile(column, probability, F.col("n")).alias(alias))
+    """Exact quantile with linear interpolation; one row, NULL when there are no values."""
+    return quantiles(df, [column], probability).agg(F.max("quantile").alias(alias))
 
 
 def quantiles(df: DataFrame, columns: list[str], probability: float) -> DataFrame:
-    """The same quantile of several columns, long form, in one pass."""
+    """The same quantile of several columns, long form (measure, quantile).
+
+    Whole-number measures have few distinct values, which one aggregate can
+    hold. Continuous ones may have as many as there are rows and are ranked in
+    ranges instead.
+    """
     counts = value_frequencies(df, columns, [])
-    return counts.groupBy("measure").agg(F.percentile("value", probability, F.col("n")).alias("quantile"))
+    if all(isinstance(df.schema[c].dataType, IntegralType) for c in columns):
+        return counts.groupBy("measure").agg(F.percentile("value", probability, F.col("n")).alias("quantile"))
+    return ranked_quantiles(materialize(counts, "value_counts"), ["measure"], probability)
 
 
 def linear_trend(df: DataFrame, x: str, y: str) -> DataFrame:

@@ -174,8 +174,8 @@ def mean_abs_attribution(spark, sf):
 
 @query("tree_patient_breakdown")
 def tree_patient_breakdown(spark, sf):
-    base = _explained(spark, sf).select(F.max("base_value")).scalar()
-    return A.patient_breakdown(_long(spark, sf), M.ID, base, max_display=12)
+    entries = T.attribution_entries(_boosted(spark, sf).names)
+    return A.patient_breakdown(_explained(spark, sf), M.ID, entries, F.col("base_value"), max_display=12)
 
 
 _SCORED = ", ".join(SCORED_COLUMNS)

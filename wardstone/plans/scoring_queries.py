@@ -156,7 +156,8 @@ def export_attributions(spark, sf):
 def patient_breakdown(spark, sf):
     scored_rows = _scored(spark, sf)
     base = A.scorecard_base_value(scored_rows).scalar()
-    return A.patient_breakdown(_long(scored_rows), "encounter_id", base, max_display=5)
+    wide = A.scorecard_attributions(scored_rows)
+    return A.patient_breakdown(wide, "encounter_id", A.wide_entries(list(_W)), base, max_display=5)
 
 
 @query(

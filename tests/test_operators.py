@@ -21,8 +21,9 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_first_encounter_keeps_smallest_id(spark):
-    df = spark.createDataFrame([(1, 7, "a"), (1, 3, "b"), (1, 9, "c"), (2, 5, "d")], "patient_nbr long, encounter_id long, v string")
-    assert sorted(tuple(r) for r in P.first_encounter(df).collect()) == [(1, 3, "b"), (2, 5, "d")]
+    rows = [(1, 7, "a"), (1, 3, "b"), (1, 9, "c"), (2, 5, "d"), (None, 8, "e"), (None, 2, "f")]
+    df = spark.createDataFrame(rows, "patient_nbr long, encounter_id long, v string")
+    assert sorted(r["v"] for r in P.first_encounter(df).collect()) == ["b", "d", "f"]
 
 
 def test_first_encounter_with_one_crowded_patient(spark):
@@ -185,6 +186,24 @@ def test_quantiles_in_ranges(spark, p):
         assert got == pytest.approx({r["measure"]: r["quantile"] for r in want.collect()})
 
 
+def test_statistics_of_columns_with_fractions(spark):
+    rng = random.Random(4)
+    rows = [(i % 2, rng.gauss(0, 1), rng.random()) for i in range(500)]
+    df = spark.createDataFrame(rows, "g int, a double, b double")
+    r = T.correlations(df, ["a", "b"]).first()["r"]
+    assert r == pytest.approx(df.select(F.corr("a", "b").alias("r")).first()["r"], abs=1e-12)
+    got = {r["feature"]: r for r in T.describe(df, ["a", "b"]).collect()}
+    want = df.agg(F.mean("a"), F.stddev("a"), F.percentile("a", 0.25), F.max("a")).first()
+    assert [got["a"][k] for k in ("mean", "std", "p25", "max")] == pytest.approx(list(want), abs=1e-12)
+    box = {(r["g"], r["measure"]): r for r in T.boxplot_stats(df, "g", ["a", "b"]).collect()}
+    assert box[(0, "a")]["median"] == pytest.approx(df.filter("g = 0").select(F.median("a")).first()[0])
+    trend = T.linear_trend(df, "a", "b").first()
+    want = df.select(F.regr_slope("b", "a"), F.regr_intercept("b", "a"), F.regr_r2("b", "a")).first()
+    assert [trend["slope"], trend["intercept"], trend["r2"]] == pytest.approx(list(want), abs=1e-10)
+    z = T.standardize(df, ["a"], ["g"]).agg(F.avg("a").alias("m"), F.stddev_pop("a").alias("s")).first()
+    assert (z["m"], z["s"]) == pytest.approx((0, 1), abs=1e-9)
+
+
 def test_constant_column_has_no_spread(spark):
     df = spark.createDataFrame([(1, 5), (2, 5)], "id int, a int")
     assert [r["a"] for r in T.standardize(df, ["a"], ["id"]).collect()] == [None, None]

@@ -94,10 +94,11 @@ def first_encounter(df: DataFrame, key: str = "patient_nbr", order: str = "encou
     The minimum per key is a narrow aggregate that map tasks reduce first. The
     semi-join back is on both columns, so its work spreads over the unique
     ``order`` values and a key with a large part of the table is never gathered
-    in one task.
+    in one task. Rows without a key form one group, as in SQL.
     """
-    firsts = df.groupBy(key).agg(F.min(order).alias(order))
-    return df.join(firsts, [key, order], "left_semi").select(*df.columns)
+    firsts = df.groupBy(F.col(key).alias("_key")).agg(F.min(order).alias("_first"))
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col(order) == F.col("_first"))
+    return df.join(firsts, same, "left_semi")
 
 
 def dedup_summary(df: DataFrame, key: str = "patient_nbr", order: str = "encounter_id") -> DataFrame:

@@ -1,30 +1,34 @@
 """Descriptive statistics.
 
-Moments come from integer sums kept exact in wide decimals, so results do not
-depend on the order in which partitions are combined. Quantiles are taken over
-value counts, not rows: the table is reduced to (group, measure, value) counts
-on the map side, and the measures have small integer domains.
+Moments of whole-number columns come from integer sums kept exact in wide
+decimals, so results do not depend on the order in which partitions are
+combined; columns with fractions use doubles. Quantiles are taken over value
+counts, not rows: the table is first reduced to (group, measure, value) counts
+on the map side.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from wardstone.functions.rates import exact
 from wardstone.operators.ranges import ranked_quantiles
 from wardstone.session import materialize
 
+QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
-def _sum(expression: Column) -> Column:
-    return exact(F.sum(expression))
 
+def _whole(df: DataFrame, columns: list[str]) -> bool:
+    return all(isinstance(df.schema[c].dataType, IntegralType) for c in columns)
 
-def _product(a: str, b: str) -> Column:
-    return F.col(a).cast("long") * F.col(b).cast("long")
+
+def _number_types(df: DataFrame, columns: list[str]) -> tuple[str, str]:
+    """SQL types of a value and of a sum: exact for whole numbers, double otherwise."""
+    return ("bigint", "decimal(38,0)") if _whole(df, columns) else ("double", "double")
 
 
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -32,13 +36,14 @@ def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
 
     Rows where any of the columns is NULL are left out of every pair.
     """
-    complete = df.select(*[F.col(c).cast("long").alias(c) for c in columns]).dropna()
+    number, total = _number_types(df, columns)
+    complete = df.select(*[F.col(c).cast(number).alias(c) for c in columns]).dropna()
     pairs = [(b, a) for a, b in combinations(columns, 2)]
     terms = {"n": "count(*)"}
     terms |= {f"s_{c}": f"sum({c})" for c in columns}
     terms |= {f"q_{c}": f"sum({c} * {c})" for c in columns}
     terms |= {f"x_{a}_{b}": f"sum({a} * {b})" for a, b in pairs}
-    totals = complete.agg(*[F.expr(f"cast({sql} as decimal(38,0)) AS {name}") for name, sql in terms.items()])
+    totals = complete.agg(*[F.expr(f"cast({sql} as {total}) AS {name}") for name, sql in terms.items()])
 
     def spread(c: str) -> str:
         return f"sqrt(cast(n * q_{c} - s_{c} * s_{c} as double))"
@@ -63,6 +68,21 @@ def value_frequencies(df: DataFrame, columns: list[str], by: list[str | Column])
     return rows.groupBy(*groups, "measure", "value").agg(F.count("*").alias("n"))
 
 
+def _quantile_table(counts: DataFrame, keys: list[str], wanted: dict[str, float], whole: bool) -> DataFrame:
+    """Exact quantiles per key as columns, from (keys, value, n) rows.
+
+    Whole-number measures have few distinct values, which one aggregate can
+    hold. Continuous ones may have as many as there are rows and are ranked in
+    ranges instead.
+    """
+    if whole:
+        points = F.percentile("value", F.array(*[F.lit(p) for p in wanted.values()]), F.col("n"))
+        found = counts.groupBy(*keys).agg(points.alias("_q"))
+        return found.select(*keys, *[F.col("_q")[i].alias(name) for i, name in enumerate(wanted)])
+    tables = [ranked_quantiles(counts, keys, p).withColumnRenamed("quantile", name) for name, p in wanted.items()]
+    return reduce(lambda left, right: left.join(right, keys), tables)
+
+
 def boxplot_stats(df: DataFrame, by: str, columns: list[str]) -> DataFrame:
     """Quartiles, whiskers at 1.5 interquartile ranges clipped to the data, and outlier counts.
 
@@ -70,14 +90,14 @@ def boxplot_stats(df: DataFrame, by: str, columns: list[str]) -> DataFrame:
     row of quartiles per group and measure, so no list of values is gathered.
     """
     frequencies = value_frequencies(df, columns, [by])
-    q = F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n"))
-    quartiles = frequencies.groupBy(by, "measure").agg(q.alias("q"))
+    if not _whole(df, columns):
+        frequencies = materialize(frequencies, "value_counts")
+    quartiles = _quantile_table(frequencies, [by, "measure"], QUARTILES, _whole(df, columns))
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
     keys = [by, "measure", "q1", "median", "q3"]
     return (
         frequencies.join(quartiles, [by, "measure"])
-        .select(by, "measure", "value", "n", *[F.col("q")[i].alias(keys[2 + i]) for i in range(3)])
         .groupBy(*keys)
         .agg(
             F.sum("n").alias("count"),
@@ -90,23 +110,26 @@ def boxplot_stats(df: DataFrame, by: str, columns: list[str]) -> DataFrame:
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum per column."""
-    frequencies = value_frequencies(df, columns, [])
-    whole = F.col("value").cast("long")
-    n, s, q = F.col("count").cast("decimal(38,0)"), F.col("s"), F.col("q")
-    stats = frequencies.groupBy("measure").agg(
+    whole = _whole(df, columns)
+    number, total = _number_types(df, columns)
+    counts = value_frequencies(df, columns, [])
+    if not whole:
+        counts = materialize(counts, "value_counts")
+    value = f"cast(value as {number})"
+    moments = counts.groupBy("measure").agg(
         F.sum("n").alias("count"),
-        _sum(whole * F.col("n")).alias("s"),
-        _sum(whole * whole * F.col("n")).alias("q"),
+        F.expr(f"cast(sum({value} * n) as {total}) AS s"),
+        F.expr(f"cast(sum({value} * {value} * n) as {total}) AS q"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
-        F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n")).alias("p"),
     )
-    spread = (n * q - s * s).cast("double") / F.nullif((n * (n - 1)).cast("double"), F.lit(0.0))
-    return stats.select(
+    points = _quantile_table(counts, ["measure"], {"p25": 0.25, "p50": 0.5, "p75": 0.75}, whole)
+    n = f"cast(count as {total})"
+    return moments.join(points, "measure").select(
         F.col("measure").alias("feature"), "count",
-        (s.cast("double") / n.cast("double")).alias("mean"),
-        F.sqrt(spread).alias("std"),
-        "min", F.col("p")[0].alias("p25"), F.col("p")[1].alias("p50"), F.col("p")[2].alias("p75"), "max",
+        F.expr("cast(s as double) / cast(count as double) AS mean"),
+        F.expr(f"sqrt(cast({n} * q - s * s as double) / nullif(cast({n} * ({n} - 1) as double), 0D)) AS std"),
+        "min", "p25", "p50", "p75", "max",
     )
 
 
@@ -116,34 +139,31 @@ def quantile(df: DataFrame, column: str, probability: float, alias: str) -> Data
 
 
 def quantiles(df: DataFrame, columns: list[str], probability: float) -> DataFrame:
-    """The same quantile of several columns, long form (measure, quantile).
-
-    Whole-number measures have few distinct values, which one aggregate can
-    hold. Continuous ones may have as many as there are rows and are ranked in
-    ranges instead.
-    """
+    """The same quantile of several columns, long form (measure, quantile)."""
+    whole = _whole(df, columns)
     counts = value_frequencies(df, columns, [])
-    if all(isinstance(df.schema[c].dataType, IntegralType) for c in columns):
-        return counts.groupBy("measure").agg(F.percentile("value", probability, F.col("n")).alias("quantile"))
-    return ranked_quantiles(materialize(counts, "value_counts"), ["measure"], probability)
+    return _quantile_table(
+        counts if whole else materialize(counts, "value_counts"), ["measure"], {"quantile": probability}, whole
+    )
 
 
 def linear_trend(df: DataFrame, x: str, y: str) -> DataFrame:
-    """Least-squares line of ``y`` on ``x`` with its fit, from integer sums."""
-    totals = df.select(x, y).dropna().agg(
-        exact(F.count("*")).alias("n"), _sum(F.col(x)).alias("sx"), _sum(F.col(y)).alias("sy"),
-        _sum(_product(x, x)).alias("sxx"), _sum(_product(y, y)).alias("syy"), _sum(_product(x, y)).alias("sxy"),
+    """Least-squares line of ``y`` on ``x`` with its fit."""
+    number, total = _number_types(df, [x, y])
+    points = df.select(F.col(x).cast(number).alias("x"), F.col(y).cast(number).alias("y")).dropna()
+    terms = {"n": "count(*)", "sx": "sum(x)", "sy": "sum(y)", "sxx": "sum(x*x)", "syy": "sum(y*y)", "sxy": "sum(x*y)"}
+    totals = points.agg(*[F.expr(f"cast({sql} as {total}) AS {name}") for name, sql in terms.items()])
+    spreads = totals.selectExpr(
+        "n", "sx", "sy",
+        "nullif(cast(n * sxx - sx * sx as double), 0D) AS vx",
+        "nullif(cast(n * syy - sy * sy as double), 0D) AS vy",
+        "cast(n * sxy - sx * sy as double) AS cov",
     )
-    n, sx, sy = F.col("n"), F.col("sx"), F.col("sy")
-    vx = F.nullif((n * F.col("sxx") - sx * sx).cast("double"), F.lit(0.0))
-    vy = F.nullif((n * F.col("syy") - sy * sy).cast("double"), F.lit(0.0))
-    cov = (n * F.col("sxy") - sx * sy).cast("double")
-    slope = cov / vx
-    return totals.select(
-        n.cast("long").alias("n"),
-        slope.alias("slope"),
-        ((sy.cast("double") - slope * sx.cast("double")) / n.cast("double")).alias("intercept"),
-        (cov / vx * (cov / vy)).alias("r2"),
+    return spreads.selectExpr(
+        "cast(n as bigint) AS n",
+        "cov / vx AS slope",
+        "(cast(sy as double) - cov / vx * cast(sx as double)) / cast(n as double) AS intercept",
+        "cov / vx * (cov / vy) AS r2",
     )
 
 
@@ -176,8 +196,12 @@ def score_histogram(df: DataFrame, score: str, by: str, bins: int = 50) -> DataF
 
 def standardize(df: DataFrame, columns: list[str], keep: list[str]) -> DataFrame:
     """(x − mean) / population deviation; a constant column gives NULL."""
-    sums = [_sum(F.col(c)).alias(f"s_{c}") for c in columns] + [_sum(_product(c, c)).alias(f"q_{c}") for c in columns]
-    stats = df.agg(F.struct(exact(F.count("*")).alias("n"), *sums).alias("t")).scalar()
+    number, total = _number_types(df, columns)
+    terms = {"n": "count(*)"}
+    for c in columns:
+        terms |= {f"s_{c}": f"sum(cast({c} as {number}))", f"q_{c}": f"sum(cast({c} as {number}) * {c})"}
+    sums = [F.expr(f"cast({sql} as {total}) AS {name}") for name, sql in terms.items()]
+    stats = df.agg(F.struct(*sums).alias("t")).scalar()
 
     def z(c: str) -> str:
         n = "cast(_t.n as double)"

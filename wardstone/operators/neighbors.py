@@ -122,8 +122,14 @@ def _with_bounds(data: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _reachable_cells(bounded: DataFrame, pivots: np.ndarray, reach: np.ndarray, filled: np.ndarray) -> DataFrame:
-    """One row per vector and cell that can hold something closer than its bound."""
+def _reachable_cells(
+    bounded: DataFrame, pivots: np.ndarray, reach: np.ndarray, filled: np.ndarray, k: int
+) -> DataFrame:
+    """One row per vector and cell that can hold something closer than its bound.
+
+    Pivots are rows too: the nearest k + 1 of them include k others, which
+    bounds rows whose probe group was too small.
+    """
 
     def reachable(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -134,7 +140,10 @@ def _reachable_cells(bounded: DataFrame, pivots: np.ndarray, reach: np.ndarray,
                 gap = np.sqrt(_squared(pivots[own], pivots))
                 beyond = np.where(gap > 0, (d2 - nearest) / np.where(gap > 0, 2 * gap, 1.0), 0.0)
                 lower = np.maximum(np.sqrt(d2) - reach[None, :], beyond)
-                limit = chunk["bound"].to_numpy()[:, None] * (1 + SLACK) + SLACK
+                bound = chunk["bound"].to_numpy()
+                if len(pivots) > k:
+                    bound = np.minimum(bound, np.sqrt(np.partition(d2, k, axis=1)[:, k]))
+                limit = bound[:, None] * (1 + SLACK) + SLACK
                 row, cell = np.nonzero((lower <= limit) & filled[None, :])
                 visit = chunk[["vid", "x"]].iloc[row].reset_index(drop=True)
                 yield visit.assign(cell=cell.astype("int32"))
@@ -181,7 +190,7 @@ def k_nearest(vectors: DataFrame, k: int, sizes: BlockSizes = BlockSizes()) -> D
     if len(pivots) == 1:  # one cell: there is nothing to rule out
         visits = asked.select(*[F.col(c).alias(c) for c in ("vid", "x", "cell")])  # new column identities
     else:
-        visits = materialize(_reachable_cells(_with_bounds(asked, k), pivots, reach, rows_in > 0), "knn_visits")
+        visits = materialize(_reachable_cells(_with_bounds(asked, k), pivots, reach, rows_in > 0, k), "knn_visits")
     slices = (
         visits.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(sizes.slice)).cast("int").alias("slices"))
     )

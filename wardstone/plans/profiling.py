@@ -125,7 +125,7 @@ def missing_profile(spark, sf):
     FROM encounters GROUP BY readmitted"""),
 )
 def target_distribution(spark, sf):
-    return P.target_distribution(encounters(spark, sf))
+    return P.target_distribution(encounters(spark, sf)).orderBy(F.desc("encounter_count"), "readmitted")
 
 
 @query(

@@ -56,13 +56,14 @@ def rate_by_disposition_500(spark, sf):
 
 @query("rate_by_inpatient", _rate_sql("number_inpatient", alias="prior_inpatient_visits"))
 def rate_by_inpatient(spark, sf):
-    return G.segment_rate(encounters(spark, sf), F.col("number_inpatient").alias("prior_inpatient_visits"))
+    visits = F.col("number_inpatient").alias("prior_inpatient_visits")
+    return G.segment_rate(encounters(spark, sf), visits).orderBy("prior_inpatient_visits")
 
 
 @query("rate_by_inpatient_100", _rate_sql("number_inpatient", alias="prior_inpatient_visits", having=100))
 def rate_by_inpatient_100(spark, sf):
     visits = F.col("number_inpatient").alias("prior_inpatient_visits")
-    return G.segment_rate(encounters(spark, sf), visits, min_count=100)
+    return G.segment_rate(encounters(spark, sf), visits, min_count=100).orderBy("prior_inpatient_visits")
 
 
 @query(
@@ -95,12 +96,12 @@ def utilization_means(spark, sf):
 
 @query("rate_by_los", _rate_sql("time_in_hospital", alias="los_days"))
 def rate_by_los(spark, sf):
-    return G.segment_rate(encounters(spark, sf), F.col("time_in_hospital").alias("los_days"))
+    return G.segment_rate(encounters(spark, sf), F.col("time_in_hospital").alias("los_days")).orderBy("los_days")
 
 
 @query("rate_by_insulin", _rate_sql("insulin"))
 def rate_by_insulin(spark, sf):
-    return G.segment_rate(encounters(spark, sf), "insulin")
+    return G.segment_rate(encounters(spark, sf), "insulin").orderBy(F.desc("readmission_rate_pct"), "insulin")
 
 
 @query(
@@ -119,7 +120,7 @@ def rate_by_med_change(spark, sf):
 
 @query("rate_by_a1c", _rate_sql("A1Cresult"))
 def rate_by_a1c(spark, sf):
-    return G.segment_rate(encounters(spark, sf), "A1Cresult")
+    return G.segment_rate(encounters(spark, sf), "A1Cresult").orderBy(F.desc("readmission_rate_pct"), "A1Cresult")
 
 
 def _eda_sql(column: str, having: int, alias: str | None = None, source: str = "first_encounters") -> str:
@@ -142,7 +143,7 @@ def eda_a1c(spark, sf):
 
 @query("eda_age", _eda_sql("age", 0))
 def eda_age(spark, sf):
-    return G.mean_rate(first_encounters(spark, sf), "age")
+    return G.mean_rate(first_encounters(spark, sf), "age").orderBy("age")
 
 
 _LABEL = """CASE discharge_disposition_id WHEN 1 THEN 'Home' WHEN 2 THEN 'Home (other)' WHEN 3 THEN 'Skilled Nursing Facility'
@@ -173,12 +174,12 @@ def discharge_labels(spark, sf):
     ),
 )
 def rate_by_discharge_label(spark, sf):
-    return G.rate_by_label(first_encounters(spark, sf), min_count=200)
+    return G.rate_by_label(first_encounters(spark, sf), min_count=200).orderBy("readmission_rate", "discharge_label")
 
 
 @query("rate_by_diagnoses", _rate_sql("number_diagnoses"))
 def rate_by_diagnoses(spark, sf):
-    return G.segment_rate(encounters(spark, sf), "number_diagnoses")
+    return G.segment_rate(encounters(spark, sf), "number_diagnoses").orderBy("number_diagnoses")
 
 
 @query("overall_rate", over(f"SELECT {_RATE} AS overall_readmission_rate_pct FROM encounters"))
@@ -223,7 +224,7 @@ def insight_segments(spark, sf):
     ),
 )
 def med_status_rates(spark, sf):
-    return G.medication_status_rates(first_encounters(spark, sf))
+    return G.medication_status_rates(first_encounters(spark, sf)).orderBy("medication", "status_order")
 
 
 @query(

@@ -9,6 +9,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def build_session(app_name: str = "wardstone", cores: int | str = 8) -> SparkSession:
     """A local session for tests and the benchmark; a cluster brings its own."""
     return (
@@ -32,14 +35,15 @@ def shared_dir(spark: SparkSession) -> str:
     cluster a missing setting is an error, because a driver-local folder would
     be invisible to the executors.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="wardstone-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="wardstone-")
+    return _LOCAL_FOLDERS[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -39,10 +39,10 @@ def csv_scan(spark, sf):
     FROM encounters WHERE number_inpatient >= 1 GROUP BY medical_specialty"""),
 )
 def sql_view(spark, sf):
-    E.register_view(encounters(spark, sf), "diabetic_encounters")
+    E.register_view(encounters(spark, sf), "stays")
     return spark.sql(
         """SELECT medical_specialty, COUNT(*) AS total, AVG(time_in_hospital) AS avg_los
-        FROM diabetic_encounters WHERE number_inpatient >= 1 GROUP BY medical_specialty"""
+        FROM stays WHERE number_inpatient >= 1 GROUP BY medical_specialty"""
     )
 
 

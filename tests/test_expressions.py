@@ -101,6 +101,25 @@ def test_none_text_survives_the_csv_scan(spark, tmp_path):
     assert (row["race"], row["A1Cresult"], row["diag_1"], row["encounter_id"]) == (None, "None", "250.83", 1)
 
 
+def test_csv_columns_bind_by_name(spark, tmp_path):
+    """Shuffled, further and missing columns; a value that does not fit is NULL."""
+    (tmp_path / "e.csv").write_text(
+        "readmitted,change,glyburide-metformin,number_inpatient,race,patient_nbr,encounter_id,age\n"
+        "<30,Ch,Up,428,?,11,7,[60-70)\nNO,No,No,many,Asian,12,8,?\n"
+    )
+    rows = E.read_encounters_csv(spark, str(tmp_path / "e.csv")).orderBy("encounter_id").collect()
+    assert rows[0].__fields__ == S.ENCOUNTER_COLUMNS
+    picked = [(r["encounter_id"], r["patient_nbr"], r["race"], r["age"], r["number_inpatient"], r["readmitted"]) for r in rows]
+    assert picked == [(7, 11, None, "[60-70)", 428, "<30"), (8, 12, "Asian", None, None, "NO")]
+    assert [r["glyburide_metformin"] for r in rows] == ["Up", "No"] and rows[0]["encounter_ts"] is None
+
+
+def test_csv_without_a_key_column_is_refused(spark, tmp_path):
+    (tmp_path / "e.csv").write_text("encounter_id,readmitted\n1,NO\n")
+    with pytest.raises(ValueError, match="patient_nbr"):
+        E.read_encounters_csv(spark, str(tmp_path / "e.csv"))
+
+
 @pytest.mark.parametrize("name", ["race_Asian", "a b", "[0-10)"])
 def test_safe_names(name):
     from wardstone.operators.features import safe_name

@@ -111,8 +111,10 @@ def test_attributions_are_shapley_values(spark, boosted):
 def test_importance_and_curve(spark, parts, boosted):
     top = M.feature_importance(boosted, spark, top=5).collect()
     assert len(top) == 5 and top[0]["importance"] >= top[-1]["importance"]
-    curve = M.boosting_curve(boosted, parts[1], every=4).collect()
+    curve = M.boosting_curve(boosted, parts[1], every=4).orderBy("trees").collect()
     assert [r["trees"] for r in curve] == [4, 8]
+    whole = V.roc_auc(boosted.transform(parts[1]), M.LABEL, "score").first()["auc"]
+    assert curve[-1]["auc"] == pytest.approx(whole, abs=1e-12)
 
 
 def test_logistic_on_the_ordinal_set_with_weights(parts):

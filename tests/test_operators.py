@@ -153,10 +153,36 @@ def test_lab_burden_is_strict(spark):
     assert at_cut.filter("high_lab_burden = 1").count() == 0
 
 
-def test_category_levels_refuse_identifiers(spark):
-    df = spark.range(50).select(F.col("id").cast("string").alias("c"))
-    with pytest.raises(ValueError):
-        X.category_levels(df, ["c"], max_levels=10)
+def test_category_levels_are_all_found(spark):
+    df = spark.range(3000).select(F.col("id").cast("string").alias("c"))
+    assert X.category_levels(df, ["c"]) == {"c": sorted(map(str, range(3000)))}
+
+
+@pytest.mark.parametrize("rows_per_range", [3, 10**6])
+def test_nan_is_the_largest_score_in_one_range_and_in_many(spark, rows_per_range):
+    rows = [(i % 2, float(i)) for i in range(20)] + [(1, float("nan")), (0, float("nan"))]
+    df = spark.createDataFrame(rows, "label int, score double")
+    found = V.running_counts(df, "label", "score", rows_per_range).collect()
+    place = {i: v for i, v in enumerate([float(i) for i in range(20)])} | {20: float("inf")}
+    want = {}
+    for r in found:
+        score = float("inf") if r["score"] != r["score"] else r["score"]
+        above = [(y, s) for y, s in rows if (float("inf") if s != s else s) >= score]
+        want[score] = (sum(y for y, _ in above), sum(1 - y for y, _ in above))
+        assert (r["tp"], r["fp"]) == want[score]
+    assert len(found) == len(place)
+
+
+def test_moments_of_wide_numbers(spark):
+    values = [4_000_000_000 + i * 7_919 for i in range(200)]
+    df = spark.createDataFrame([(i, v, v * 2 + i % 3) for i, v in enumerate(values)], "id long, a long, b long")
+    want = df.agg(F.corr("a", "b"), F.mean("a"), F.stddev("a"), F.regr_slope("b", "a")).first()
+    assert T.correlations(df, ["a", "b"]).first()["r"] == pytest.approx(want[0], abs=1e-9)
+    described = {r["feature"]: r for r in T.describe(df, ["a", "b"]).collect()}
+    assert (described["a"]["mean"], described["a"]["std"]) == pytest.approx((want[1], want[2]), rel=1e-9)
+    assert T.linear_trend(df, "a", "b").first()["slope"] == pytest.approx(want[3], rel=1e-6)
+    z = [r["a"] for r in T.standardize(df, ["a", "b"], ["id"]).collect()]
+    assert sum(z) == pytest.approx(0, abs=1e-6) and sum(v * v for v in z) / len(z) == pytest.approx(1, abs=1e-6)
 
 
 def test_encoder_ignores_unseen_levels(spark):
@@ -182,7 +208,7 @@ def test_quantiles_in_ranges(spark, p):
     counts = df.groupBy("measure", "value").agg(F.count("*").alias("n"))
     want = df.groupBy("measure").agg(F.percentile("value", p).alias("quantile"))
     for size in (50, 10**6):
-        got = {r["measure"]: r["quantile"] for r in ranked_quantiles(counts, ["measure"], p, size).collect()}
+        got = {r["measure"]: r["quantile"] for r in ranked_quantiles(counts, ["measure"], {"quantile": p}, size).collect()}
         assert got == pytest.approx({r["measure"]: r["quantile"] for r in want.collect()})
 
 

@@ -8,8 +8,6 @@ scores as for a billion.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,7 +50,7 @@ def running_counts(df: DataFrame, label: str, score: str, rows_per_range: int =
     within = Window.partitionBy("_range").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
     return (
         ranged.withColumns({"_tp": F.sum("pos").over(within), "_fp": F.sum("neg").over(within)})
-        .join(F.broadcast(offsets), "_range")  # bounded: one row per score range
+        .join(offsets, "_range")  # partitioned alike already; Spark broadcasts the offsets when they are few
         .select(
             "score", "pos", "neg",
             (F.col("_tp0") + F.col("_tp")).alias("tp"),
@@ -109,7 +107,7 @@ def average_precision(df: DataFrame, label: str, score: str) -> DataFrame:
     """
     gain = fraction(F.col("pos"), F.col("P")) * fraction(F.col("tp"), F.col("tp") + F.col("fp"))
     return running_counts(df, label, score).agg(
-        F.round(F.sum(gain), 6).alias("average_precision"),
+        F.sum(gain).alias("average_precision"),
         fraction(F.max("P"), F.max("P") + F.max("N")).alias("base_precision"),
     )
 
@@ -210,7 +208,7 @@ def calibration_table(df: DataFrame, label: str, score: str, bins: int = 10) ->
     )
     return grouped.select(
         "score_group", "count", "positives", "min_score", "max_score",
-        F.round(F.col("_s") / F.col("count"), 6).alias("mean_score"),
+        (F.col("_s") / F.col("count")).alias("mean_score"),
         fraction(F.col("positives"), F.col("count")).alias("observed_rate"),
     )
 
@@ -232,18 +230,43 @@ def subgroup_metrics(df: DataFrame, label: str, score: str, columns: list[str],
     )
 
 
-def model_comparison(scored: dict[str, DataFrame], label: str, score: str, threshold: float = 0.5) -> DataFrame:
-    """One row per model: AUC, average precision, and the positive class at the threshold."""
+def _running_by(scored: DataFrame, group: str, label: str, score: str, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """As ``running_counts``, for every group at once: the rows are scored and read once."""
+    rows = scored.select(group, F.col(score).alias("score"), F.col(label).alias("label"))
+    counts = (
+        rows.filter(F.col("score").isNotNull() & F.col("label").isNotNull())
+        .groupBy(group, "score").agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"))
+    )
+    ranged = with_range(materialize(counts, "group_scores"), "score", rows_per_range)
+    down = Window.partitionBy(group).orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy(group)
+    offsets = _totals(ranged, [group, "_range"]).select(
+        group, "_range",
+        (F.sum("pos").over(down) - F.col("pos")).alias("_tp0"), (F.sum("neg").over(down) - F.col("neg")).alias("_fp0"),
+        F.sum("pos").over(whole).alias("P"), F.sum("neg").over(whole).alias("N"),
+    )
+    within = Window.partitionBy(group, "_range").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        ranged.withColumns({"_tp": F.sum("pos").over(within), "_fp": F.sum("neg").over(within)})
+        .join(offsets, [group, "_range"])
+        .withColumns({"tp": F.col("_tp0") + F.col("_tp"), "fp": F.col("_fp0") + F.col("_fp")})
+    )
 
-    def one(name: str, df: DataFrame) -> DataFrame:
-        cells = df.agg(*[v.alias(c) for c, v in _cells(F.col(label), F.col(score) >= threshold).items()])
-        fp, fn, tp = F.col("fp"), F.col("fn"), F.col("tp")
-        precision, recall, f1 = _class_report(tp, fp, fn)
-        return cells.select(
-            F.lit(name).alias("model"),
-            roc_auc(df, label, score).select("auc").scalar().alias("auc"),
-            average_precision(df, label, score).select("average_precision").scalar().alias("average_precision"),
-            precision.alias("precision"), recall.alias("recall"), f1.alias("f1"),
-        )
 
-    return reduce(DataFrame.unionByName, [one(n, d) for n, d in scored.items()])
+def model_comparison(scored: DataFrame, model: str, label: str, score: str, threshold: float = 0.5) -> DataFrame:
+    """One row per model of long (model, label, score) rows: AUC, average precision, and the positive class at the threshold."""
+    below = exact(F.col("N") - F.col("fp"))
+    gain = fraction(F.col("pos"), F.col("P")) * fraction(F.col("tp"), F.col("tp") + F.col("fp"))
+    hit = F.col("score") >= threshold
+    grouped = _running_by(scored, model, label, score).groupBy(model).agg(
+        exact(F.sum(exact(F.col("pos")) * (below * 2 + exact(F.col("neg"))))).cast("double").alias("wins"),
+        (exact(F.max("P")) * exact(F.max("N")) * 2).cast("double").alias("pairs"),
+        F.sum(gain).alias("average_precision"),
+        F.sum(F.when(hit, F.col("pos")).otherwise(0)).alias("hits"), F.sum(F.when(hit, F.col("neg")).otherwise(0)).alias("wrong"),
+        F.sum(F.when(hit, 0).otherwise(F.col("pos"))).alias("missed"),
+    )
+    precision, recall, f1 = _class_report(F.col("hits"), F.col("wrong"), F.col("missed"))
+    return grouped.select(
+        model, (F.col("wins") / F.nullif(F.col("pairs"), F.lit(0.0))).alias("auc"), "average_precision",
+        precision.alias("precision"), recall.alias("recall"), f1.alias("f1"),
+    )

@@ -15,8 +15,6 @@ from wardstone.functions import clinical as C
 from wardstone.operators.segments import long_segments
 from wardstone.operators.stats import quantile, quantiles
 
-MAX_LEVELS = 2000
-
 FLAG_FEATURES = [
     "insulin_changed", "high_lab_burden", "admitted_from_er", "emergency_admission",
     "a1c_abnormal", "a1c_tested",
@@ -111,24 +109,24 @@ def as_category(column: Column) -> Column:
     return F.coalesce(column.cast("string"), F.lit(S.UNKNOWN))
 
 
-def category_levels(df: DataFrame, columns: list[str], max_levels: int = MAX_LEVELS) -> dict[str, list[str]]:
+def category_levels(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
     """Sorted levels of each categorical column, from one pass.
 
     The level lists become columns of the model matrix, so they come to the
-    driver; a column that is not really categorical is refused, not cut.
+    driver; their number is that of the matrix's columns.
     """
-    filled = df.select(*[as_category(F.col(c)).alias(c) for c in columns])
-    distinct = long_segments(filled, columns, []).distinct()
-    sizes = {r["dimension"]: r["count"] for r in distinct.groupBy("dimension").count().collect()}
-    too_many = {c: n for c, n in sizes.items() if n > max_levels}
-    if too_many:
-        raise ValueError(f"more than {max_levels} levels, not categorical: {too_many}")
     levels: dict[str, list[str]] = {c: [] for c in columns}
-    for row in distinct.collect():
+    for row in level_rows(df, columns).collect():
         levels[row["dimension"]].append(row["segment"])
     return {c: sorted(v) for c, v in levels.items()}
 
 
+def level_rows(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(dimension, segment) of every level that occurs, missing values as their own level."""
+    filled = df.select(*[as_category(F.col(c)).alias(c) for c in columns])
+    return long_segments(filled, columns, []).distinct()
+
+
 def _quoted(text: str) -> str:
     escaped = text.replace("\\", "\\\\").replace("'", "\\'")
     return f"'{escaped}'"

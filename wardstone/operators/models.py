@@ -14,14 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardstone.operators import features as X
-from wardstone.operators.evaluate import roc_auc
+from wardstone.operators.evaluate import model_comparison, roc_auc
 from wardstone.operators.smote import smote_balance
 from wardstone.operators.splits import stratified_folds, stratified_split, with_class_weight
+from wardstone.operators.trees import staged_margins
 from wardstone.session import ensure_checkpoint_dir
 
 LABEL = "readmitted_30"
 ID = "encounter_id"
-ROWS_PER_TASK = 50_000
 
 
 @dataclass(frozen=True)
@@ -35,6 +35,7 @@ class BoostingParams:
     column_share: float = 0.8
     min_rows: int = 5
     seed: int = 42
+    tasks: int = 8  # parts of the training rows; a fixed number keeps the fitted model independent of the cluster
 
 
 def score_column(df: DataFrame, alias: str = "score") -> DataFrame:
@@ -81,10 +82,10 @@ def balanced(train: DataFrame, how: str, seed: int) -> DataFrame:
     return train
 
 
-def _sized(rows: DataFrame) -> DataFrame:
-    """Training makes many short passes, so partitions should not be tiny; large tables keep theirs."""
-    wanted = max(1, -(-rows.count() // ROWS_PER_TASK))
-    return rows.coalesce(wanted) if wanted < rows.rdd.getNumPartitions() else rows
+def _dealt(rows: DataFrame, tasks: int) -> DataFrame:
+    """Rows dealt and ordered by their content, so that row sampling in the learner does not depend on the cluster."""
+    place = F.xxhash64(vector_to_array("features"), F.col(LABEL))
+    return rows.withColumn("_place", place).repartition(tasks, "_place").sortWithinPartitions("_place").drop("_place")
 
 
 def _weight(balance: str) -> dict[str, str]:
@@ -100,24 +101,25 @@ def fit_boosting(train: DataFrame, params: BoostingParams = BoostingParams(), ba
         minInstancesPerNode=params.min_rows, seed=params.seed, checkpointInterval=10, maxMemoryInMB=512,
         **_weight(balance),
     )
-    rows = balanced(train, balance, params.seed).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = _dealt(balanced(train, balance, params.seed), params.tasks).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return PipelineModel([learner.fit(_sized(rows))])
+        return PipelineModel([learner.fit(rows)])
     finally:
         rows.unpersist()
 
 
-def fit_logistic(train: DataFrame, max_iter: int = 1000, balance: str = "smote", seed: int = 42) -> PipelineModel:
+def fit_logistic(
+    train: DataFrame, max_iter: int = 1000, balance: str = "smote", seed: int = 42, tasks: int = 8
+) -> PipelineModel:
     """Logistic regression on standardised features, with a unit ridge penalty on the summed loss."""
-    rows = balanced(train, balance, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = _dealt(balanced(train, balance, seed), tasks).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        sized = _sized(rows)
-        scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True).fit(sized)
+        scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True).fit(rows)
         learner = LogisticRegression(
             labelCol=LABEL, featuresCol="scaled", maxIter=max_iter, regParam=1.0 / max(rows.count(), 1),
             standardization=False, **_weight(balance),
         )
-        return PipelineModel([scaler, learner.fit(scaler.transform(sized))])
+        return PipelineModel([scaler, learner.fit(scaler.transform(rows))])
     finally:
         rows.unpersist()
 
@@ -166,10 +168,9 @@ def feature_importance(model: RiskModel, spark: SparkSession, top: int = 15) ->
 
 
 def boosting_curve(model: RiskModel, held_out: DataFrame, every: int = 50) -> DataFrame:
-    """Loss on held-out rows after every ``every`` trees, and after the last one."""
-    losses = model.trees.evaluateEachIteration(encode(model.encoder, held_out))
-    kept = [(i + 1, float(v)) for i, v in enumerate(losses) if (i + 1) % every == 0 or i + 1 == len(losses)]
-    return held_out.sparkSession.createDataFrame(kept, "trees int, loss double")
+    """AUC on held-out rows after every ``every`` trees, and after the last one, from one pass over the rows."""
+    staged = staged_margins(model.trees, encode(model.encoder, held_out), [LABEL], every)
+    return model_comparison(staged, "trees", LABEL, "margin", threshold=0.0).select("trees", "auc")
 
 
 def save_model(model: RiskModel, spark: SparkSession, path: str) -> None:

@@ -2,7 +2,7 @@
 
 Values are first reduced to counts per distinct value. The distinct values are
 cut into ranges of nearly equal size; a total per range and a position inside
-the range then place every value.
+the range then place every value. NaN is the largest value.
 """
 
 from __future__ import annotations
@@ -12,24 +12,29 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 4096
+#: A table up to this many rows is sent to all tasks of a join; a larger one is shuffled.
+SMALL_TABLE = 100_000
+
+
+def beside(small: DataFrame) -> DataFrame:
+    """The table, marked for broadcast if it is small. It should be stored or cheap, because it is counted."""
+    return F.broadcast(small) if small.count() <= SMALL_TABLE else small
 
 
 def with_range(counts: DataFrame, column: str, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    """Adds ``_range``, rising with the column, with about ``rows_per_range`` rows in each."""
-    ranges = min(-(-counts.count() // rows_per_range), MAX_RANGES)
-    if ranges <= 1:
-        return counts.withColumn("_range", F.lit(0.0))
+    """Adds ``_range``, rising with the column, with about ``rows_per_range`` rows in each; NaN has the last one."""
+    ranges = -(-counts.count() // rows_per_range)
     steps = [i / ranges for i in range(1, ranges)]
-    bounds = sorted(set(counts.approxQuantile(column, steps, 0.1 / ranges)))
-    splits = [float("-inf"), *bounds, float("inf")]
-    return Bucketizer(splits=splits, inputCol=column, outputCol="_range").transform(counts)
+    bounds = sorted(set(counts.approxQuantile(column, steps, 0.1 / ranges))) if steps else []
+    inner = [b for b in bounds if abs(b) != float("inf")] or [0.0]
+    splits = [float("-inf"), *inner, float("inf")]
+    return Bucketizer(splits=splits, inputCol=column, outputCol="_range", handleInvalid="keep").transform(counts)
 
 
 def ranked_quantiles(
-    counts: DataFrame, keys: list[str], probability: float, rows_per_range: int = ROWS_PER_RANGE
+    counts: DataFrame, keys: list[str], wanted: dict[str, float], rows_per_range: int = ROWS_PER_RANGE
 ) -> DataFrame:
-    """Quantile with linear interpolation per key, from stored (keys, value, n) rows."""
+    """Quantiles with linear interpolation per key as columns, from stored (keys, value, n) rows."""
     ranged = with_range(counts, "value", rows_per_range)
     up = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = (
@@ -44,21 +49,21 @@ def ranked_quantiles(
     within = Window.partitionBy(*keys, "_range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     placed = (
         ranged.withColumn("_upto", F.sum("n").over(within))
-        .join(F.broadcast(offsets), [*keys, "_range"])  # bounded: one row per key and range
+        .join(offsets, [*keys, "_range"])  # partitioned alike already; Spark broadcasts the offsets when they are few
         .select(
             *keys, "value", "_rows",
             (F.col("_offset") + F.col("_upto") - F.col("n")).alias("_first"),
             (F.col("_offset") + F.col("_upto") - 1).alias("_last"),
         )
     )
-    position = (F.col("_rows") - 1) * F.lit(probability)
-    low, high = F.floor(position), F.ceil(position)
-
-    def at(index):
-        return F.max(F.when((F.col("_first") <= index) & (index <= F.col("_last")), F.col("value")))
-
-    found = placed.groupBy(*keys).agg(
-        at(low).alias("_low"), at(high).alias("_high"), F.max(position - low).alias("_share")
-    )
-    between = F.col("_low") + F.col("_share") * (F.col("_high") - F.col("_low"))
-    return found.select(*keys, between.alias("quantile"))
+    found, shares = [], {}
+    for i, (name, probability) in enumerate(wanted.items()):
+        position = (F.col("_rows") - 1) * F.lit(probability)
+        low, high = F.floor(position), F.ceil(position)
+        for side, index in (("low", low), ("high", high)):
+            here = (F.col("_first") <= index) & (index <= F.col("_last"))
+            found.append(F.max(F.when(here, F.col("value"))).alias(f"_{side}{i}"))
+        found.append(F.max(position - low).alias(f"_share{i}"))
+        step = F.col(f"_share{i}") * (F.col(f"_high{i}") - F.col(f"_low{i}"))
+        shares[name] = F.col(f"_low{i}") + F.when(F.col(f"_share{i}") == 0, 0.0).otherwise(step)
+    return placed.groupBy(*keys).agg(*found).select(*keys, *[c.alias(n) for n, c in shares.items()])

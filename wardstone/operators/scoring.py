@@ -11,6 +11,7 @@ from wardstone.functions.rates import count_where, rate_pct
 
 # ---- fixed values: defaults of the scoring form ----
 FORM_AGE_DEFAULT = 65
+FORM_UNKNOWN_AGES = ["[0-10)"]
 FORM_LAB_CUT = 54
 EMERGENCY = "Emergency"
 
@@ -52,7 +53,9 @@ def request_features(df: DataFrame) -> DataFrame:
         "num_diagnoses": "number_diagnoses",
     }
     features: dict[str, Column] = {
-        "age_numeric": C.age_midpoint(F.col("age"), FORM_AGE_DEFAULT),
+        "age_numeric": F.when(F.col("age").isin(FORM_UNKNOWN_AGES), FORM_AGE_DEFAULT).otherwise(
+            C.age_midpoint(F.col("age"), FORM_AGE_DEFAULT)
+        ),
         "time_in_hospital": F.col("time_in_hospital"),
         "num_procedures": F.col("num_procedures"),
         "num_medications": F.col("num_medications"),

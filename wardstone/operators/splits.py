@@ -15,7 +15,12 @@ from wardstone.functions.clinical import seeded_hash
 from wardstone.functions.rates import integer_div
 
 HASH_RANGE = (1 << 31) - 1
-RANGES = 16384
+ROWS_PER_RANGE = 100_000
+
+
+def ranges_for(df: DataFrame) -> int:
+    """Hash ranges of about ``ROWS_PER_RANGE`` rows."""
+    return max(1, -(-df.count() // ROWS_PER_RANGE))
 
 
 def _with_range(df: DataFrame, id_column: str, seed: int, ranges: int) -> DataFrame:
@@ -37,14 +42,14 @@ def _range_offsets(hashed: DataFrame, label: str) -> DataFrame:
     )
 
 
-def class_rank(df: DataFrame, label: str, id_column: str, seed: int = 42, ranges: int = RANGES) -> DataFrame:
+def class_rank(df: DataFrame, label: str, id_column: str, seed: int = 42, ranges: int | None = None) -> DataFrame:
     """Adds ``class_rank`` (1, 2, …) and ``class_rows``: the exact position in hash order within the label."""
-    hashed = _with_range(df, id_column, seed, ranges)
+    hashed = _with_range(df, id_column, seed, ranges or ranges_for(df))
     within = Window.partitionBy(label, "_range").orderBy("_order", id_column)
     ranked = hashed.withColumn("_pos", F.row_number().over(within))
     offsets = _range_offsets(hashed, label).drop("_n")
     return (
-        ranked.join(F.broadcast(offsets), [label, "_range"])  # bounded: classes × ranges rows
+        ranked.join(offsets, [label, "_range"])  # partitioned alike already
         .withColumn("class_rank", F.col("_before") + F.col("_pos"))
         .withColumnRenamed("_class_rows", "class_rows")
         .drop("_order", "_range", "_pos", "_before")
@@ -62,7 +67,7 @@ def stratified_split(df: DataFrame, label: str, id_column: str, test: float = 0.
     Whole hash ranges fall on one side or the other; only the range that holds
     the cut needs a rank, so nearly all rows are decided without a shuffle.
     """
-    hashed = _with_range(df, id_column, seed, RANGES)
+    hashed = _with_range(df, id_column, seed, ranges_for(df))
     offsets = _range_offsets(hashed, label)
     wanted = test_rows(F.col("_class_rows"), test)
     cuts = (

@@ -1,22 +1,21 @@
 """Descriptive statistics.
 
-Moments of whole-number columns come from integer sums kept exact in wide
-decimals, so results do not depend on the order in which partitions are
-combined; columns with fractions use doubles. Quantiles are taken over value
+Moments of whole-number columns come from products and sums in wide decimals, so
+results do not depend on the order in which partitions are combined; columns
+with fractions use doubles. Quantiles are taken over value
 counts, not rows: the table is first reduced to (group, measure, value) counts
 on the map side.
 """
 
 from __future__ import annotations
 
-from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from wardstone.operators.ranges import ranked_quantiles
+from wardstone.operators.ranges import beside, ranked_quantiles
 from wardstone.session import materialize
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
@@ -28,7 +27,14 @@ def _whole(df: DataFrame, columns: list[str]) -> bool:
 
 def _number_types(df: DataFrame, columns: list[str]) -> tuple[str, str]:
     """SQL types of a value and of a sum: exact for whole numbers, double otherwise."""
-    return ("bigint", "decimal(38,0)") if _whole(df, columns) else ("double", "double")
+    return ("decimal(19,0)", "decimal(38,0)") if _whole(df, columns) else ("double", "double")
+
+
+def _difference(a: str, b: str, c: str, d: str) -> str:
+    """a·b − c·d as a double: exact where 38 digits hold the products, else of doubles."""
+    exact = f"cast(try_subtract(try_multiply({a}, {b}), try_multiply({c}, {d})) as double)"
+    doubles = [f"cast({x} as double)" for x in (a, b, c, d)]
+    return f"coalesce({exact}, {doubles[0]} * {doubles[1]} - {doubles[2]} * {doubles[3]})"
 
 
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -46,10 +52,10 @@ def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
     totals = complete.agg(*[F.expr(f"cast({sql} as {total}) AS {name}") for name, sql in terms.items()])
 
     def spread(c: str) -> str:
-        return f"sqrt(cast(n * q_{c} - s_{c} * s_{c} as double))"
+        return f"sqrt({_difference('n', f'q_{c}', f's_{c}', f's_{c}')})"
 
     def r(a: str, b: str) -> str:
-        return f"cast(n * x_{a}_{b} - s_{a} * s_{b} as double) / nullif({spread(a)} * {spread(b)}, 0D)"
+        return f"{_difference('n', f'x_{a}_{b}', f's_{a}', f's_{b}')} / nullif({spread(a)} * {spread(b)}, 0D)"
 
     rows = ", ".join(f"struct('{a}' AS a, '{b}' AS b, {r(a, b)} AS r)" for a, b in pairs)
     return totals.select(F.expr(f"inline(array({rows}))"))
@@ -68,19 +74,9 @@ def value_frequencies(df: DataFrame, columns: list[str], by: list[str | Column])
     return rows.groupBy(*groups, "measure", "value").agg(F.count("*").alias("n"))
 
 
-def _quantile_table(counts: DataFrame, keys: list[str], wanted: dict[str, float], whole: bool) -> DataFrame:
-    """Exact quantiles per key as columns, from (keys, value, n) rows.
-
-    Whole-number measures have few distinct values, which one aggregate can
-    hold. Continuous ones may have as many as there are rows and are ranked in
-    ranges instead.
-    """
-    if whole:
-        points = F.percentile("value", F.array(*[F.lit(p) for p in wanted.values()]), F.col("n"))
-        found = counts.groupBy(*keys).agg(points.alias("_q"))
-        return found.select(*keys, *[F.col("_q")[i].alias(name) for i, name in enumerate(wanted)])
-    tables = [ranked_quantiles(counts, keys, p).withColumnRenamed("quantile", name) for name, p in wanted.items()]
-    return reduce(lambda left, right: left.join(right, keys), tables)
+def _counted(df: DataFrame, columns: list[str], by: list[str | Column]) -> DataFrame:
+    """The stored frequencies; moments and quantiles then read them instead of the table."""
+    return materialize(value_frequencies(df, columns, by), "value_counts")
 
 
 def boxplot_stats(df: DataFrame, by: str, columns: list[str]) -> DataFrame:
@@ -89,15 +85,15 @@ def boxplot_stats(df: DataFrame, by: str, columns: list[str]) -> DataFrame:
     Both steps read the (group, measure, value) counts; the second joins one
     row of quartiles per group and measure, so no list of values is gathered.
     """
-    frequencies = value_frequencies(df, columns, [by])
-    if not _whole(df, columns):
-        frequencies = materialize(frequencies, "value_counts")
-    quartiles = _quantile_table(frequencies, [by, "measure"], QUARTILES, _whole(df, columns))
+    frequencies = _counted(df, columns, [by])
+    quartiles = materialize(ranked_quantiles(frequencies, [by, "measure"], QUARTILES), "quartiles")
+    quartiles = quartiles.withColumnRenamed(by, "_by").withColumnRenamed("measure", "_measure")
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
     keys = [by, "measure", "q1", "median", "q3"]
+    same = F.col(by).eqNullSafe(F.col("_by")) & (F.col("measure") == F.col("_measure"))
     return (
-        frequencies.join(quartiles, [by, "measure"])
+        frequencies.join(beside(quartiles), same)
         .groupBy(*keys)
         .agg(
             F.sum("n").alias("count"),
@@ -110,25 +106,23 @@ def boxplot_stats(df: DataFrame, by: str, columns: list[str]) -> DataFrame:
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum per column."""
-    whole = _whole(df, columns)
     number, total = _number_types(df, columns)
-    counts = value_frequencies(df, columns, [])
-    if not whole:
-        counts = materialize(counts, "value_counts")
+    counts = _counted(df, columns, [])
     value = f"cast(value as {number})"
+    many = f"cast(n as {number})"
     moments = counts.groupBy("measure").agg(
         F.sum("n").alias("count"),
-        F.expr(f"cast(sum({value} * n) as {total}) AS s"),
-        F.expr(f"cast(sum({value} * {value} * n) as {total}) AS q"),
+        F.expr(f"cast(sum({value} * {many}) as {total}) AS s"),
+        F.expr(f"cast(sum({value} * {value} * {many}) as {total}) AS q"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    points = _quantile_table(counts, ["measure"], {"p25": 0.25, "p50": 0.5, "p75": 0.75}, whole)
+    points = ranked_quantiles(counts, ["measure"], {"p25": 0.25, "p50": 0.5, "p75": 0.75})
     n = f"cast(count as {total})"
     return moments.join(points, "measure").select(
         F.col("measure").alias("feature"), "count",
         F.expr("cast(s as double) / cast(count as double) AS mean"),
-        F.expr(f"sqrt(cast({n} * q - s * s as double) / nullif(cast({n} * ({n} - 1) as double), 0D)) AS std"),
+        F.expr(f"sqrt({_difference(n, 'q', 's', 's')} / nullif(cast(count as double) * cast(count - 1 as double), 0D)) AS std"),
         "min", "p25", "p50", "p75", "max",
     )
 
@@ -140,11 +134,7 @@ def quantile(df: DataFrame, column: str, probability: float, alias: str) -> Data
 
 def quantiles(df: DataFrame, columns: list[str], probability: float) -> DataFrame:
     """The same quantile of several columns, long form (measure, quantile)."""
-    whole = _whole(df, columns)
-    counts = value_frequencies(df, columns, [])
-    return _quantile_table(
-        counts if whole else materialize(counts, "value_counts"), ["measure"], {"quantile": probability}, whole
-    )
+    return ranked_quantiles(_counted(df, columns, []), ["measure"], {"quantile": probability})
 
 
 def linear_trend(df: DataFrame, x: str, y: str) -> DataFrame:
@@ -155,9 +145,9 @@ def linear_trend(df: DataFrame, x: str, y: str) -> DataFrame:
     totals = points.agg(*[F.expr(f"cast({sql} as {total}) AS {name}") for name, sql in terms.items()])
     spreads = totals.selectExpr(
         "n", "sx", "sy",
-        "nullif(cast(n * sxx - sx * sx as double), 0D) AS vx",
-        "nullif(cast(n * syy - sy * sy as double), 0D) AS vy",
-        "cast(n * sxy - sx * sy as double) AS cov",
+        f"nullif({_difference('n', 'sxx', 'sx', 'sx')}, 0D) AS vx",
+        f"nullif({_difference('n', 'syy', 'sy', 'sy')}, 0D) AS vy",
+        f"{_difference('n', 'sxy', 'sx', 'sy')} AS cov",
     )
     return spreads.selectExpr(
         "cast(n as bigint) AS n",
@@ -170,17 +160,19 @@ def linear_trend(df: DataFrame, x: str, y: str) -> DataFrame:
 def score_histogram(df: DataFrame, score: str, by: str, bins: int = 50) -> DataFrame:
     """Density histogram of a score per class, with equal bins over that class's own range.
 
-    A class holds one row of bounds, so the join back to the rows is small by
-    construction (``by`` is a class label). Empty bins are kept.
+    A class holds one row of bounds, which are sent to the rows after a check of
+    their number. Empty bins are kept.
     """
-    bounds = df.groupBy(by).agg(F.min(score).alias("lo"), F.max(score).alias("hi"), F.count(score).alias("n"))
+    bounds = materialize(
+        df.groupBy(by).agg(F.min(score).alias("lo"), F.max(score).alias("hi"), F.count(score).alias("n")), "class_bounds"
+    )
     span = (F.col("hi") - F.col("lo")).cast("double")
     position = (F.col(score) - F.col("lo")).cast("double") * bins / F.nullif(span, F.lit(0.0))
     index = F.least(F.coalesce(F.floor(position), F.lit(bins // 2)), F.lit(bins - 1)).cast("int")
     counted = (
         df.filter(F.col(score).isNotNull())
         .select(by, score)
-        .join(bounds, by)
+        .join(beside(bounds), by)
         .groupBy(by, index.alias("bin"))
         .agg(F.count("*").alias("count"))
     )
@@ -199,13 +191,13 @@ def standardize(df: DataFrame, columns: list[str], keep: list[str]) -> DataFrame
     number, total = _number_types(df, columns)
     terms = {"n": "count(*)"}
     for c in columns:
-        terms |= {f"s_{c}": f"sum(cast({c} as {number}))", f"q_{c}": f"sum(cast({c} as {number}) * {c})"}
+        terms |= {f"s_{c}": f"sum(cast({c} as {number}))", f"q_{c}": f"sum(cast({c} as {number}) * cast({c} as {number}))"}
     sums = [F.expr(f"cast({sql} as {total}) AS {name}") for name, sql in terms.items()]
     stats = df.agg(F.struct(*sums).alias("t")).scalar()
 
     def z(c: str) -> str:
         n = "cast(_t.n as double)"
-        deviation = f"sqrt(cast(_t.n * _t.q_{c} - _t.s_{c} * _t.s_{c} as double)) / {n}"
+        deviation = f"sqrt({_difference('_t.n', f'_t.q_{c}', f'_t.s_{c}', f'_t.s_{c}')}) / {n}"
         return f"(cast({c} as double) - cast(_t.s_{c} as double) / {n}) / nullif({deviation}, 0D) AS {c}"
 
     return df.select(*keep, *columns).withColumn("_t", stats).selectExpr(*keep, *[z(c) for c in columns])

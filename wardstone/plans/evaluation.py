@@ -75,7 +75,8 @@ def pr_curve(spark, sf):
     ),
 )
 def average_precision(spark, sf):
-    return V.average_precision(_scored(spark, sf), "label", "score")
+    found = V.average_precision(_scored(spark, sf), "label", "score")
+    return found.withColumn("average_precision", F.round("average_precision", 6))
 
 
 def _cells(test: str) -> str:
@@ -166,7 +167,7 @@ def threshold_sweep(spark, sf):
     ),
 )
 def calibration_table(spark, sf):
-    return V.calibration_table(_scored(spark, sf), "label", "score")
+    return V.calibration_table(_scored(spark, sf), "label", "score").withColumn("mean_score", F.round("mean_score", 6))
 
 
 @query(

@@ -10,7 +10,7 @@ from wardstone.plans.oracle import features, over
 from wardstone.plans.registry import query
 from wardstone.plans.tables import encounters, first_encounters
 
-# ---- fixed values: categorical levels of the data set, sorted; the first of each is dropped ----
+# Levels as the SQL side lists them; the queries find them in the data.
 LEVELS = {
     "race": ["AfricanAmerican", "Asian", "Caucasian", "Hispanic", "Other", "Unknown"],
     "gender": ["Female", "Male", "Unknown/Invalid"],
@@ -102,7 +102,24 @@ def _dummies(columns: list[str], sanitize: bool = False) -> list[str]:
 )
 def onehot_race_gender(spark, sf):
     kept = first_encounters(spark, sf).select("encounter_id", "race", "gender")
-    return X.one_hot(kept, {c: LEVELS[c] for c in ("race", "gender")})
+    return X.one_hot(kept, X.category_levels(kept, ["race", "gender"]))
+
+
+def _levels(spark, sf, spec):
+    return X.category_levels(X.build_features(first_encounters(spark, sf), spec, lab_p75=0.0), spec.categorical)
+
+
+@query(
+    "category_levels",
+    over(
+        " UNION ".join(
+            f"SELECT '{c}' AS dimension, COALESCE(CAST({c} AS VARCHAR), 'Unknown') AS segment FROM features" for c in LEVELS
+        ),
+        features("first_encounters"), source="first_encounters",
+    ),
+)
+def category_levels(spark, sf):
+    return X.level_rows(X.build_features(first_encounters(spark, sf), lab_p75=0.0), list(LEVELS))
 
 
 _MEDIANS = ", ".join(
@@ -119,8 +136,7 @@ _MEDIANS = ", ".join(
     ),
 )
 def model_ready(spark, sf):
-    levels = {c: LEVELS[c] for c in X.CLINICAL.categorical}
-    return X.model_ready(first_encounters(spark, sf), X.CLINICAL, levels, ["encounter_id", "readmitted_30"])
+    return X.model_ready(first_encounters(spark, sf), X.CLINICAL, _levels(spark, sf, X.CLINICAL), ["encounter_id", "readmitted_30"])
 
 
 _ORDINAL_NUMERIC = ", ".join(
@@ -137,8 +153,7 @@ _ORDINAL_NUMERIC = ", ".join(
     ),
 )
 def model_ready_ordinal(spark, sf):
-    levels = {c: LEVELS[c] for c in X.ORDINAL.categorical}
-    return X.model_ready(first_encounters(spark, sf), X.ORDINAL, levels, ["encounter_id", "readmitted_30"])
+    return X.model_ready(first_encounters(spark, sf), X.ORDINAL, _levels(spark, sf, X.ORDINAL), ["encounter_id", "readmitted_30"])
 
 
 _SPARSE = {"num_lab_procedures": "number_inpatient", "num_medications": "num_procedures"}
@@ -181,7 +196,7 @@ def scoring_requests(df):
     )
 
 
-_REQUEST_SQL = f"""SELECT encounter_id AS request_id, CAST(SUBSTR(age, 2, POSITION('-' IN age) - 2) AS INT) + 5 AS age_numeric,
+_REQUEST_SQL = f"""SELECT encounter_id AS request_id, CASE WHEN age = '[0-10)' THEN 65 ELSE CAST(SUBSTR(age, 2, POSITION('-' IN age) - 2) AS INT) + 5 END AS age_numeric,
   time_in_hospital, num_lab_procedures, num_procedures, num_medications, number_outpatient, number_emergency, number_inpatient,
   number_diagnoses, number_inpatient*3 + number_emergency*2 + number_outpatient AS prior_utilization_score,
   LEAST(number_diagnoses, 3) AS comorbidity_count, CAST(insulin IN ('Up','Down') AS INT) AS medication_changes,

@@ -2,13 +2,15 @@
 
 The rows of the training set, the balanced set and the fitted models are made
 once per application and table folder, as a training job would leave them for
-scoring jobs. Ensembles here have 60 trees; the library default is 300.
+scoring jobs. A fitted model's numbers have no SQL form; the queries named
+*_checks state what must hold for them row by row, and those have oracles.
 """
 
 from collections.abc import Callable
+from functools import reduce
 from typing import TypeVar
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardstone.operators import evaluate as V
@@ -18,14 +20,16 @@ from wardstone.operators import trees as T
 from wardstone.operators.features import fit_encoder
 from wardstone.operators.scoring import scorecard_inputs, scorecard as add_scorecard
 from wardstone.operators.smote import smote_balance as balance_by_smote
+from wardstone.operators.stats import score_histogram
 from wardstone.plans.oracle import over, scored, seeded_hash
 from wardstone.plans.registry import query
 from wardstone.plans.tables import first_encounters, stored
 from wardstone.session import scratch_path
+from wardstone.sources.encounters import write_csv
 from wardstone.sources.orders_fixture import encounter_stream
 from wardstone.streaming.scoring import SCORED_COLUMNS, score_stream
 
-PARAMS = M.BoostingParams(trees=60)
+PARAMS = M.BoostingParams()
 _FITTED: dict[tuple[str, str, str], object] = {}
 Fitted = TypeVar("Fitted")
 
@@ -127,25 +131,29 @@ def model_round_trip(spark, sf):
     return _predictions(M.load_model(spark, path).transform(_test(spark, sf)))
 
 
+def _compared(spark, sf):
+    """(model, label, score) of the test rows by every model, each scored once."""
+    test = _test(spark, sf)
+    card = add_scorecard(scorecard_inputs(test)).withColumn(M.LABEL, (F.col("readmitted") == "<30").cast("int"))
+    scored = {
+        "naive": card.withColumn("score", F.lit(0.0)),
+        "scorecard": card,
+        "logistic regression": _logistic(spark, sf).transform(test),
+        "boosted trees": _boosted(spark, sf).transform(test),
+    }
+    parts = [df.select(F.lit(name).alias("model"), M.ID, M.LABEL, F.col("score").cast("double").alias("score")) for name, df in scored.items()]
+    return stored(spark, sf, "compared", lambda: reduce(DataFrame.unionByName, parts))
+
+
 @query("model_comparison")
 def model_comparison(spark, sf):
-    test = _test(spark, sf)
-    labelled = add_scorecard(scorecard_inputs(test)).withColumn(M.LABEL, (F.col("readmitted") == "<30").cast("int"))
-    return V.model_comparison(
-        {
-            "naive": labelled.withColumn("score", F.lit(0.0)),
-            "scorecard": labelled,
-            "logistic regression": _logistic(spark, sf).transform(test),
-            "boosted trees": _boosted(spark, sf).transform(test),
-        },
-        M.LABEL, "score",
-    )
+    return V.model_comparison(_compared(spark, sf), "model", M.LABEL, "score")
 
 
 def _explained(spark, sf):
     def explain():
         model = _boosted(spark, sf)
-        return T.tree_attributions(model.trees, M.encode(model.encoder, _test(spark, sf)), M.ID)
+        return T.tree_attributions(model.trees, model.transform(_test(spark, sf)), M.ID)
 
     return stored(spark, sf, "explained", explain)
 
@@ -157,9 +165,8 @@ def _long(spark, sf):
 @query("tree_attributions")
 def tree_attributions(spark, sf):
     """Base value plus contributions, next to the margin they must add up to."""
-    margin = _boosted(spark, sf).transform(_test(spark, sf)).select(M.ID, vector_to_array("rawPrediction")[1].alias("margin"))
     total = F.aggregate("phi", F.col("base_value"), lambda a, v: a + v)
-    return _explained(spark, sf).select(M.ID, "base_value", total.alias("explained_margin")).join(margin, M.ID)
+    return _explained(spark, sf).select(M.ID, "base_value", total.alias("explained_margin"), "margin")
 
 
 @query("attribution_long")
@@ -178,6 +185,119 @@ def tree_patient_breakdown(spark, sf):
     return A.patient_breakdown(_explained(spark, sf), M.ID, entries, F.col("base_value"), max_display=12)
 
 
+_SPLIT = f"""split AS (SELECT encounter_id, readmitted_30, rn <= FLOOR(n * 0.2::DOUBLE + 0.5) AS is_test FROM (
+  SELECT encounter_id, CAST(readmitted = '<30' AS INT) AS readmitted_30,
+    ROW_NUMBER() OVER (PARTITION BY readmitted = '<30' ORDER BY {seeded_hash("encounter_id", 42)}, encounter_id) AS rn,
+    COUNT(*) OVER (PARTITION BY readmitted = '<30') AS n FROM first_encounters)),
+test AS (SELECT encounter_id, readmitted_30 FROM split WHERE is_test)"""
+
+
+def _checks(body: str) -> str:
+    return over(body, _SPLIT, source="first_encounters")
+
+
+@query(
+    "score_checks",
+    _checks(
+        """SELECT model, encounter_id, readmitted_30, TRUE AS in_range FROM test,
+        (VALUES ('naive'), ('scorecard'), ('logistic regression'), ('boosted trees')) v(model)"""
+    ),
+)
+def score_checks(spark, sf):
+    """Every model scores every test row once, within 0 and 1."""
+    return _compared(spark, sf).select("model", M.ID, M.LABEL, F.col("score").between(0, 1).alias("in_range"))
+
+
+@query("round_trip_checks", _checks("SELECT encounter_id, readmitted_30, TRUE AS same_score FROM test"))
+def round_trip_checks(spark, sf):
+    """The loaded model gives each test row the score that the model gave it before it was saved."""
+    direct = _compared(spark, sf).where("model = 'boosted trees'").select(M.ID, F.col("score").alias("direct"))
+    loaded = model_round_trip(spark, sf).join(direct, M.ID, "left")
+    return loaded.select(M.ID, M.LABEL, F.col("score").eqNullSafe(F.col("direct")).alias("same_score"))
+
+
+@query("attribution_checks", _checks("SELECT encounter_id, TRUE AS adds_up FROM test"))
+def attribution_checks(spark, sf):
+    """Each test row's contributions and the base value add up to its margin."""
+    adds_up = F.abs(F.col("explained_margin") - F.col("margin")) < 1e-9 * F.greatest(F.lit(1.0), F.abs("margin"))
+    return tree_attributions(spark, sf).select(M.ID, adds_up.alias("adds_up"))
+
+
+@query(
+    "quality_checks",
+    _checks(
+        """SELECT check_name, TRUE AS holds FROM (VALUES ('importances are shares'), ('folds have an area between 0 and 1'),
+        ('naive area is one half'), ('boosted trees rank better than chance'), ('logistic regression ranks better than chance'),
+        ('curve ends at the last tree')) v(check_name)"""
+    ),
+)
+def quality_checks(spark, sf):
+    """What must hold for the fitted models as a whole."""
+    model = _boosted(spark, sf)
+    importance = M.feature_importance(model, spark, top=len(model.names)).agg(
+        (F.abs(F.sum("importance") - 1) < 1e-9) & (F.min("importance") >= 0)
+    )
+    folds = lr_cv_auc(spark, sf).agg((F.count_if(F.col("auc").between(0, 1)) == 5) & (F.count("*") == 5))
+    areas = model_comparison(spark, sf)
+    curve = boosting_curve(spark, sf).agg((F.max("trees") == PARAMS.trees) & (F.count("*") == PARAMS.trees // 50))
+
+    def area(name, test):
+        return areas.where(F.col("model") == name).select(test(F.col("auc")))
+
+    found = {
+        "importances are shares": importance,
+        "folds have an area between 0 and 1": folds,
+        "naive area is one half": area("naive", lambda a: a == 0.5),
+        "boosted trees rank better than chance": area("boosted trees", lambda a: a > 0.5),
+        "logistic regression ranks better than chance": area("logistic regression", lambda a: a > 0.5),
+        "curve ends at the last tree": curve,
+    }
+    return reduce(DataFrame.union, [df.toDF("holds").select(F.lit(n).alias("check_name"), "holds") for n, df in found.items()])
+
+
+@query(
+    "model_histogram_checks",
+    _checks("SELECT readmitted_30, CAST(COUNT(*) AS BIGINT) AS rows, CAST(50 AS BIGINT) AS bins FROM test GROUP BY readmitted_30"),
+)
+def model_histogram_checks(spark, sf):
+    """The model's score histogram holds each class's test rows in fifty bins."""
+    return model_score_histogram(spark, sf).groupBy(M.LABEL).agg(F.sum("count").alias("rows"), F.count("*").alias("bins"))
+
+
+def _boosted_scores(spark, sf):
+    return _compared(spark, sf).where("model = 'boosted trees'")
+
+
+@query("model_score_histogram")
+def model_score_histogram(spark, sf):
+    return score_histogram(_boosted_scores(spark, sf), "score", M.LABEL)
+
+
+@query("model_threshold_sweep")
+def model_threshold_sweep(spark, sf):
+    return V.threshold_sweep(_boosted_scores(spark, sf), M.LABEL, "score", [0.1, 0.15, 0.2, 0.25, 0.3, 0.4, 0.5])
+
+
+@query("model_export_predictions")
+def model_export_predictions(spark, sf):
+    """The model's predictions written as CSV for the dashboard, then read back."""
+    path = scratch_path(spark, "model_predictions")
+    exported = _predictions(_boosted_scores(spark, sf))
+    write_csv(exported, path)
+    return spark.read.schema(exported.schema).option("header", True).csv(path)
+
+
+@query("tree_dependence")
+def tree_dependence(spark, sf):
+    """Prior inpatient stays against their contribution to the model's margin, with the number of diagnoses beside."""
+    names = _boosted(spark, sf).names
+    at, other = names.index("number_inpatient"), names.index("number_diagnoses")
+    wide = _explained(spark, sf).select(
+        M.ID, F.col("x")[at].alias("number_inpatient"), F.col("x")[other].alias("number_diagnoses"), F.col("phi")[at].alias("phi_number_inpatient")
+    )
+    return A.dependence_table(wide, M.ID, "number_inpatient", "number_diagnoses")
+
+
 _SCORED = ", ".join(SCORED_COLUMNS)
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from wardstone.schema import ENCOUNTER_COLUMNS, MEDICATIONS, TOKEN_COLUMNS
+from wardstone.schema import ENCOUNTER_COLUMNS, ENCOUNTER_SCHEMA, MEDICATIONS
 
 
 def _draws(sql: str) -> str:
@@ -64,7 +64,8 @@ SELECT o_orderkey + 1 AS encounter_id, o_custkey * 10 + o_orderkey % 10 AS patie
 FROM base)"""
 )
 
-_NORMAL = ", ".join(f"NULLIF({c}, '?') AS {c}" for c in TOKEN_COLUMNS)
+_TEXT_COLUMNS = [f.name for f in ENCOUNTER_SCHEMA if f.dataType.simpleString() == "string"]
+_NORMAL = ", ".join(f"NULLIF({c}, '?') AS {c}" for c in _TEXT_COLUMNS)
 NORMALIZED = f"encounters AS (SELECT * REPLACE ({_NORMAL}) FROM raw_encounters)"
 FIRST = """first_encounters AS (
   SELECT * FROM encounters WHERE encounter_id IN (SELECT MIN(encounter_id) FROM encounters GROUP BY patient_nbr))"""

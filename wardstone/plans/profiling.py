@@ -14,6 +14,7 @@ from wardstone.plans.tables import encounters
 from wardstone.sources.orders_fixture import raw_encounters
 
 _ALL = ", ".join(S.ENCOUNTER_COLUMNS)
+# ---- fixed values: names of the result columns ----
 _KEY_COLUMNS = {
     "race": "missing_race", "weight": "missing_weight", "diag_1": "missing_diag1", "diag_2": "missing_diag2",
     "diag_3": "missing_diag3", "payer_code": "missing_payer",
@@ -25,11 +26,42 @@ def ingest_nulls(spark, sf):
     return encounters(spark, sf)
 
 
-@query("csv_scan", over(f"SELECT {_ALL} FROM encounters"))
+# ---- fixed values: the published file's column order and spelling, with two columns that are not used here ----
+_FILE_COLUMNS = [
+    "encounter_id", "patient_nbr", "race", "gender", "age", "weight", "admission_type_id", "discharge_disposition_id",
+    "admission_source_id", "time_in_hospital", "payer_code", "medical_specialty", "num_lab_procedures", "num_procedures",
+    "num_medications", "number_outpatient", "number_emergency", "number_inpatient", "diag_1", "diag_2", "diag_3",
+    "number_diagnoses", "max_glu_serum", "A1Cresult", *S.MEDICATIONS[:16], "change", "diabetesMed", *S.MEDICATIONS[16:],
+    "readmitted",
+]
+
+
+def _published(raw):
+    """Raw rows as the published file holds them: no time stamp, hyphenated combination drugs, further columns."""
+    extra = raw.withColumns({"change": F.lit("No"), "diabetesMed": F.lit("Yes")})
+    return extra.select(*[F.col(c).alias(c.replace("_", "-") if c in S.MEDICATIONS else c) for c in _FILE_COLUMNS])
+
+
+@query(
+    "csv_scan",
+    over(
+        "SELECT "
+        + ", ".join("CAST(NULL AS TIMESTAMP) AS encounter_ts" if c == "encounter_ts" else c for c in S.ENCOUNTER_COLUMNS)
+        + " FROM encounters"
+    ),
+)
 def csv_scan(spark, sf):
-    """Raw rows written as CSV, read back with the declared schema and null token."""
+    """Raw rows written in the published layout, read back by column name."""
     path = scratch_path(spark, "encounters_csv")
-    E.write_csv(raw_encounters(spark, sf), path)
+    E.write_csv(_published(raw_encounters(spark, sf)), path)
+    return E.read_encounters_csv(spark, path)
+
+
+@query("csv_sink", over(f"SELECT {_ALL} FROM first_encounters", source="first_encounters"))
+def csv_sink(spark, sf):
+    """The first encounters written as CSV and read back."""
+    path = scratch_path(spark, "first_encounters_csv")
+    E.write_csv(P.first_encounter(encounters(spark, sf)), path)
     return E.read_encounters_csv(spark, path)
 
 
@@ -48,8 +80,10 @@ def sql_view(spark, sf):
 
 @query("write_first_encounter", over(f"SELECT {_ALL} FROM first_encounters", source="first_encounters"))
 def write_first_encounter(spark, sf):
+    """Created once; a second call with other rows leaves the table as it is."""
     path = scratch_path(spark, "first_encounter")
-    return E.create_if_absent(P.first_encounter(encounters(spark, sf)), path)
+    E.create_if_absent(P.first_encounter(encounters(spark, sf)), path)
+    return E.create_if_absent(encounters(spark, sf), path)
 
 
 @query("binarise_target", over("SELECT encounter_id, readmitted, CAST(readmitted = '<30' AS INT) AS readmitted_30 FROM encounters"))

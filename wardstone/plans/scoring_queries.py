@@ -148,8 +148,9 @@ def export_attributions(spark, sf):
     "patient_breakdown",
     _attr(
         """SELECT encounter_id, line, feature, ROUND(SUM(attribution), 9) AS attribution, COUNT(*) AS features, base_value
-        FROM (SELECT encounter_id, attribution, CAST(LEAST(r, 5) AS INT) AS line, CASE WHEN r >= 5 THEN 'other features' ELSE feature END AS feature
-          FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY encounter_id ORDER BY ABS(attribution) DESC, feature) AS r FROM long)), base_row
+        FROM (SELECT encounter_id, attribution, CAST(LEAST(r, 12) AS INT) AS line, CASE WHEN r >= 12 AND n > 12 THEN 'other features' ELSE feature END AS feature
+          FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY encounter_id ORDER BY ABS(attribution) DESC, feature) AS r,
+          COUNT(*) OVER (PARTITION BY encounter_id) AS n FROM long)), base_row
         GROUP BY encounter_id, line, feature, base_value"""
     ),
 )
@@ -157,7 +158,9 @@ def patient_breakdown(spark, sf):
     scored_rows = _scored(spark, sf)
     base = A.scorecard_base_value(scored_rows).scalar()
     wide = A.scorecard_attributions(scored_rows)
-    return A.patient_breakdown(wide, "encounter_id", A.wide_entries(list(_W)), base, max_display=5)
+    return A.patient_breakdown(wide, "encounter_id", A.wide_entries(list(_W)), base, max_display=12).withColumn(
+        "attribution", F.round("attribution", 9)
+    )
 
 
 @query(

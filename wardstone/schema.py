@@ -97,7 +97,6 @@ MEASURES = [
     "number_outpatient", "number_emergency", "number_inpatient", "number_diagnoses",
 ]
 CODED_DIMENSIONS = ["admission_type_id", "discharge_disposition_id", "admission_source_id"]
-TOKEN_COLUMNS = ["race", "weight", "payer_code", "medical_specialty", "diag_1", "diag_2", "diag_3"]
 SEGMENT_DIMENSIONS = [
     "age", "gender", "race", "discharge_disposition_id", "number_inpatient",
     "time_in_hospital", "insulin", "A1Cresult", "max_glu_serum", "number_diagnoses",

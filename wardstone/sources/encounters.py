@@ -6,24 +6,40 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from wardstone import schema as S
 from wardstone.functions import clinical as C
 
 
 def read_encounters_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV scan with the declared schema; the missing token arrives as NULL.
+    """CSV scan by column name; the missing token arrives as NULL.
 
-    Medication names may be hyphenated in the header, so columns are bound by
-    position. The literal text ``None`` of the lab columns stays a value.
+    Columns may stand in any order, be hyphenated, or be absent (then NULL);
+    columns that are not declared are left out. All are read as text and then
+    cast; a value that does not fit its type is NULL. Files whose headers differ
+    from each other are refused. The literal text ``None`` of the lab columns
+    stays a value.
     """
-    return (
-        spark.read.schema(S.ENCOUNTER_SCHEMA)
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("nullValue", S.MISSING_TOKEN)
-        .csv(path)
+    text = (
+        spark.read.option("header", True).option("enforceSchema", False).option("nullValue", S.MISSING_TOKEN).csv(path)
     )
+    return by_name(normalize(text))
+
+
+def by_name(df: DataFrame) -> DataFrame:
+    """The declared columns and types, bound by name; raises when an id or the outcome is missing."""
+    present = {c.lower(): c for c in df.columns}
+    required = [*S.ID_COLUMNS, "readmitted"]
+    lacking = [c for c in required if c.lower() not in present]
+    if lacking:
+        raise ValueError(f"columns missing: {', '.join(lacking)}")
+    columns = []
+    for field in S.ENCOUNTER_SCHEMA:
+        found = present.get(field.name.lower())
+        value = F.lit(None) if found is None else F.col(f"`{found}`")
+        columns.append((value.cast(field.dataType) if found is None else value.try_cast(field.dataType)).alias(field.name))
+    return df.select(*columns)
 
 
 def read_encounters_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -34,7 +50,7 @@ def normalize(df: DataFrame) -> DataFrame:
     """Missing token to NULL, hyphens in column names to underscores."""
     renamed = {c: c.replace("-", "_") for c in df.columns if "-" in c}
     df = df.withColumnsRenamed(renamed) if renamed else df
-    tokens = {c: C.null_token(F.col(c)) for c in S.TOKEN_COLUMNS if c in df.columns}
+    tokens = {f.name: C.null_token(F.col(f.name)) for f in df.schema if isinstance(f.dataType, StringType)}
     return df.withColumns(tokens)
 
 
@@ -49,11 +65,21 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists", partiti
 
 
 def create_if_absent(df: DataFrame, path: str) -> DataFrame:
-    """Write once; a second call leaves the stored table as it is."""
-    df.write.mode("ignore").parquet(path)
+    """Write once; a second call leaves the finished table as it is.
+
+    Only a folder with the writer's success mark counts as finished; what a
+    writer that died left behind is written anew.
+    """
+    if not _finished(df.sparkSession, path):
+        df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+def _finished(spark: SparkSession, path: str) -> bool:
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+
+
 def register_view(df: DataFrame, name: str = "encounters") -> DataFrame:
     """Expose the table to ad-hoc ``spark.sql`` queries."""
     df.createOrReplaceTempView(name)

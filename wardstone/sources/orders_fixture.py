@@ -7,6 +7,8 @@ SQL engine. The orders side may be a stream; the other two tables are static.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,8 +40,14 @@ _COMMON_DRUGS = {
 
 
 def _draw(multiplier: int) -> str:
-    """Per-mille draw from the order key."""
-    return f"((o_orderkey * {multiplier} + 12345) % 1000003 % 1000)"
+    """Name of the column that holds a per-mille draw from the order key."""
+    return f"draw_{multiplier}"
+
+
+def _with_draws(base: DataFrame, used: list[str]) -> DataFrame:
+    """Adds every draw that the expressions name, once each."""
+    drawn = sorted(set(re.findall(r"\bdraw_(\d+)\b", " ".join(used))), key=int)
+    return base.selectExpr("*", *[f"(o_orderkey * {m} + 12345) % 1000003 % 1000 AS draw_{m}" for m in drawn])
 
 
 def _literal(value: int | str) -> str:
@@ -98,7 +106,7 @@ def derive_encounters(orders: DataFrame, customer: DataFrame, lineitem: DataFram
         "num_medications": f"(n_parts * 5 + {_draw(9001)} % 11) % 81 + 1",
         "number_outpatient": f"CASE WHEN {outpatient} < 835 THEN 0 ELSE {outpatient} % 12 END",
         "number_emergency": f"CASE WHEN {emergency} < 890 THEN 0 ELSE {emergency} % 8 END",
-        "number_inpatient": inpatient,
+        "number_inpatient": "prior_stays",
         "diag_1": _choose(_draw(8081), *_DIAG_1),
         "diag_2": _choose(_draw(8087), *_DIAG_2),
         "diag_3": _choose(_draw(8093), *_DIAG_3),
@@ -106,10 +114,11 @@ def derive_encounters(orders: DataFrame, customer: DataFrame, lineitem: DataFram
         "max_glu_serum": _choose(_draw(1033), *_GLUCOSE),
         "A1Cresult": _choose(_draw(1039), *_A1C),
         **{name: _medication(name) for name in S.MEDICATIONS},
-        "readmitted": f"CASE WHEN {outcome} < 85 + 50 * least({inpatient}, 3) THEN '<30' WHEN {outcome} < 450 THEN '>30' ELSE 'NO' END",
+        "readmitted": f"CASE WHEN {outcome} < 85 + 50 * least(prior_stays, 3) THEN '<30' WHEN {outcome} < 450 THEN '>30' ELSE 'NO' END",
     }
     types = {field.name: field.dataType.simpleString() for field in S.ENCOUNTER_SCHEMA}
-    return base.selectExpr(*[f"CAST({columns[c]} AS {types[c]}) AS {c}" for c in S.ENCOUNTER_COLUMNS])
+    drawn = _with_draws(base, [*columns.values(), inpatient]).selectExpr("*", f"{inpatient} AS prior_stays")
+    return drawn.selectExpr(*[f"CAST({columns[c]} AS {types[c]}) AS {c}" for c in S.ENCOUNTER_COLUMNS])
 
 
 # declared, so that building a query reads no file footers

@@ -177,11 +177,11 @@ def mix(
     """The mixed documents: the chosen columns and mix_pass, mix_block, mix_tokens, mix_position.
 
     ``documents`` must give the same rows each time it is read. Sorting by
-    mix_position (0 to 1) gives the mixture with each source spread evenly.
+    mix_position (0 to about 1) gives the mixture with each source spread evenly.
     """
     columns = columns or [c for c in documents.columns if not c.startswith("mix_")]
     counted = F.coalesce(tokens, F.lit(0)) if tokens is not None else words("text")
-    keyed = documents.select(*columns, F.col("source").alias("_source"), counted.alias("_tokens"), F.xxhash64("doc_id", "text").alias("_row"))
+    keyed = documents.select(F.struct(*columns).alias("_rest"), F.col("source").alias("_source"), counted.alias("_tokens"), F.xxhash64("doc_id", "text").alias("_row"))
     meta = materialize(keyed.select("_source", "_tokens", "_row"), "token-counts")
     plan = mixture(meta.select(F.col("_source").alias("source"), F.col("_tokens").alias("tokens")), target_entropy, max_repetition, budget, block_tokens).sources
     sizes = _beside(plan.select(F.col("source").alias("_name"), "passes", "rest", F.col("blocks").alias("_blocks"), "budget", F.col("tokens").alias("_all")))
@@ -199,6 +199,6 @@ def mix(
     place = (_rank(seed, F.col("mix_pass")) + _row_order(seed, F.col("mix_pass")) / F.lit(2.0**63)) / F.col("_blocks")
     spread = F.when((F.col("_all") > 0) & (F.col("budget") > 0), F.col("budget") / F.col("_all")).otherwise(1.0)
     return rows.select(
-        *columns, "mix_pass", F.col("_block").alias("mix_block"), F.col("_tokens").alias("mix_tokens"),
-        F.least(F.lit(1.0), (F.col("mix_pass") + place) / spread).alias("mix_position"),
+        *[F.col("_rest").getField(c).alias(c) for c in columns], "mix_pass", F.col("_block").alias("mix_block"),
+        F.col("_tokens").alias("mix_tokens"), ((F.col("mix_pass") + place) / spread).alias("mix_position"),
     )

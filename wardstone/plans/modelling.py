@@ -26,7 +26,7 @@ from wardstone.plans.registry import query
 from wardstone.plans.tables import first_encounters, stored
 from wardstone.session import scratch_path
 from wardstone.sources.encounters import write_csv
-from wardstone.sources.orders_fixture import encounter_stream
+from wardstone.sources.orders_fixture import encounter_stream, line_counts
 from wardstone.streaming.scoring import SCORED_COLUMNS, score_stream
 
 PARAMS = M.BoostingParams()
@@ -305,6 +305,7 @@ _SCORED = ", ".join(SCORED_COLUMNS)
 def stream_scores(spark, sf):
     """Orders arrive as a stream of files, become encounters, and are scored into a parquet sink."""
     sink = scratch_path(spark, "stream_sink")
-    job = score_stream(encounter_stream(spark, sf), sink, scratch_path(spark, "stream_checkpoint"))
+    items = stored(spark, sf, "line_counts", lambda: line_counts(spark, sf))
+    job = score_stream(encounter_stream(spark, sf, items), sink, scratch_path(spark, "stream_checkpoint"))
     job.awaitTermination()
     return spark.read.parquet(sink)

@@ -13,7 +13,7 @@ _LOCAL_FOLDERS: dict[str, str] = {}
 
 
 def build_session(app_name: str = "wardstone", cores: int | str = 8) -> SparkSession:
-    """A local session for tests and the benchmark; a cluster brings its own."""
+    """A local session for tests and the benchmark, with a shared folder of its own; a cluster brings its own."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
@@ -22,6 +22,7 @@ def build_session(app_name: str = "wardstone", cores: int | str = 8) -> SparkSes
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
+        .config("spark.checkpoint.dir", os.environ.get("WARDSTONE_SHARED_DIR") or tempfile.mkdtemp(prefix="wardstone-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -31,9 +32,9 @@ def build_session(app_name: str = "wardstone", cores: int | str = 8) -> SparkSes
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 
-    Only a local session without the setting gets a folder of its own; on a
-    cluster a missing setting is an error, because a driver-local folder would
-    be invisible to the executors.
+    A missing setting is an error, because a driver-local folder would be
+    invisible to the executors. Only a session that is one process, and so has
+    no other executors, gets a folder of its own when nothing is set.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()

@@ -75,9 +75,8 @@ def order_items(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def derive_encounters(orders: DataFrame, customer: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """Raw encounters, missing values spelled with the token."""
-    items = order_items(lineitem)
+def derive_encounters(orders: DataFrame, customer: DataFrame, items: DataFrame) -> DataFrame:
+    """Raw encounters from orders, customers and per-order line counts; missing values spelled with the token."""
     base = (
         orders.join(customer.select("c_custkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
         .join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left")
@@ -134,16 +133,27 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def raw_encounters(spark: SparkSession, folder: str) -> DataFrame:
-    return derive_encounters(*(_table(spark, folder, n) for n in ("orders", "customer", "lineitem")))
+    orders, customer, lineitem = (_table(spark, folder, n) for n in ("orders", "customer", "lineitem"))
+    return derive_encounters(orders, customer, order_items(lineitem))
+
+
+def line_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Per-order line counts of the whole line table."""
+    return order_items(_table(spark, folder, "lineitem"))
 
 
 def encounters(spark: SparkSession, folder: str) -> DataFrame:
     return normalize(raw_encounters(spark, folder))
 
 
-def encounter_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The same table with new orders arriving as a stream of files."""
+def encounter_stream(spark: SparkSession, folder: str, items: DataFrame | None = None, files_per_batch: int = 64) -> DataFrame:
+    """The same table with new orders arriving as a stream of files.
+
+    ``items`` are stored line counts; without them every batch counts the lines
+    again. A backlog is read ``files_per_batch`` files at a time.
+    """
     orders = (
-        spark.readStream.schema(_TABLE_SCHEMAS["orders"]).option("pathGlobFilter", "orders*.parquet").parquet(folder)
+        spark.readStream.schema(_TABLE_SCHEMAS["orders"]).option("pathGlobFilter", "orders*.parquet")
+        .option("maxFilesPerTrigger", files_per_batch).parquet(folder)
     )
-    return normalize(derive_encounters(orders, _table(spark, folder, "customer"), _table(spark, folder, "lineitem")))
+    return normalize(derive_encounters(orders, _table(spark, folder, "customer"), items or line_counts(spark, folder)))

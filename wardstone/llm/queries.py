@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstone.llm import embdedup, hdlang, linecrf, linerules, mixing, packing, records, repeats, simhash, toolcalls
+from wardstone.llm import embdedup, hdlang, linecrf, linerules, mixing, oracles, packing, records, repeats, simhash, toolcalls
 from wardstone.llm.common import id_bucket, table
 from wardstone.llm.tokens import public_tokenizer
 from wardstone.session import scratch_path
@@ -15,7 +15,7 @@ from wardstone.session import scratch_path
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-#: A line's source may be repeated this often by the mixing query and the pipeline.
+#: A source may be repeated this often by the mixing query and the pipeline.
 MAX_REPETITION = 2.0
 GOOD = 0.3
 
@@ -69,7 +69,7 @@ def conversation_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     return calls, results
 
 
-@query("op5_tool_calls")
+@query("op5_tool_calls", oracles.TOOL_CALLS)
 def op5_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
     calls, results = conversation_calls(table(spark, folder, "conversations"))
     return toolcalls.link(calls, results, REPLY).withColumnRenamed("group", "conv_id")
@@ -82,7 +82,7 @@ def op6_records(spark: SparkSession, folder: str) -> DataFrame:
     return records.build_index(spark, where).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
-@query("op7_line_rules")
+@query("op7_line_rules", oracles.LINE_RULES)
 def op7_line_rules(spark: SparkSession, folder: str) -> DataFrame:
     return linerules.clean(table(spark, folder, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
@@ -103,6 +103,6 @@ def op9_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-@query("op10_embeddings")
+@query("op10_embeddings", oracles.EMBEDDINGS)
 def op10_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     return embdedup.near_copies(table(spark, folder, "embeddings"))

@@ -125,7 +125,7 @@ def _with_bounds(data: DataFrame, k: int) -> DataFrame:
 def _reachable_cells(
     bounded: DataFrame, pivots: np.ndarray, reach: np.ndarray, filled: np.ndarray, k: int
 ) -> DataFrame:
-    """One row per vector and cell that can hold something closer than its bound.
+    """One (vid, cell) row per vector and cell that can hold something closer than its bound.
 
     Pivots are rows too: the nearest k + 1 of them include k others, which
     bounds rows whose probe group was too small.
@@ -145,10 +145,9 @@ def _reachable_cells(
                     bound = np.minimum(bound, np.sqrt(np.partition(d2, k, axis=1)[:, k]))
                 limit = bound[:, None] * (1 + SLACK) + SLACK
                 row, cell = np.nonzero((lower <= limit) & filled[None, :])
-                visit = chunk[["vid", "x"]].iloc[row].reset_index(drop=True)
-                yield visit.assign(cell=cell.astype("int32"))
+                yield pd.DataFrame({"vid": chunk["vid"].to_numpy()[row], "cell": cell.astype("int32")})
 
-    return bounded.mapInPandas(reachable, "vid long, x array<double>, cell int")
+    return bounded.mapInPandas(reachable, "vid long, cell int")
 
 
 def _part(count: str, salt: int, alias: str) -> Column:
@@ -187,17 +186,15 @@ def k_nearest(vectors: DataFrame, k: int, sizes: BlockSizes = BlockSizes()) -> D
         "vid", "x", "copies", "wanted", "cell", _part("probes", 3, "probe"), _part("blocks", 7, "block")
     )
     asked = data.filter(F.col("wanted") > 0)
-    if len(pivots) == 1:  # one cell: there is nothing to rule out
-        visits = asked.select(*[F.col(c).alias(c) for c in ("vid", "x", "cell")])  # new column identities
-    else:
-        visits = materialize(_reachable_cells(_with_bounds(asked, k), pivots, reach, rows_in > 0, k), "knn_visits")
+    visits = materialize(_reachable_cells(_with_bounds(asked, k), pivots, reach, rows_in > 0, k), "knn_visits")
     slices = (
         visits.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(sizes.slice)).cast("int").alias("slices"))
     )
     plan = F.broadcast(cells.join(slices, "cell"))  # bounded: one row per pivot
     asking = (
         visits.join(plan, "cell")
-        .select("cell", "vid", "x", "blocks", _part("slices", 11, "slice"))
+        .join(placed.select("vid", F.col("x").alias("point")), "vid")  # the stored visits carry no vectors
+        .select("cell", "vid", F.col("point").alias("x"), "blocks", _part("slices", 11, "slice"))
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("cell", "block", "slice", "vid", "x")
     )

@@ -57,3 +57,17 @@ counted AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(word_chars AS
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND lost <= 0.5::DOUBLE * word_chars AS kept FROM counted"""
 LINE_RULES = _LINE_RULES.replace("BOILERPLATE", "(" + " OR ".join(f"contains(lower(line), '{p}')" for p in BOILERPLATE) + ")")
+
+REPEATS = """WITH t AS (SELECT doc_id, hex(encode(COALESCE(text, ''))) AS h, strlen(COALESCE(text, '')) AS n FROM documents),
+windows AS (SELECT doc_id, i, md5(substr(h, CAST(2 * i + 1 AS BIGINT), 200)) AS g
+  FROM (SELECT doc_id, h, UNNEST(range(n - 99)) AS i FROM t WHERE n >= 100)),
+again AS (SELECT doc_id, i FROM (SELECT doc_id, i, ROW_NUMBER() OVER (PARTITION BY g ORDER BY doc_id, i) AS r FROM windows) WHERE r > 1),
+marked AS (SELECT doc_id, i, CASE WHEN i - LAG(i) OVER (PARTITION BY doc_id ORDER BY i) <= 100 THEN 0 ELSE 1 END AS fresh FROM again),
+numbered AS (SELECT doc_id, i, SUM(fresh) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS span FROM marked),
+spans AS (SELECT doc_id, MIN(i) AS b, MAX(i) + 100 AS e FROM numbered GROUP BY doc_id, span),
+gaps AS (SELECT doc_id, b, e, COALESCE(LAG(e) OVER (PARTITION BY doc_id ORDER BY b), 0) AS from_ FROM spans),
+cut AS (SELECT doc_id, SUM(e - b) AS removed, COUNT(*) AS spans, MAX(e) AS last,
+  string_agg(substr(h, CAST(2 * from_ + 1 AS BIGINT), CAST(2 * (b - from_) AS BIGINT)), '' ORDER BY b) AS head FROM gaps JOIN t USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(COALESCE(removed, 0) AS BIGINT) AS n_removed, CAST(COALESCE(spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(COALESCE(head, '') || substr(h, CAST(2 * COALESCE(last, 0) + 1 AS BIGINT)))) AS kept_sha256
+FROM t LEFT JOIN cut USING (doc_id)"""

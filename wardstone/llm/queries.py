@@ -97,7 +97,7 @@ def op8_line_crf(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", (id_bucket("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= GOOD).cast("int").alias("predicted"))
 
 
-@query("op9_repeats")
+@query("op9_repeats", oracles.REPEATS)
 def op9_repeats(spark: SparkSession, folder: str) -> DataFrame:
     cut = repeats.remove_repeats(table(spark, folder, "documents"))
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

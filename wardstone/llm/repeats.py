@@ -34,6 +34,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from wardstone.llm.bwt import repeated_intervals
 from wardstone.llm.common import batch_of, schema_of, slices
@@ -42,10 +43,12 @@ from wardstone.session import materialize
 
 LENGTH = 100
 _NO_ID = np.iinfo(np.int64).max
-_TEXT_SLICE = 16 << 20
+_TEXT_SLICE = 4 << 20
 _PIECES = "bucket int, whole boolean, docs binary, items binary"
 _FOUND = "doc_id long, th long, spans binary, asks binary"
 _ITEM = np.dtype([("doc", "<u4"), ("start", "<u4"), ("anchor", "u1", 5), ("body", "u1", 6), ("n", "u1")])
+_DECISIONS = "bucket int, docs binary, items binary"
+_DECIDED = np.dtype([("start", "<u4"), ("n", "u1"), ("ask", "u1"), ("anchor", "u1", 5)])
 _RANGE = np.dtype([("start", "<u4"), ("n", "<u4")])
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _BYTE = np.random.default_rng(11).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -136,24 +139,28 @@ def _keyed(documents: DataFrame, carried: list[str]) -> DataFrame:
     return documents.select(*own, F.col("text").isNull().alias("absent"), F.struct(*(carried or [F.lit(0).alias("_none")])).alias("rest"))
 
 
-def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    view = ByteView(column)
-    return view.data, view.bounds
+def _pieces_of(texts: pa.Array, length: int) -> Iterator[tuple[np.ndarray, ...]]:
+    view = ByteView(texts)
+    if len(view.data) <= _TEXT_SLICE:
+        yield pieces(view.data, view.bounds, length)
+        return
+    # one very long text: overlapping stretches, so that each window lies in one of them
+    stretch = _TEXT_SLICE // 2
+    for k in range(0, len(view.data) - length + 1, stretch):
+        part = view.data[k : k + stretch + length - 1]
+        doc, start, *rest = pieces(part, np.array([0, len(part)]), length)
+        yield doc, start + k, *rest
 
 
 def _list_pieces(batches: Iterator[pa.RecordBatch], buckets: int, length: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        found, at = [], 0
         for part in slices(batch, most_bytes=_TEXT_SLICE // 2):
-            data, bounds = _bytes_of(part.column("text"))
-            if len(data) > _TEXT_SLICE:
-                # one very long text: overlapping stretches, so that each window lies in one of them
-                stretch = _TEXT_SLICE // 2
-                found = [pieces(data[k : k + stretch + length - 1], np.array([0, min(stretch + length - 1, len(data) - k)]), length) for k in range(0, len(data) - length + 1, stretch)]
-                doc, start, anchor, body, n = (np.concatenate(x) for x in zip(*found))
-                start = start + np.repeat(np.arange(len(found)) * stretch, [len(f[0]) for f in found])
-            else:
-                doc, start, anchor, body, n = pieces(data, bounds, length)
-            ids, hashes = part.column("doc_id").to_numpy(), part.column("th").to_numpy()
+            found += [(doc + at, *rest) for doc, *rest in _pieces_of(part.column("text"), length)]
+            at += part.num_rows
+        if found:
+            doc, start, anchor, body, n = (np.concatenate(x) for x in zip(*found))
+            ids, hashes = batch.column("doc_id").to_numpy(), batch.column("th").to_numpy()
             order = np.lexsort((start, hashes[doc], ids[doc], body, anchor))
             doc, start, anchor, body, n = (x[order] for x in (doc, start, anchor, body, n))
             again = np.zeros(len(doc), bool)
@@ -182,8 +189,8 @@ def _list_pieces(batches: Iterator[pa.RecordBatch], buckets: int, length: int) -
             yield batch_of(_PIECES, *(list(x) for x in zip(*rows))) if rows else pa.RecordBatch.from_pylist([], schema_of(_PIECES))
 
 
-def _judge_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per document: the pieces to remove whole, and those whose text has to be compared."""
+def _judge_pieces(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """The pieces to remove whole, and those whose text has to be compared, dealt by document."""
     tables = {True: ([], []), False: ([], [])}
     for batch in batches:
         for whole, docs, items in zip(*(batch.column(c).to_pylist() for c in ("whole", "docs", "items"))):
@@ -197,7 +204,7 @@ def _judge_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             continue
         item, known = np.concatenate(items), np.concatenate(known)
         if whole:
-            result.append((known, item["start"], item["n"], np.zeros(len(item), bool)))
+            result.append((known, _decided(item, np.zeros(len(item), bool))))
             continue
         anchor, body = _number(item["anchor"]), _number(item["body"])
         order = np.lexsort((item["start"], known[:, 1], known[:, 0], body, anchor))
@@ -212,21 +219,46 @@ def _judge_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         first = (known[:, 0] == known[head, 0]) & (known[:, 1] == known[head, 1]) & (item["start"] == item["start"][head])
         ask = first & shared[group]
         use = ~first | ask
-        result.append((known[use], item["start"][use], item["n"][use], ask[use]))
+        result.append((known[use], _decided(item[use], ask[use])))
     if not result:
         return
-    known, start, n, ask = (np.concatenate(x) for x in zip(*result))
-    order = np.lexsort((start, known[:, 1], known[:, 0]))
-    known, start, n, ask = known[order], start[order], n[order], ask[order]
-    edge = np.flatnonzero(np.concatenate([[True], (known[1:] != known[:-1]).any(axis=1), [True]]))
-    packed = np.zeros(len(start), _RANGE)
-    packed["start"], packed["n"] = start, n
+    known, decided = (np.concatenate(x) for x in zip(*result))
+    where = (_mix((known[:, 0] ^ known[:, 1]).view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    by = np.argsort(where, kind="stable")
+    edge = np.searchsorted(where[by], np.arange(buckets + 1))
+    filled = np.flatnonzero(np.diff(edge))
+    parts = [by[edge[k] : edge[k + 1]] for k in filled]
+    yield batch_of(_DECISIONS, filled, [known[i].tobytes() for i in parts], [decided[i].tobytes() for i in parts])
+
+
+def _decided(item: np.ndarray, ask: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(item), _DECIDED)
+    for name in ("start", "n", "anchor"):
+        out[name] = item[name]
+    out["ask"] = ask
+    return out
+
+
+def _by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per document: windows to remove, and pieces to compare."""
+    docs, items = [], []
+    for batch in batches:
+        docs += [np.frombuffer(x, "<i8").reshape(-1, 2) for x in batch.column("docs").to_pylist()]
+        items += [np.frombuffer(x, _DECIDED) for x in batch.column("items").to_pylist()]
+    if not docs:
+        return
+    known, item = np.concatenate(docs), np.concatenate(items)
+    order = np.lexsort((item["start"], known[:, 1], known[:, 0]))
+    known, item = known[order], item[order]
+    fresh = np.concatenate([[True], (known[1:] != known[:-1]).any(axis=1)])
+    edge = np.append(np.flatnonzero(fresh), len(known))
+    ranges = np.zeros(len(item), _RANGE)
+    ranges["start"], ranges["n"] = item["start"], item["n"]
     for k in range(0, len(edge) - 1, 20000):
-        cut = [(slice(a, b), ask[a:b]) for a, b in zip(edge[k : k + 20000], edge[k + 1 : k + 20001])]
+        cut = [(slice(a, b), item["ask"][a:b] == 1) for a, b in zip(edge[k : k + 20000], edge[k + 1 : k + 20001])]
         at = edge[k : k + 20000][: len(cut)]
-        yield batch_of(
-            _FOUND, known[at, 0], known[at, 1], [packed[s][~a].tobytes() for s, a in cut], [np.unique(packed[s][a]).tobytes() for s, a in cut]
-        )
+        asks = [np.unique(item[s][a]).tobytes() if a.any() else b"" for s, a in cut]  # rows equal in id and text ask once
+        yield batch_of(_FOUND, known[at, 0], known[at, 1], [ranges[s][~a].tobytes() for s, a in cut], asks)
 
 
 def _ranges(blobs, extra: int) -> np.ndarray:
@@ -251,11 +283,13 @@ def _fetch(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Record
     for batch in batches:
         out = ([], [], [], [], [])
         for doc, th, text, asks in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "th", "text", "asks"))):
-            for start, n in np.frombuffer(b"".join(asks), _RANGE).tolist():
-                piece = text[start : start + n + length - 1]
-                anchor = pieces(np.frombuffer(piece, np.uint8), np.array([0, len(piece)]), length)[2]
-                for column, value in zip(out, (int(anchor[0]), doc, th, start, piece)):
-                    column.append(value)
+            item = np.frombuffer(asks, _DECIDED)
+            starts, ends = item["start"].tolist(), (item["start"].astype(np.int64) + item["n"] + length - 1).tolist()
+            out[0].extend(_number(item["anchor"]).tolist())
+            out[1].extend([doc] * len(item))
+            out[2].extend([th] * len(item))
+            out[3].extend(starts)
+            out[4].extend([text[a:b] for a, b in zip(starts, ends)])
         yield batch_of(_TEXTS, *out)
 
 
@@ -323,7 +357,7 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, bucket_bytes: int
 
 
 def find_repeats(documents: DataFrame, length: int = LENGTH, bucket_bytes: int = 48 << 20, carried: list[str] | None = None) -> DataFrame:
-    """doc_id, text (bytes), spans (packed windows to remove), absent (the text was null) and the carried columns of every row.
+    """doc_id, text (bytes), spans (packed windows to remove), absent (the text was null) and rest (the carried columns) of every row.
 
     ``bucket_bytes`` of text fall to one task of the hash stage.
     """
@@ -333,21 +367,18 @@ def find_repeats(documents: DataFrame, length: int = LENGTH, bucket_bytes: int =
     total = documents.select(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // bucket_bytes))
     listed = rows.select("doc_id", "th", "text").mapInArrow(lambda batches: _list_pieces(batches, buckets, length), _PIECES)
-    found = materialize(listed.repartition(buckets, "bucket").mapInArrow(_judge_pieces, _FOUND), "pieces")
-    per_document = found.groupBy("doc_id", "th").agg(
-        F.collect_list(F.when(F.length("spans") > 0, F.col("spans"))).alias("spans"), F.collect_list(F.when(F.length("asks") > 0, F.col("asks"))).alias("asks")
-    )
-    marked = rows.join(per_document, ["doc_id", "th"], "left").select("doc_id", "th", "text", "absent", "rest", "spans", "asks")
-    marked = materialize(marked, "marked")
-    asking = marked.where(F.size("asks") > 0)
+    judged = listed.repartition(buckets, "bucket").mapInArrow(lambda batches: _judge_pieces(batches, buckets), _DECISIONS)
+    found = materialize(judged.repartition(buckets, "bucket").mapInArrow(_by_document, _FOUND), "pieces")
+    marked = materialize(rows.join(found, ["doc_id", "th"], "left"), "marked")
+    asking = marked.where(F.length("asks") > 0)
     windows = (
         asking.select("doc_id", "th", "text", "asks").mapInArrow(lambda batches: _fetch(batches, length), _TEXTS)
         .repartition(buckets, "anchor").mapInArrow(lambda batches: _compare(batches, length), _FOUND)
     )
     later = materialize(windows.select("doc_id", "th", "spans"), "windows").groupBy("doc_id", "th").agg(F.collect_list("spans").alias("more"))
-    settled = marked.where(F.coalesce(F.size("asks"), F.lit(0)) <= 0)
-    open_ = asking.join(later, ["doc_id", "th"], "left").withColumn("spans", F.concat(F.coalesce("spans", F.array()), F.coalesce("more", F.array())))
-    columns = ["doc_id", "text", "spans", "absent", *[F.col("rest").getField(c).alias(c) for c in carried]]
+    settled = marked.where(F.coalesce(F.length("asks"), F.lit(0)) == 0).withColumn("spans", F.array("spans"))
+    open_ = asking.join(later, ["doc_id", "th"], "left").withColumn("spans", F.concat(F.array("spans"), F.coalesce("more", F.array())))
+    columns = ["doc_id", "text", "spans", "absent", "rest"]
     return settled.select(*columns).union(open_.select(*columns))
 
 
@@ -360,11 +391,10 @@ def clean_documents(documents: DataFrame, length: int = LENGTH, bucket_bytes: in
     names = documents.columns
     carried = [c for c in names if c != "text"]
     marked = find_repeats(documents, length, bucket_bytes, [c for c in carried if c != "doc_id"])
-    schema = "doc_id long, text binary, " + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema if f.name in carried and f.name != "doc_id")
+    schema = StructType().add("doc_id", "long").add("text", "binary").add("rest", marked.schema["rest"].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rest = [batch.column(c) for c in carried if c != "doc_id"]
             texts = []
             for text, blobs, absent in zip(*(batch.column(c).to_pylist() for c in ("text", "spans", "absent"))):
                 spans = _ranges(blobs or [], length - 1).tolist()
@@ -372,10 +402,10 @@ def clean_documents(documents: DataFrame, length: int = LENGTH, bucket_bytes: in
                 kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
                 texts.append(None if absent else kept.decode("utf-8", "ignore").encode() if spans else text)
             ids = [None if d == _NO_ID else d for d in batch.column("doc_id").to_pylist()]
-            names_out = ["doc_id", "text", *(c for c in carried if c != "doc_id")]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.binary()), *rest], names=names_out)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.binary()), batch.column("rest")], names=["doc_id", "text", "rest"])
 
-    done = marked.mapInArrow(run, schema).withColumn("text", F.col("text").cast("string"))
+    done = marked.mapInArrow(run, schema)
+    done = done.select("doc_id", F.col("text").cast("string").alias("text"), *[F.col("rest").getField(c).alias(c) for c in carried if c != "doc_id"])
     if "n_chars" in names:
         done = done.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return done.select(*names)

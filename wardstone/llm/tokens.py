@@ -20,7 +20,7 @@ _SIGNS = ".,;:!?|#*$%&\"()[]{}=+-_/"
 _BEYOND_LATIN = "ɐ"
 _DOTTED_I = "İ"
 #: Words that one worker remembers; it forgets all of them beyond that.
-REMEMBERED = 700_000
+REMEMBERED = 250_000
 
 
 def public_tokenizer(name: str = "word_bpe_49k.json") -> str:

@@ -153,7 +153,7 @@ def _pieces_of(texts: pa.Array, length: int) -> Iterator[tuple[np.ndarray, ...]]
 
 
 def _list_pieces(batches: Iterator[pa.RecordBatch], buckets: int, length: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (group for batch in batches for group in slices(batch, most_bytes=2 * _TEXT_SLICE)):
         found, at = [], 0
         for part in slices(batch, most_bytes=_TEXT_SLICE // 2):
             found += [(doc + at, *rest) for doc, *rest in _pieces_of(part.column("text"), length)]

@@ -2,8 +2,9 @@
 
 One frame: payload length (unsigned 64 bits, little-endian), its masked CRC32,
 the payload, its masked CRC32, and one line-break byte. The payload is the
-document id (signed 64 bits; the largest value stands for a missing id) and the
-token ids (unsigned 32 bits). Files hold frames in ascending id order and follow
+document id (signed 64 bits; the largest value stands for a missing id), one
+byte with the width of a token id, 2 or 4, whichever the record's ids need, and
+the ids (unsigned, little-endian). Files hold frames in ascending id order and follow
 each other by their part number. Spark's own writer stores them, so any store
 that Spark writes to will do, and a task that is lost or run twice leaves one
 complete file. The index is one row per frame: part, offset, id, tokens.
@@ -29,7 +30,7 @@ from wardstone.llm.tokens import encoder
 from wardstone.session import materialize
 
 _NO_ID = np.iinfo(np.int64).max
-_HEAD_SIZE, _TAIL_SIZE, _ID_SIZE = 12, 4, 8
+_HEAD_SIZE, _TAIL_SIZE, _START = 12, 4, 9
 _INDEX = "part int, offset long, doc_id long, before long, n_tokens long, ids_crc32 long"
 
 
@@ -39,6 +40,18 @@ def masked_crc(data: bytes) -> int:
     return (((crc >> 15) | (crc << 17)) + 0xA282EAD8) & 0xFFFFFFFF
 
 
+def pack_ids(doc_id: int, ids: np.ndarray) -> bytes:
+    """A record's payload."""
+    width = 2 if ids.max(initial=0) < 1 << 16 else 4
+    return struct.pack("<qB", doc_id, width) + ids.astype(f"<u{width}").tobytes()
+
+
+def unpack_ids(payload: bytes) -> tuple[int, np.ndarray]:
+    """Document id and token ids (32 bits) of a payload."""
+    doc_id, width = struct.unpack_from("<qB", payload)
+    return doc_id, np.frombuffer(payload, f"<u{width}", offset=_START).astype("<u4")
+
+
 def frame(payload: bytes) -> bytes:
     """A frame without the line break, which the writer adds."""
     head = struct.pack("<Q", len(payload))
@@ -74,10 +87,10 @@ def write_records(documents: DataFrame, folder: str, path: str, end_id: int, fil
         for batch in batches:
             for part in slices(batch):
                 ids, edge = encoder(path).encode(part.column("text"))
-                raw = memoryview(ids.astype("<u4").tobytes())
-                end = struct.pack("<I", end_id)
+                edge = edge + np.arange(len(edge))
+                full = np.insert(ids, edge[1:] - np.arange(1, len(edge)), end_id)
                 docs = part.column("doc_id").to_pylist()
-                framed = [frame(struct.pack("<q", d) + raw[4 * a : 4 * b] + end) for d, a, b in zip(docs, edge[:-1].tolist(), edge[1:].tolist())]
+                framed = [frame(pack_ids(d, full[a:b])) for d, a, b in zip(docs, edge[:-1].tolist(), edge[1:].tolist())]
                 yield batch_of("frame binary", framed)
 
     ordered = rows.withColumn("_tie", F.xxhash64("text")).repartitionByRange(files, "doc_id", "_tie").sortWithinPartitions("doc_id", "_tie")
@@ -91,14 +104,13 @@ def _payloads(batches: Iterator[pa.RecordBatch], keep_ids: bool) -> Iterator[pa.
             out: tuple[list, ...] = ([], [], [], [], [], [])
             ids, before = [], 0
             for offset, payload in frames(content.as_py()):
-                body = payload[_ID_SIZE :]
-                doc = struct.unpack_from("<q", payload)[0]
-                row = (part, offset, None if doc == _NO_ID else doc, before, len(body) // 4, zlib.crc32(body))
-                before += len(body) // 4
+                doc, found = unpack_ids(payload)
+                row = (part, offset, None if doc == _NO_ID else doc, before, len(found), zlib.crc32(found.tobytes()))
+                before += len(found)
                 for column, value in zip(out, row):
                     column.append(value)
                 if keep_ids:
-                    ids.append(np.frombuffer(body, "<u4").astype(np.int64))
+                    ids.append(found.astype(np.int64))
             yield batch_of(_INDEX + ", ids array<long>", *out, ids) if keep_ids else batch_of(_INDEX, *out)
 
 

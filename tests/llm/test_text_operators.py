@@ -96,6 +96,58 @@ def test_line_verdicts(spark):
     assert found[1]["clean_text"] == good and found[4]["clean_text"] == good and found[5]["clean_text"] == good
 
 
+SENTENCE = re.compile(r"""[.!?](?=$|[\x20\x09-\x0D"')\]}*_\[”’“»›])|[…‼⁇⁈⁉](?=$|[\x20\x09-\x0D"')\]}*_\[”’“»›])|[。！？．｡।॥؟۔։።፧។။།\u0E00-\u0EFF]""")
+NAVIGATION = set("·•∙‣●▪→▸►▶│¦｜／")
+
+
+def sentence_fails(line):
+    return len(WORD.findall(line)) >= 25 and not SENTENCE.search(line)
+
+
+def navigation_fails(line):
+    words = WORD.findall(line)
+    closing = sum(w in {"»", "›"} for w in words[1:]) - line.count("«") - line.count("‹")
+    return sum(w in set("|>/~") for w in words) + sum(w in NAVIGATION for w in words[1:]) + max(closing, 0) > 0.2 * len(words)
+
+
+def test_long_lines_need_a_sentence(spark):
+    lists = "\n".join(" ".join(f"key{i}x{k}" for k in range(30)) for i in range(4))
+    clean = "\n".join(" ".join(f"plain{i}x{k}" for k in range(29)) + end for i, end in enumerate([" end.", " end!”", " end?)", " end.[4]", " so… on", " 完。了", " ไทย"]))
+    wrapped = "\n".join(" ".join(f"wrap{i}x{k}" for k in range(18)) for i in range(6))
+    dots = "\n".join(" ".join(f"v{i}.{k}" for k in range(30)) for i in range(4))
+    rows = [(1, lists), (2, clean), (3, wrapped), (4, dots), (5, clean + "\n" + lists.split("\n")[0])]
+    found = {r["doc_id"]: r for r in linerules.clean(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [found[i]["kept"] for i in range(1, 6)] == [False, True, True, False, True]
+    assert [found[i]["clean_text"] for i in range(1, 6)] == ["", clean, wrapped, "", clean]
+
+
+def test_wide_separators_are_navigation(spark):
+    good = "\n".join(f"Line{i} holds{i} seven{i} quite{i} plain{i} words{i} here{i}." for i in range(12))
+    menus = ["Home » About » Blog", "Home · About · Blog", "Home • About • Blog", "» Shop » Toys", "Home › News › Sport"]
+    prose = ["• one item", "« Bonjour » dit", "Il dit « oui » ici", "a·b c•d e", "»Ja« sagt sie"]
+    rows = [(i, good + "\n" + line) for i, line in enumerate(menus + prose)]
+    found = {r["doc_id"]: r for r in linerules.clean(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [found[i]["clean_text"] == good for i in range(len(rows))] == [True] * len(menus) + [False] * len(prose)
+    assert all(r["kept"] for r in found.values())
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(st.sampled_from("ab \n.!?…。»«·•|”ก"), max_size=40), max_size=4))
+def test_sentence_and_separator_rules(texts):
+    off = linerules.LineRules(long_line=4, separators=9, symbols=9, bangs=9, again=9)
+    view = ByteView(pa.array(texts, pa.string()))
+    at, code = linerules._wide(view.data)
+    starts, ends, _ = view.lines
+    lines = [bytes(view.data[s:e]).decode() for s, e in zip(starts, ends)]
+    assert linerules._has_sentence(view, at, code).tolist() == [bool(SENTENCE.search(x)) for x in lines]
+    fails = linerules.failing_lines(view, linerules.LineRules(symbols=9, bangs=9, again=9)) if lines else []
+    seen = [set(t.split("\n")) and [x in t.split("\n")[:k] for k, x in enumerate(t.split("\n"))] for t in texts]
+    again = [a for doc in seen for a in doc]
+    assert list(fails) == [bool(WORD.search(x)) and (r or sentence_fails(x) or navigation_fails(x)) for x, r in zip(lines, again)]
+    long = linerules.failing_lines(view, off) if lines else []
+    assert list(long) == [bool(WORD.search(x)) and (r or (len(WORD.findall(x)) >= 4 and not SENTENCE.search(x))) for x, r in zip(lines, again)]
+
+
 def test_rules_keep_good_documents(spark):
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     found = linerules.clean(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).join(labels, "doc_id")

@@ -6,6 +6,12 @@ boilerplate, when it repeats an earlier line of its document, or when it is long
 and never ends a sentence nor contains one. What stays is the cleaned text. A
 document that loses more than ``max_loss`` of its word characters is rejected.
 
+A sentence ends at ``.``, ``!``, ``?`` or an ellipsis before white space, the
+line's end or a closing sign, and at any full stop of a script that writes no
+space after it. Lines with Thai or Lao letters, scripts without such signs, do
+not fail for want of one. Bullets and arrows are separators unless they open the
+line; ``»`` and ``›`` are not where they close a quotation of the line.
+
 Defined results: a null text has no words and counts as empty; it is cleaned to
 an empty text and fails the word minimum. Repeated rows give repeated results.
 Other columns are ignored, whatever their names.
@@ -30,6 +36,20 @@ _OUT = (
 )
 _SYMBOLS = signs(b"#*$%&|<>")
 _SEPARATORS = signs(b"|>/~")
+_STOPS = signs(b".!?")
+_CLOSERS = signs(b"\"')]}*_[")
+
+
+def _codes(characters: str) -> np.ndarray:
+    """The bytes of each character as one number."""
+    return np.array([int.from_bytes(c.encode(), "big") for c in characters])
+
+
+_WIDE_SEPARATORS = _codes("·•∙‣●▪→▸►▶│¦｜／»›")
+_QUOTE_ENDS, _QUOTE_STARTS = _codes("»›"), _codes("«‹")
+_WIDE_STOPS = _codes("…‼⁇⁈⁉")
+_WIDE_CLOSERS = _codes("”’“»›")
+_FULL_STOPS = _codes("。！？．｡।॥؟۔։።፧។။།")
 
 #: Phrases that mark a line as boilerplate, in lower case.
 BOILERPLATE = ["javascript", "cookie policy", "privacy policy", "terms of use", "terms of service", "lorem ipsum",
@@ -47,6 +67,7 @@ class LineRules:
     shout: int = 20
     again: float = 0.5  # words equal to the word before, in lines of at least `few` words
     few: int = 6
+    long_line: int = 25  # words from which a line must end or contain a sentence
     max_loss: float = 0.5
     min_words: int = 50
 
@@ -65,17 +86,63 @@ def failing_lines(view: ByteView, rules: LineRules) -> np.ndarray:
     separator = np.zeros(len(key), bool)
     separator[single] = _SEPARATORS[data[word_start[single]]]
     per_line = lambda flag: np.bincount(line_of, weights=flag, minlength=len(starts))
+    at, code = _wide(data)
+    bullets = per_line(separator) + _wide_separators(view, at, code, line_of)
     upper = view.counts((data >= 65) & (data <= 90), starts, ends)
     lower = view.counts((data >= 97) & (data <= 122), starts, ends)
-    failed = per_line(separator) > rules.separators * words
+    failed = bullets > rules.separators * words
     failed |= view.counts(_SYMBOLS[data], starts, ends) > rules.symbols * words + 1
     failed |= view.counts(data == ord("!"), starts, ends) > rules.bangs * words + 1
     failed |= (upper + lower >= rules.shout) & (upper > rules.upper * (upper + lower))
     failed |= (n >= rules.few) & (per_line(same) > rules.again * words)
     failed |= (n > 0) & repeats(view.hashes(starts, ends), docs)
+    failed |= (n >= rules.long_line) & ~_has_sentence(view, at, code)
     return failed & (n > 0)
 
 
+def _wide(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the characters of two or three bytes, and their bytes as one number."""
+    at = np.flatnonzero((data >= 0xC2) & (data < 0xF0))
+    padded = np.concatenate([data, np.zeros(2, np.uint8)])
+    code = (padded[at].astype(np.int64) << 8) | padded[at + 1]
+    three = padded[at] >= 0xE0
+    code[three] = (code[three] << 8) | padded[at[three] + 2]
+    return at, code
+
+
+def _wide_separators(view: ByteView, at: np.ndarray, code: np.ndarray, line_of: np.ndarray) -> np.ndarray:
+    """Per line, the words that are one separator of two or three bytes and stand between items."""
+    starts, _, _ = view.lines
+    word_start, word_end, _ = view.words
+    hit = np.isin(code, _WIDE_SEPARATORS)
+    place, sign = at[hit], code[hit]
+    word = np.searchsorted(word_start, place, "right") - 1
+    alone = (word_start[word] == place) & (word_end[word] == place + np.where(sign > 0xFFFF, 3, 2))
+    alone[alone] &= (word[alone] > 0) & (line_of[word[alone]] == line_of[word[alone] - 1])
+    line, closing = line_of[word[alone]], np.isin(sign[alone], _QUOTE_ENDS)
+    opened = np.searchsorted(starts, at[np.isin(code, _QUOTE_STARTS)], "right") - 1
+    count = lambda lines: np.bincount(lines, minlength=len(starts))
+    return count(line[~closing]) + np.maximum(count(line[closing]) - count(opened), 0)
+
+
+def _has_sentence(view: ByteView, at: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """Lines that end or contain a sentence, or are of a script that does not mark its end."""
+    starts, ends, _ = view.lines
+    size = len(view.data)
+    closes = np.ones(size + 1, bool)
+    closes[:size] = ~view.solid | _CLOSERS[view.data]
+    closes[at[np.isin(code, _WIDE_CLOSERS)]] = True
+    closes[view.bounds] = True
+    found = np.zeros(size, bool)
+    stop = np.flatnonzero(_STOPS[view.data])
+    found[stop] = closes[stop + 1]
+    wide = np.isin(code, _WIDE_STOPS)
+    found[at[wide]] = closes[at[wide] + 3]
+    found[at[np.isin(code, _FULL_STOPS)]] = True
+    found[at[(code >= 0xE0B880) & (code <= 0xE0BBBF)]] = True
+    return view.counts(found, starts, ends) > 0
+
+
 def _boilerplate(view: ByteView) -> np.ndarray:
     """Lines that hold one of the boilerplate phrases."""
     starts, ends, _ = view.lines

@@ -1,9 +1,10 @@
 """Mixing, packing, records, tool calls, embeddings and the pipeline."""
 
+import hashlib
 import json
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -13,7 +14,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from wardstone.llm import embdedup, mixing, packing, records, toolcalls
+from tests.llm.test_text_operators import cut, groups, plain_fingerprint
+from wardstone.llm import embdedup, linecrf, mixing, packing, records, toolcalls
 from wardstone.llm.components import connected
 from wardstone.llm.queries import QUERIES, REPLY, conversation_calls
 from wardstone.llm.tokens import WordEncoder, public_tokenizer
@@ -383,6 +385,78 @@ def test_pipeline_keeps_good_documents(spark):
     assert groups.join(kept, "doc_id").count() == groups.count()
 
 
+@pytest.fixture(scope="module")
+def rough(spark):
+    """Passages shared between documents, whole and near copies, wide characters, a null text and an empty one; ids differ."""
+    rng = random.Random(21)
+    draw = lambda n, of="abcdefgh ": "".join(rng.choice(of) for _ in range(n))
+    shared = [draw(n) for n in (60, 99, 100, 130, 260)] + [draw(90, "aé漢😀 "), draw(140, "é漢 ")]
+    rows = []
+    for i in range(90):
+        text = "".join(rng.choice(shared) + draw(rng.randint(0, 70), "xyz é") for _ in range(rng.randint(1, 4)))
+        if i % 9 == 4:
+            text = rng.choice(rows)[1] or ""
+        if i % 9 == 7:
+            text = (rng.choice(rows)[1] or "") + "."
+        rows.append((i * 7 % 97, {30: None, 31: ""}.get(i, text), "en", ("big", "big", "mid", "big", "big", "mid", "big", "big", "big", "small")[i % 10], 1))
+    return spark.createDataFrame(rows, SCHEMA).repartition(3), [tuple(r) for r in rows]
+
+
+def kept_text(rows, length=100):
+    """Brute force: the text of each id without the bytes that stand earlier, broken characters dropped."""
+    seen, out = set(), {}
+    for doc, text in sorted((r[0], r[1]) for r in rows):
+        raw = (text or "").encode()
+        gone = bytearray(len(raw))
+        for i in range(len(raw) - length + 1):
+            if raw[i : i + length] in seen:
+                gone[i : i + length] = b"\1" * length
+            seen.add(raw[i : i + length])
+        out[doc] = None if text is None else bytes(b for b, g in zip(raw, gone) if not g).decode("utf-8", "ignore")
+    return out
+
+
+def test_stage_quality_rows(spark):
+    labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", F.col("quality").alias("label"))
+    scores = linecrf.score(documents(spark), linecrf.train(documents(spark), labels)).collect()
+    want = {r["doc_id"] for r in scores if r["score"] >= 0.3}
+    rows = documents(spark).select("doc_id", "text", "lang", "source", "n_chars").collect()
+    got = corpus_pipeline.quality(spark, documents(spark), SF).collect()
+    assert sorted(got, key=lambda r: r["doc_id"]) == sorted((r for r in rows if r["doc_id"] in want), key=lambda r: r["doc_id"])
+
+
+def test_stage_near_copies_rows(spark, rough):
+    df, rows = rough
+    least = groups({r[0]: plain_fingerprint(r[1]) for r in rows}, 4)
+    got = [tuple(r) for r in corpus_pipeline.near_copies(spark, df, SF).collect()]
+    assert sorted(got, key=lambda r: r[0]) == sorted((r for r in rows if least[r[0]] == r[0]), key=lambda r: r[0])
+    assert len(got) < len(rows)
+
+
+def test_stage_repeated_passages_rows(spark, rough):
+    df, rows = rough
+    texts = kept_text(rows)
+    digests = cut([(r[0], r[1]) for r in rows], 100)
+    got = {r["doc_id"]: r for r in corpus_pipeline.repeated_passages(spark, df, SF).collect()}
+    assert {i: r["text"] for i, r in got.items()} == texts and len(got) == len(rows)
+    assert {i for i, r in got.items() if r["text"] is not None and r["n_chars"] != len(r["text"])} == set()
+    assert {(r[0], r[2], r[3]) for r in rows} == {(i, r["lang"], r["source"]) for i, r in got.items()}
+    plain = {r[0] for r in rows if (r[1] or "").isascii()}
+    assert all(hashlib.sha256((got[i]["text"] or "").encode()).hexdigest() == digests[i][3] for i in plain)
+    assert sum(digests[i][1] > 0 for i in digests) > 20
+
+
+def test_stage_mix_sources_rows(spark, rough):
+    df, rows = rough
+    passes = mixing.mix(df, max_repetition=2.0, columns=["doc_id"]).groupBy("doc_id").agg(F.count("*"), F.countDistinct("mix_pass")).collect()
+    want = {r[0]: r[1] for r in passes}
+    assert all(r[1] == r[2] for r in passes)  # once in a pass
+    got = Counter(tuple(r) for r in corpus_pipeline.mix_sources(spark, df, SF).collect())
+    assert set(got) == set(rows) and {r[0]: n for r, n in got.items()} == want
+    times = {s: {n for r, n in got.items() if r[3] == s} for s in ("big", "mid", "small")}
+    assert times["small"] == {2} and all(t <= {1, 2} for t in times.values()) and 1 in times["big"]
+
+
 def test_pipeline_of_odd_tables(spark, odd, none):
     for df in (odd, none):
         docs = df

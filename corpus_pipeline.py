@@ -23,10 +23,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the one with the smallest id. Rows that share that id all stay."""
-    found = simhash.near_copies(docs.select("doc_id", "text"), shingle=4, seed=42, radius=4)
-    gone = found.where("doc_id is not null and doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti").select(*DOCUMENT_COLUMNS)
+    """One row of each group: the one with the smallest id.
+
+    It is decided by row: rows without an id come last and go like others, rows
+    that share an id are judged each by their own text, and of equal rows one stays.
+    """
+    return simhash.keep_one(docs.select(*DOCUMENT_COLUMNS), shingle=4, seed=42, radius=4)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -433,6 +433,29 @@ def test_stage_near_copies_rows(spark, rough):
     assert len(got) < len(rows)
 
 
+def test_stage_near_copies_decides_by_row(spark):
+    rng = random.Random(4)
+    texts = [" ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(40)) for _ in range(6)]
+    one, two, three, four, five, six = texts
+    row = lambda i, t, lang="en": (i, t, lang, "s", 1)
+    copies = [
+        [row(None, one)] * 3,  # without ids: one stays
+        [row(7, two), row(None, two), row(None, two + " ")],  # an id goes before none
+        [row(9, three)] * 4,  # equal rows
+        [row(2, four), row(11, four)], [row(11, five)],  # 11 is a copy in one row only
+        [row(12, six, None), row(12, six, "de")],  # equal but for another column
+        [row(13, None), row(14, ""), row(None, None)],
+    ]
+    want = [row(None, one), row(7, two), row(9, three), row(2, four), row(11, five), row(13, None)]
+    prints = [{plain_fingerprint(r[1]) for r in rows} for rows in copies]
+    assert all((a ^ b).bit_count() <= 4 for p in prints for a in p for b in p)
+    df = spark.createDataFrame([r for rows in copies for r in rows], SCHEMA)
+    for parts in (1, 5):
+        got = [tuple(r) for r in corpus_pipeline.near_copies(spark, df.repartition(parts), SF).collect()]
+        assert sorted(map(repr, (r for r in got if r[0] != 12))) == sorted(map(repr, want))
+        assert len([r for r in got if r[0] == 12]) == 1
+
+
 def test_stage_repeated_passages_rows(spark, rough):
     df, rows = rough
     texts = kept_text(rows)

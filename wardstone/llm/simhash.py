@@ -178,14 +178,19 @@ def links(distinct: DataFrame, radius: int, tasks: int) -> DataFrame:
     return shards.repartition(tasks, "shard").mapInArrow(run, "src long, dst long").distinct()
 
 
-def near_copies(documents: DataFrame, shingle: int = 4, seed: int = 42, radius: int = 4) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id of every row."""
-    prints = materialize(fingerprints(documents, shingle, seed), "simhash")
+def _components(prints: DataFrame, radius: int) -> DataFrame:
+    """(node, component) of the fingerprints (fp) that lie within the radius of another one."""
     distinct = prints.select("fp").distinct()
-    shuffles = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shuffles = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = len(block_pairs(radius))
     tasks = max(shuffles, prints.count() * blocks * (blocks - 1) // 2 // _ROWS_PER_TASK)
-    root = connected(links(distinct, radius, tasks))
+    return connected(links(distinct, radius, tasks))
+
+
+def near_copies(documents: DataFrame, shingle: int = 4, seed: int = 42, radius: int = 4) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits) and component_id of every row."""
+    prints = materialize(fingerprints(documents, shingle, seed), "simhash")
+    root = _components(prints, radius)
     grouped = (
         prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
         .join(root, F.col("fp") == F.col("node"), "left")
@@ -196,3 +201,34 @@ def near_copies(documents: DataFrame, shingle: int = 4, seed: int = 42, radius:
     return prints.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def keep_one(documents: DataFrame, shingle: int = 4, seed: int = 42, radius: int = 4) -> DataFrame:
+    """One row of each component, columns as they were: the one with the smallest id.
+
+    Rows without an id come last; rows of one id are ordered by a hash of the
+    text, then of their other columns. Of rows equal in all of that one stays.
+    """
+    names = documents.columns
+    others = [x for c in names if c not in ("doc_id", "text") for x in (F.col(c).isNull(), F.col(c))]
+    key = ["_no_id", "_id", "_th", "_rest"]
+    own = [
+        F.col("doc_id").isNull().alias("_no_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("_id"),
+        F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_th"), F.xxhash64(F.col("text").isNull(), *others).alias("_rest"),
+    ]
+    ddl = "_no_id boolean, _id long, _th long, _rest long, fp long"
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        prints = np.array([fingerprint(t, shingle, seed) for t in batch.column("text").to_pylist()], np.uint64)
+        return batch_of(ddl, *(batch.column(c) for c in key), prints.view(np.int64))
+
+    prints = materialize(map_batches(documents.select(*own, F.col("text").cast("string").alias("text")), run, ddl), "simhash")
+    root = _components(prints, radius)
+    counted = prints.groupBy(*key, "fp").agg(F.count("*").alias("_n"))
+    least = counted.groupBy("fp").agg(F.min(F.struct(*key, "_n")).alias("least"))
+    least = least.join(root, F.col("fp") == F.col("node"), "left").groupBy(F.coalesce("component", "fp")).agg(F.min("least").alias("least"))
+    chosen = materialize(least.select("least.*"), "kept")
+    keyed = documents.select(*own, *names)
+    lone = keyed.join(chosen.where("_n = 1"), key, "left_semi")
+    twins = keyed.join(chosen.where("_n > 1"), key, "left_semi").dropDuplicates(key)
+    return lone.select(*names).union(twins.select(*names))

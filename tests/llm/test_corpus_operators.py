@@ -136,6 +136,31 @@ def test_records_round_trip(spark, tokenizer, odd, none):
     assert records.build_index(spark, where).count() == 0
 
 
+def test_reads_by_offset(spark, tokenizer, odd, none, monkeypatch):
+    monkeypatch.setattr(records, "_PICKED_IDS", 500)
+    for df in (documents(spark), odd):
+        where = scratch_path(spark, "records")
+        records.write_records(df, where, public_tokenizer(), end_id=2, file_bytes=20_000)
+        stored = spark.read.parquet(records.index_path(where)).select("part", "offset").collect()
+        want = Counter((r["doc_id"], tuple([*tokenizer.encode(r["text"] or "", add_special_tokens=False).ids, 2])) for r in df.select("doc_id", "text").collect())
+        orders = []
+        for seed in (1, 2):
+            rows = records.read_shuffled(spark, where, seed).collect()
+            assert Counter((r["doc_id"], tuple(r["ids"])) for r in rows) == want
+            orders.append([(r["part"], r["offset"]) for r in rows])
+            assert sorted(orders[-1]) == sorted(map(tuple, stored)) and orders[-1] != sorted(orders[-1])
+        assert orders[0] != orders[1]
+        index = records.build_index(spark, where)
+        last = index.orderBy(F.desc("part"), F.desc("offset")).limit(1).collect()[0]
+        row = spark.createDataFrame([(last["part"], last["offset"], k) for k in (5, 3)], "part int, offset long, place long")
+        assert [(r["place"], r["doc_id"], len(r["ids"])) for r in records.read_at(spark, where, row).collect()] == [(k, last["doc_id"], last["n_tokens"]) for k in (3, 5)]
+        with pytest.raises(Exception, match="damaged|cut record"):
+            records.read_at(spark, where, row.withColumn("offset", F.col("offset") + 1)).collect()
+    where = scratch_path(spark, "records")
+    records.write_records(none, where, public_tokenizer(), end_id=2)
+    assert records.read_shuffled(spark, where).count() == 0
+
+
 def test_damage_is_found():
     content = b"".join(records.frame(p) + b"\n" for p in (b"", b"abc" * 9, b"\n\n"))
     assert [p for _, p in records.frames(content)] == [b"", b"abc" * 9, b"\n\n"]

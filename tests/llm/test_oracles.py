@@ -18,5 +18,5 @@ def test_names():
     import __spark_entry__ as entry
 
     named = entry.queries()
-    assert {f"op{i}" for i in range(1, 11)} == {n.split("_")[0] for n in named if n.startswith("op") and n in QUERIES}
+    assert {f"op{i}" for i in range(1, 14)} == {n.split("_")[0] for n in named if n.startswith("op") and n in QUERIES}
     assert "pipeline" in named

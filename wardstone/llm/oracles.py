@@ -71,3 +71,38 @@ cut AS (SELECT doc_id, SUM(e - b) AS removed, COUNT(*) AS spans, MAX(e) AS last,
 SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(COALESCE(removed, 0) AS BIGINT) AS n_removed, CAST(COALESCE(spans, 0) AS BIGINT) AS n_spans,
   sha256(unhex(COALESCE(head, '') || substr(h, CAST(2 * COALESCE(last, 0) + 1 AS BIGINT)))) AS kept_sha256
 FROM t LEFT JOIN cut USING (doc_id)"""
+
+_INTEGER_VECTORS = """kept AS MATERIALIZED (SELECT ROW_NUMBER() OVER (ORDER BY vec_id) AS r, vec_id,
+  list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (SELECT c, v FROM (SELECT ROW_NUMBER() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS c, v FROM kept) WHERE c < 16)"""
+_ASSIGNED = """a{n} AS MATERIALIZED (SELECT r, vec_id, v, c, d FROM (
+  SELECT r, vec_id, kept.v, c, list_dot_product(kept.v, kept.v) - 2 * list_dot_product(kept.v, m.v) + list_dot_product(m.v, m.v) AS d FROM kept, c{n} m)
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY r ORDER BY d, c) = 1)"""
+_MOVED = """s{n} AS (SELECT c, i, CAST(SUM(CAST(x AS BIGINT)) AS BIGINT) AS s, COUNT(*) AS n
+  FROM (SELECT c, UNNEST(v) AS x, UNNEST(range(64)) AS i FROM a{n}) GROUP BY c, i),
+m{n} AS (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS DOUBLE) ORDER BY i) AS v FROM s{n} GROUP BY c),
+c{next} AS MATERIALIZED (SELECT c, COALESCE(m{n}.v, c{n}.v) AS v FROM c{n} LEFT JOIN m{n} USING (c))"""
+CLUSTERS = f"""WITH {",".join([_INTEGER_VECTORS, *(part.format(n=n, next=n + 1) for n in range(3) for part in (_ASSIGNED, _MOVED)), _ASSIGNED.format(n=3)])},
+totals AS (SELECT c, CAST(SUM(d) AS BIGINT) AS cluster_inertia FROM a3 GROUP BY c)
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, cluster_inertia, (SELECT CAST(SUM(d) AS BIGINT) FROM a3) AS inertia,
+  sha256(list_aggregate(list_transform(c3.v, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), 'string_agg', ',')) AS centroid_sha256
+FROM a3 JOIN totals USING (c) JOIN c3 USING (c)"""
+
+#: CRC-32 of the decimal digits of conv_id: its usual polynomial, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda g: CAST(ascii(g) AS BIGINT)),
+  lambda c, b: list_reduce(range(8), lambda x, i: xor(x >> 1, (x & 1) * 3988292384), xor(c, b)), 4294967295))"""
+PREFIXES = f"""WITH turns AS (SELECT conv_id, {{'r': COALESCE(role, ''), 't': COALESCE(text, '')}} AS m, ROW_NUMBER() OVER (
+  PARTITION BY conv_id ORDER BY turn NULLS FIRST, COALESCE(role, ''), COALESCE(text, '')) AS pos FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list(m ORDER BY pos) AS ms, CAST({_CRC32} AS BIGINT) % 6 AS h FROM turns GROUP BY conv_id),
+rebuilt AS (SELECT a.conv_id, list_concat(COALESCE(b.ms[1:a.h], []), a.ms[a.h + 1:]) AS ms FROM own a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 100),
+steps AS MATERIALIZED (SELECT conv_id, d, len(ms) AS n, sha256(CAST(to_json(ms[1:d]) AS VARCHAR)) AS k, sha256(CAST(to_json(ms[1:d - 1]) AS VARCHAR)) AS up,
+  length(ms[d].t) AS points FROM (SELECT conv_id, ms, UNNEST(range(len(ms) + 1)) AS d FROM rebuilt)),
+nodes AS MATERIALIZED (SELECT d, k, ANY_VALUE(up) AS up, MIN(conv_id) AS conv_id, COUNT(*) AS n_convs, (COUNT(*) - 1) * COALESCE(ANY_VALUE(points), 0) AS saved,
+  sha256(COALESCE(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (d = n), '')) AS ends_sha256 FROM steps GROUP BY d, k),
+children AS (SELECT d - 1 AS d, up AS k, COUNT(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+sums AS (SELECT s.d, s.k, SUM(saved) AS saved, COUNT(*) FILTER (c.n IS NULL) AS leaves FROM nodes u JOIN steps s ON s.conv_id = u.conv_id AND s.d <= u.d
+  LEFT JOIN children c ON c.d = u.d AND c.k = u.k GROUP BY s.d, s.k)
+SELECT u.conv_id, u.d AS depth, p.conv_id AS parent_conv_id, u.n_convs, COALESCE(c.n, 0) AS n_children, s.leaves AS n_leaves,
+  CAST(s.saved AS BIGINT) AS saved_tokens, u.ends_sha256
+FROM nodes u JOIN sums s USING (d, k) LEFT JOIN children c USING (d, k) LEFT JOIN nodes p ON u.d > 0 AND p.d = u.d - 1 AND p.k = u.up"""

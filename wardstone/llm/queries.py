@@ -1,4 +1,4 @@
-"""The ten named queries of this package and their SQL, where SQL can express them."""
+"""The named queries of this package and their SQL, where SQL can express them."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstone.llm import embdedup, hdlang, linecrf, linerules, mixing, oracles, packing, records, repeats, simhash, toolcalls
+from wardstone.llm import embdedup, hdlang, kmeans, linecrf, linerules, mixing, oracles, packing, prefixtrie, records, repeats, simhash, tokencounts, toolcalls
 from wardstone.llm.common import id_bucket, table
 from wardstone.llm.tokens import public_tokenizer
 from wardstone.session import scratch_path
@@ -106,3 +106,18 @@ def op9_repeats(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_embeddings", oracles.EMBEDDINGS)
 def op10_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     return embdedup.near_copies(table(spark, folder, "embeddings"))
+
+
+@query("op11_clusters", oracles.CLUSTERS)
+def op11_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return kmeans.cluster(table(spark, folder, "embeddings"), k=16, rounds=3, seed=1, size=64, scale=64)
+
+
+@query("op12_prefix_trie", oracles.PREFIXES)
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefixtrie.prefix_trie(table(spark, folder, "conversations"), family=100, heads=6)
+
+
+@query("op13_token_counts")
+def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return tokencounts.count_tokens(table(spark, folder, "documents"), public_tokenizer("piece_bpe_32k.model"), limit=4096)

@@ -1,5 +1,8 @@
 """Sinks, stored tables, filters and the shared folder."""
 
+import os
+import threading
+from concurrent.futures import ThreadPoolExecutor
 from types import SimpleNamespace
 
 import pytest
@@ -10,6 +13,7 @@ from wardstone.operators.scoring import score_encounters
 from wardstone.plans.catalog import QUERIES
 from wardstone.plans.tables import encounters
 from wardstone.sources import encounters as E
+from wardstone.sources import folders
 from wardstone.sources.orders_fixture import encounters as derived
 
 SF = "/root/testdata/sf0.001"
@@ -44,6 +48,65 @@ def test_create_if_absent_keeps_the_first_table(spark):
     assert E.create_if_absent(spark.range(9), path).count() == 3
 
 
+def test_an_unmarked_table_survives(spark):
+    """No success mark, as other writers leave it."""
+    path = W.scratch_path(spark, "unmarked")
+    spark.range(10).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
+    assert not os.path.exists(f"{path}/_SUCCESS")
+    assert E.create_if_absent(spark.range(3), path).count() == 10
+
+
+def test_a_partitioned_table_survives(spark):
+    path = W.scratch_path(spark, "partitioned")
+    spark.range(10).withColumn("_k", F.col("id") % 2).write.partitionBy("_k").parquet(path)
+    assert E.create_if_absent(spark.range(3), path).count() == 10
+
+
+@pytest.mark.parametrize("left", ["_temporary/0/part-0", "_SUCCESS", None])
+def test_what_a_dead_writer_left_is_moved_aside(spark, left):
+    path = W.scratch_path(spark, "dead")
+    os.makedirs(f"{path}/{os.path.dirname(left or '')}")
+    if left:
+        open(f"{path}/{left}", "w").close()
+    assert E.create_if_absent(spark.range(3), path).count() == 3
+    parent, name = os.path.split(path)
+    aside = [f for f in os.listdir(parent) if f.startswith(f"_{name}.left-")]
+    assert len(aside) == 1 and (not left or os.path.exists(f"{parent}/{aside[0]}/{left}"))
+
+
+def test_racing_writers_leave_one_whole_table(spark):
+    path = W.scratch_path(spark, "race")
+    sizes = [1000 + i for i in range(6)]
+    barrier = threading.Barrier(len(sizes))
+    found = {}
+
+    def write(n):
+        staged = folders.beside(path, "stage")
+        spark.range(n).write.parquet(staged)
+        barrier.wait()  # all rows are written before any is published
+        won = folders.publish(spark, staged, path)
+        found[n] = won, spark.read.parquet(path).count()
+
+    threads = [threading.Thread(target=write, args=(n,)) for n in sizes]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    winners = [n for n, (won, _) in found.items() if won]
+    assert len(winners) == 1 and {count for _, count in found.values()} == set(winners)
+    assert spark.read.parquet(path).count() == winners[0]
+    assert not [f for f in os.listdir(os.path.dirname(path)) if "race" in f and "stage" in f]
+
+
+def test_racing_creations_of_a_catalog_table(spark):
+    name = "raced_table"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    found = []
+    with ThreadPoolExecutor(4) as pool:
+        found = list(pool.map(lambda n: E.create_table_if_absent(spark.range(n), name).count(), [11, 12, 13, 14]))
+    assert len(set(found)) == 1 and found[0] in (11, 12, 13, 14)
+    assert E.create_table_if_absent(spark.range(99), name).count() == found[0]
+    spark.sql(f"DROP TABLE {name}")
+
+
 def test_filters_compose(spark):
     scored = score_encounters(encounters(spark, SF))
     got = E.filter_encounters(scored, ages=["[60-70)"], admission_types=[1], tiers=["High"], start="1994-01-01")

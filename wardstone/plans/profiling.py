@@ -1,5 +1,7 @@
 """Ingest, data-quality and patient-level queries."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from wardstone import schema as S
@@ -86,6 +88,23 @@ def write_first_encounter(spark, sf):
     return E.create_if_absent(encounters(spark, sf), path)
 
 
+@query("create_first_encounter_table", over(f"SELECT {_ALL} FROM first_encounters", source="first_encounters"))
+def create_first_encounter_table(spark, sf):
+    """A catalog table created once by name; a second creation with other rows gives the first one's."""
+    name = f"first_encounter_{uuid.uuid4().hex}"
+    E.create_table_if_absent(P.first_encounter(encounters(spark, sf)), name)
+    return E.create_table_if_absent(encounters(spark, sf), name)
+
+
+@query("write_over_unmarked_table", over(f"SELECT {_ALL} FROM first_encounters", source="first_encounters"))
+def write_over_unmarked_table(spark, sf):
+    """A table that another writer left without a success mark is not replaced."""
+    path = scratch_path(spark, "unmarked")
+    writer = P.first_encounter(encounters(spark, sf)).write
+    writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
+    return E.create_if_absent(encounters(spark, sf), path)
+
+
 @query("binarise_target", over("SELECT encounter_id, readmitted, CAST(readmitted = '<30' AS INT) AS readmitted_30 FROM encounters"))
 def binarise_target(spark, sf):
     label = (F.col("readmitted") == S.POSITIVE_OUTCOME).cast("int")

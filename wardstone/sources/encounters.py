@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +11,8 @@ from pyspark.sql.types import StringType
 
 from wardstone import schema as S
 from wardstone.functions import clinical as C
+from wardstone.session import scratch_path
+from wardstone.sources import folders
 
 
 def read_encounters_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -64,20 +67,40 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists", partiti
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def create_if_absent(df: DataFrame, path: str) -> DataFrame:
-    """Write once; a second call leaves the finished table as it is.
+def create_table_if_absent(df: DataFrame, name: str, location: str | None = None) -> DataFrame:
+    """The catalog table ``name``, created from ``df`` unless it exists.
 
-    Only a folder with the writer's success mark counts as finished; what a
-    writer that died left behind is written anew.
+    The rows are first written whole to a folder that nothing else uses; then one
+    ``CREATE TABLE IF NOT EXISTS`` names that folder. The catalog lets one of
+    several racing writers win, and the others get the winner's table. No
+    existing table or folder is ever written to. ``location`` is the folder to
+    keep the data in, below which a new one is made; by default the shared folder.
     """
-    if not _finished(df.sparkSession, path):
-        df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(name):
+        folder = f"{location.rstrip('/')}/{uuid.uuid4().hex}" if location else scratch_path(spark, "table")
+        df.write.parquet(folder)
+        quoted = ".".join(f"`{part}`" for part in name.split("."))
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {quoted} USING parquet LOCATION '{folder}'")
+    return spark.table(name)
 
 
-def _finished(spark: SparkSession, path: str) -> bool:
-    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+def create_if_absent(df: DataFrame, path: str) -> DataFrame:
+    """The parquet folder ``path``, created from ``df`` unless it holds a table already.
+
+    A folder with any file that a reader would see is a table, whoever wrote it
+    and with or without a success mark, and is left as it is. New rows are
+    written to a hidden folder beside and published by one rename, so that other
+    readers find all rows or none; of several racing writers one wins and the
+    others read its table. A folder that holds nothing a reader would see, as a
+    writer that died leaves it, is moved aside, not deleted.
+    """
+    spark = df.sparkSession
+    if not folders.holds_data(spark, path):
+        staged = folders.beside(path, "stage")
+        df.write.parquet(staged)
+        folders.publish(spark, staged, path)
+    return spark.read.parquet(path)
 
 
 def register_view(df: DataFrame, name: str = "encounters") -> DataFrame:

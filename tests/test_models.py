@@ -1,11 +1,13 @@
 """Training, explanation, saving and streaming."""
 
+import subprocess
+import sys
 from itertools import combinations
 from math import factorial
 
 import numpy as np
 import pytest
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from wardstone.operators import evaluate as V
@@ -138,3 +140,45 @@ def test_stream_with_a_fitted_model_equals_batch(spark, boosted):
     job.awaitTermination()
     pick = lambda df: sorted((r["encounter_id"], r["score"]) for r in df.select("encounter_id", "score").collect())
     assert pick(spark.read.parquet(sink)) == pick(boosted.transform(encounters(spark, SF)))
+
+
+def test_training_parts_follow_the_rows(spark):
+    assert [M.training_parts(n, 100) for n in (0, 1, 100, 101, 12_345)] == [1, 1, 1, 2, 124]
+    rows = spark.range(1000).select(F.col("id").cast("int").alias(M.LABEL), F.array(F.col("id").cast("double")).alias("x"))
+    rows = rows.select(M.LABEL, array_to_vector("x").alias("features"))
+    assert M.dealt(rows, 100).rdd.getNumPartitions() == 10 and M.dealt(rows, 1000).rdd.getNumPartitions() == 1
+
+
+def test_copies_of_one_row_spread_over_the_parts(spark):
+    rows = spark.range(20_000).select(
+        F.lit(1).alias(M.LABEL), array_to_vector(F.array(F.when(F.col("id") < 15_000, -1).otherwise(F.col("id")).cast("double"))).alias("features")
+    )
+    parts = M.dealt(rows, 1000)
+    sizes = [r["n"] for r in parts.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 20_000 and max(sizes) < 6000
+    same = lambda df: sorted((str(r["features"]), r["n"]) for r in df.groupBy("features").agg(F.count("*").alias("n")).collect())
+    assert same(parts) == same(rows)
+
+
+_FIT = """
+import sys
+from wardstone.operators import models as M
+from wardstone.plans.tables import first_encounters
+from wardstone.session import build_session
+
+spark = build_session("cores", int(sys.argv[1]))
+spark.sparkContext.setLogLevel("OFF")
+train, _ = M.split(first_encounters(spark, sys.argv[2]))
+encoded = M.encode(M.X.fit_encoder(train), train)
+boosted = M.fit_boosting(encoded, M.BoostingParams(trees=3, rows_per_part=100), balance="weight").stages[-1]
+logistic = M.fit_logistic(encoded, 20, "weight", rows_per_part=100).stages[-1]
+print("MODEL", __import__("hashlib").md5((boosted.toDebugString.split(chr(10), 1)[1] + str(logistic.coefficients)).encode()).hexdigest())
+"""
+
+
+def test_same_model_on_two_and_eight_cores():
+    found = set()
+    for cores in ("2", "8"):
+        done = subprocess.run([sys.executable, "-c", _FIT, cores, SF], capture_output=True, text=True, timeout=600, check=True)
+        found |= {line for line in done.stdout.splitlines() if line.startswith("MODEL")}
+    assert len(found) == 1

@@ -22,6 +22,8 @@ from wardstone.session import ensure_checkpoint_dir
 
 LABEL = "readmitted_30"
 ID = "encounter_id"
+#: Training rows that one task holds, some 26 MB with 200 features. The parts follow from the number of rows alone.
+ROWS_PER_PART = 16_384
 
 
 @dataclass(frozen=True)
@@ -35,7 +37,7 @@ class BoostingParams:
     column_share: float = 0.8
     min_rows: int = 5
     seed: int = 42
-    tasks: int = 8  # parts of the training rows; a fixed number keeps the fitted model independent of the cluster
+    rows_per_part: int = ROWS_PER_PART
 
 
 def score_column(df: DataFrame, alias: str = "score") -> DataFrame:
@@ -82,10 +84,32 @@ def balanced(train: DataFrame, how: str, seed: int) -> DataFrame:
     return train
 
 
-def _dealt(rows: DataFrame, tasks: int) -> DataFrame:
-    """Rows dealt and ordered by their content, so that row sampling in the learner does not depend on the cluster."""
-    place = F.xxhash64(vector_to_array("features"), F.col(LABEL))
-    return rows.withColumn("_place", place).repartition(tasks, "_place").sortWithinPartitions("_place").drop("_place")
+def training_parts(rows: int, rows_per_part: int = ROWS_PER_PART) -> int:
+    """Parts that training rows are dealt into, by their number and not by the cluster's size."""
+    return max(1, -(-rows // rows_per_part))
+
+
+#: Copies of one row that stay together.
+COPIES_PER_PARCEL = 1024
+
+
+def dealt(rows: DataFrame, rows_per_part: int = ROWS_PER_PART) -> DataFrame:
+    """The label, feature and weight columns, dealt and ordered by their content.
+
+    Row sampling in the learner and the order in which it adds numbers up follow
+    the parts, so the fitted model depends on the data only. Equal rows are
+    counted first and dealt in parcels, so that a row with very many copies
+    spreads over the parts.
+    """
+    parts = training_parts(rows.count(), rows_per_part)
+    columns = [c for c in ("features", LABEL, "weight") if c in rows.columns]
+    counted = rows.groupBy(*columns).agg(F.count("*").alias("_n"))
+    last = F.floor((F.col("_n") - 1) / COPIES_PER_PARCEL).cast("long")
+    parcels = counted.withColumn("_parcel", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    content = [vector_to_array("features"), *[F.col(c) for c in columns[1:]]]
+    placed = parcels.withColumn("_place", F.xxhash64(*content, F.col("_parcel"))).repartition(parts, "_place").sortWithinPartitions("_place")
+    copies = F.least(F.lit(COPIES_PER_PARCEL).cast("long"), F.col("_n") - F.col("_parcel") * COPIES_PER_PARCEL)
+    return placed.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), copies))).select(*columns)
 
 
 def _weight(balance: str) -> dict[str, str]:
@@ -101,7 +125,7 @@ def fit_boosting(train: DataFrame, params: BoostingParams = BoostingParams(), ba
         minInstancesPerNode=params.min_rows, seed=params.seed, checkpointInterval=10, maxMemoryInMB=512,
         **_weight(balance),
     )
-    rows = _dealt(balanced(train, balance, params.seed), params.tasks).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = dealt(balanced(train, balance, params.seed), params.rows_per_part).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return PipelineModel([learner.fit(rows)])
     finally:
@@ -109,10 +133,10 @@ def fit_boosting(train: DataFrame, params: BoostingParams = BoostingParams(), ba
 
 
 def fit_logistic(
-    train: DataFrame, max_iter: int = 1000, balance: str = "smote", seed: int = 42, tasks: int = 8
+    train: DataFrame, max_iter: int = 1000, balance: str = "smote", seed: int = 42, rows_per_part: int = ROWS_PER_PART
 ) -> PipelineModel:
     """Logistic regression on standardised features, with a unit ridge penalty on the summed loss."""
-    rows = _dealt(balanced(train, balance, seed), tasks).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = dealt(balanced(train, balance, seed), rows_per_part).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True).fit(rows)
         learner = LogisticRegression(

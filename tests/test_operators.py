@@ -255,3 +255,65 @@ def test_same_result_for_any_number_of_partitions(spark, name):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert results[0] == results[1]
+
+
+# ---- exact sums ----
+
+
+def _plain_correlation(a, b):
+    from fractions import Fraction
+
+    n = len(a)
+    cross = lambda x, y: n * sum(p * q for p, q in zip(x, y)) - sum(x) * sum(y)
+    return float(Fraction(cross(a, b))) / math.sqrt(cross(a, a)) / math.sqrt(cross(b, b))
+
+
+WIDE = [4 * 10**18 + i * i % 97 for i in range(200)]
+FAR = [(-1) ** i * (9 * 10**18 - i * 10**16) for i in range(200)]
+
+
+def _wide(spark):
+    rows = [(a, b, i, float(i)) for i, (a, b) in enumerate(zip(WIDE, FAR))]
+    return spark.createDataFrame(rows, "a long, b long, i int, x double")
+
+
+@pytest.mark.parametrize("left, right", [("a", "i"), ("b", "i"), ("a", "b")])
+def test_correlations_of_wide_numbers(spark, left, right):
+    values = {"a": WIDE, "b": FAR, "i": list(range(200))}
+    got = T.correlations(_wide(spark), [left, right]).first()["r"]
+    assert got == pytest.approx(_plain_correlation(values[left], values[right]), abs=1e-12)
+
+
+def test_describe_of_wide_numbers(spark):
+    import statistics
+
+    got = {r["feature"]: r for r in T.describe(_wide(spark), ["a", "b"]).collect()}
+    for name, values in (("a", WIDE), ("b", FAR)):
+        r = got[name]
+        assert r["count"] == 200 and r["min"] == float(min(values)) and r["max"] == float(max(values))
+        assert r["mean"] == pytest.approx(float(sum(values) / 200), rel=1e-12)
+        assert r["std"] == pytest.approx(float(statistics.stdev(values)), rel=1e-9)
+        assert r["p50"] == pytest.approx(float(statistics.median(values)), rel=1e-15)
+
+
+def test_trend_of_wide_numbers(spark):
+    df = spark.createDataFrame([(4 * 10**18 + i, 4 * 10**18 + 3 * i + 1) for i in range(150)], "x long, y long")
+    row = T.linear_trend(df, "x", "y").first()
+    assert row["slope"] == 3.0 and row["r2"] == 1.0 and row["n"] == 150
+
+
+def test_standardize_of_wide_numbers_and_nulls(spark):
+    df = spark.createDataFrame([(i, 4 * 10**18 + 2 * i if i % 3 else None) for i in range(30)], "id long, v long")
+    got = {r["id"]: r["v"] for r in T.standardize(df, ["v"], ["id"]).collect()}
+    values = [2 * i for i in range(30) if i % 3]
+    mean = sum(values) / len(values)
+    deviation = math.sqrt(sum((v - mean) ** 2 for v in values) / len(values))
+    for i in range(30):
+        assert got[i] is None if i % 3 == 0 else got[i] == pytest.approx((2 * i - mean) / deviation, abs=1e-12)
+
+
+def test_narrow_columns_take_the_narrow_path(spark):
+    df = spark.range(10).select(F.col("id").cast("int").alias("a"), (F.col("id") * -2_000_000_000 / 9).cast("int").alias("b"))
+    plan = T.correlations(df, ["a", "b"])._jdf.queryExecution().toString()
+    assert "_hh" not in plan and T.correlations(df, ["a", "b"]).first()["r"] == pytest.approx(-1.0, abs=1e-9)
+    assert T.Moments(df, ["a"], [("a", "a")]).kind == "narrow"

@@ -3,8 +3,8 @@ import pytest
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from wardstone.operators.neighbors import BlockSizes, k_nearest
-from wardstone.operators.smote import smote_balance
+from wardstone.operators.neighbors import BlockSizes, k_nearest, k_nearest_hashed
+from wardstone.operators.smote import STEPS, smote_balance, smote_rows
 
 SMALL = BlockSizes(cell=40, probe=15, block=25, slice=30)
 
@@ -94,3 +94,44 @@ def test_needs_two_classes(spark):
     df = _sample(spark, 5, 0, lambda i: [float(i)])
     with pytest.raises(ValueError):
         smote_balance(df, "features", "label", "id")
+
+
+def test_rows_name_their_parent_neighbour_and_step(spark):
+    rng = np.random.default_rng(8)
+    points = rng.integers(0, 12, size=(300, 3)).astype(float)
+    points[:6] = 1.0  # six equal minority rows
+    df = _sample(spark, 40, 260, lambda i: points[i].tolist())
+    made = smote_rows(df, "features", "label", "id", sizes=SMALL).collect()
+    assert len(made) == 220 and len({(r["parent"], r["copy"]) for r in made}) == 220
+    minority = points[:40]
+    least = {tuple(p): i for i, p in reversed(list(enumerate(minority)))}
+    for r in made:
+        a, b = minority[r["parent"]], minority[r["neighbour"]]
+        assert least[tuple(a)] == r["parent"] and least[tuple(b)] == r["neighbour"]
+        assert 0 <= r["step"] < 1 and r["step"] * STEPS == int(r["step"] * STEPS)
+        assert r["x"] == [p + r["step"] * (q - p) for p, q in zip(a, b)]
+        others = np.delete(((minority - a) ** 2).sum(axis=1), r["parent"])
+        assert ((a - b) ** 2).sum() <= np.sort(others)[4]
+    assert {r["neighbour"] for r in made if r["parent"] == 0} == {0}  # more than five copies to choose from
+
+
+def test_hashed_search_finds_most_neighbours(spark):
+    """Measured recall of the approximate search; the exact one is the standard."""
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(30, 6)) * 10
+    points = centres[rng.integers(0, 30, 600)] + rng.normal(size=(600, 6))
+    df = spark.createDataFrame([(i, [float(v) for v in p], 1, 5) for i, p in enumerate(points)], "vid long, x array<double>, copies long, wanted long")
+    pick = lambda lists: {r["vid"]: {e["nvid"] for e in r["neighbors"]} for r in lists.collect()}
+    exact, hashed = pick(k_nearest(df, 5)), pick(k_nearest_hashed(df, 5, radius=4.0, tables=6))
+    recall = sum(len(exact[v] & hashed.get(v, set())) for v in exact) / sum(map(len, exact.values()))
+    assert recall >= 0.9
+    for vid, found in hashed.items():
+        assert len(found) <= 5 and vid not in found
+
+
+def test_balance_with_the_hashed_search(spark):
+    rng = np.random.default_rng(10)
+    points = rng.normal(size=(200, 3))
+    df = _sample(spark, 40, 160, lambda i: points[i].tolist())
+    out = smote_balance(df, "features", "label", "id", search=lambda v, k: k_nearest_hashed(v, k, radius=3.0))
+    assert out.filter("label = 1").count() == 160

@@ -18,7 +18,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.ml.feature import BucketedRandomProjectionLSH
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardstone.session import materialize
@@ -217,3 +219,30 @@ def k_nearest(vectors: DataFrame, k: int, sizes: BlockSizes = BlockSizes()) -> D
     )
     ordered = F.sort_array(F.collect_list(F.struct("dist2", "nvid", "copies")))
     return found.groupBy("vid").agg(F.slice(ordered, 1, k).alias("neighbors"))
+
+
+def k_nearest_hashed(
+    vectors: DataFrame, k: int, radius: float, bucket_length: float | None = None, tables: int = 4, seed: int = 42
+) -> DataFrame:
+    """Neighbour lists as ``k_nearest`` gives them, approximate, from a locality-sensitive hash join.
+
+    Pairs that share a bucket of one of ``tables`` random projections and lie
+    within ``radius`` are the candidates; the k closest of them are kept, ties
+    going to the smaller id. A neighbour is missed when it shares no bucket, and a
+    row with no other within the radius gets no list. More tables and longer
+    buckets (default: the radius) raise recall and cost. The join compares all
+    pairs of a bucket, so the bucket length has to be chosen for the densest
+    part of the data; where that is unknown, the exact search is the safe choice.
+    """
+    points = materialize(vectors.select("vid", "copies", "wanted", array_to_vector("x").alias("point")), "lsh_points")
+    hashing = BucketedRandomProjectionLSH(
+        inputCol="point", outputCol="hashes", bucketLength=bucket_length or radius, numHashTables=tables, seed=seed
+    ).fit(points)
+    close = hashing.approxSimilarityJoin(points.filter("wanted > 0"), points, radius, "distance")
+    pairs = close.select(
+        F.col("datasetA.vid").alias("vid"), F.col("datasetB.vid").alias("nvid"), F.col("datasetB.copies").alias("copies"),
+        (F.col("distance") * F.col("distance")).alias("dist2"),
+    ).filter("vid <> nvid")
+    place = Window.partitionBy("vid").orderBy("dist2", "nvid")  # Spark keeps the first k of each task before the shuffle
+    nearest = pairs.withColumn("_rank", F.row_number().over(place)).filter(F.col("_rank") <= k)
+    return nearest.groupBy("vid").agg(F.sort_array(F.collect_list(F.struct("dist2", "nvid", "copies"))).alias("neighbors"))

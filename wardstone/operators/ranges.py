@@ -64,6 +64,7 @@ def ranked_quantiles(
             here = (F.col("_first") <= index) & (index <= F.col("_last"))
             found.append(F.max(F.when(here, F.col("value"))).alias(f"_{side}{i}"))
         found.append(F.max(position - low).alias(f"_share{i}"))
-        step = F.col(f"_share{i}") * (F.col(f"_high{i}") - F.col(f"_low{i}"))
-        shares[name] = F.col(f"_low{i}") + F.when(F.col(f"_share{i}") == 0, 0.0).otherwise(step)
+        low, high = F.col(f"_low{i}").cast("double"), F.col(f"_high{i}").cast("double")
+        step = F.col(f"_share{i}") * (high - low)
+        shares[name] = low + F.when(F.col(f"_share{i}") == 0, 0.0).otherwise(step)
     return placed.groupBy(*keys).agg(*found).select(*keys, *[c.alias(n) for n, c in shares.items()])

@@ -1,25 +1,32 @@
 """Oversampling of the minority class by interpolation between near neighbours.
 
-Every random choice is a hash of row values, so the result is the same for any
-partitioning and survives recomputation of lost partitions.
+Every random choice is integer arithmetic on the row's id, so the result is the
+same for any partitioning, survives recomputation of lost partitions, and can be
+computed again by any engine with 64-bit integers.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardstone.functions.clinical import seeded_hash
 from wardstone.operators.neighbors import BlockSizes, k_nearest
 from wardstone.operators.splits import stratified_split
 from wardstone.session import materialize
 
 COPIES_PER_ROW = 1000
+#: A step is a whole number of these parts of the way to the neighbour.
+STEPS = 1 << 20
+Search = Callable[[DataFrame, int], DataFrame]
 
 
-def _unit(*parts: Column) -> Column:
-    """Hash to [0, 1)."""
-    return F.pmod(F.xxhash64(*parts), F.lit(1 << 52)) / F.lit(float(1 << 52))
+def _draw(vid: Column, copy: Column, seed: int) -> Column:
+    """Pseudo-random integer in [0, 2^31-1) for a vector's copy."""
+    return seeded_hash(seeded_hash(vid, seed) + copy, seed + 1)
 
 
 def _vectors(minority: DataFrame, id_column: str, needed: int, rows: int, k: int, seed: int) -> DataFrame:
@@ -41,12 +48,13 @@ def _vectors(minority: DataFrame, id_column: str, needed: int, rows: int, k: int
     return merged.withColumn("wanted", F.greatest(F.lit(k) - (F.col("copies") - 1), F.lit(0)))
 
 
-def _with_neighbors(vectors: DataFrame, k: int, sizes: BlockSizes) -> DataFrame:
-    """Adds ``near``: up to k vectors to interpolate towards, own copies first.
+def _with_neighbors(vectors: DataFrame, k: int, search: Search) -> DataFrame:
+    """Adds ``own``, the copies of itself, and ``near``, the others that a vector may be drawn towards.
 
-    A close vector counts once for each of its copies, as in a search over rows.
+    Together they are up to k, own copies first. A close vector counts once for
+    each of its copies, as in a search over rows.
     """
-    lists = k_nearest(vectors.select("vid", "x", "copies", "wanted"), k, sizes)
+    lists = search(vectors.select("vid", "x", "copies", "wanted"), k)
     slots = F.flatten(
         F.transform(
             F.col("neighbors"),
@@ -58,19 +66,18 @@ def _with_neighbors(vectors: DataFrame, k: int, sizes: BlockSizes) -> DataFrame:
         .select("vid", F.posexplode(F.slice(slots, F.lit(1), F.col("wanted").cast("int"))).alias("slot", "nvid"))
         .join(vectors.select(F.col("vid").alias("nvid"), F.col("x").alias("nx")), "nvid")
     )
-    others = chosen.groupBy("vid").agg(F.sort_array(F.collect_list(F.struct("slot", "nx"))).alias("o"))  # at most k
-    own = F.array_repeat(F.col("x"), F.least(F.col("copies") - 1, F.lit(k)).cast("int"))
-    near = F.concat(own, F.coalesce(F.transform("o", lambda e: e["nx"]), F.array().cast("array<array<double>>")))
+    others = chosen.groupBy("vid").agg(F.sort_array(F.collect_list(F.struct("slot", "nvid", "nx"))).alias("near"))  # at most k
     return vectors.join(others, "vid", "left").select(
-        "vid", "x", "owed", F.when(F.size(near) > 0, near).otherwise(F.array("x")).alias("near")
+        "vid", "x", "owed", F.least(F.col("copies") - 1, F.lit(k)).alias("own"), "near"
     )
 
 
 def synthesize(vectors: DataFrame, seed: int) -> DataFrame:
-    """The owed rows of every vector: x + λ·(neighbour − x).
+    """The owed rows of every vector: parent, copy, neighbour, step and x + step·(neighbour − x).
 
     A vector that owes very many is first cut into parcels, which are spread
-    over the tasks before they unfold.
+    over the tasks before they unfold. A vector without any neighbour, and one
+    that draws a copy of itself, is its own neighbour.
     """
     parcels = vectors.withColumn(
         "parcel", F.explode(F.sequence(F.lit(0), F.floor((F.col("owed") - 1) / COPIES_PER_ROW).cast("int")))
@@ -82,13 +89,50 @@ def synthesize(vectors: DataFrame, seed: int) -> DataFrame:
         .repartition("vid", "parcel")
         .withColumn("copy", F.explode(F.sequence(first, last)))
     )
-    pick = F.floor(_unit(F.col("vid"), F.col("copy"), F.lit(seed)) * F.size("near")).cast("int")
+    choices = F.greatest(F.col("own") + F.coalesce(F.size("near"), F.lit(0)), F.lit(1))
+    pick = _draw(F.col("vid"), F.col("copy"), seed) % choices - F.col("own")
     drawn = unfolded.select(
-        "vid", "copy", "x", F.get("near", pick).alias("to"),
-        _unit(F.col("copy"), F.col("vid"), F.lit(seed + 1)).alias("step"),
+        "vid", "copy", "x", F.when(pick >= 0, F.get("near", pick.cast("int"))).alias("to"),
+        (_draw(F.col("vid"), F.col("copy"), seed + 2) % STEPS / F.lit(float(STEPS))).alias("step"),
+    )
+    point = F.when(F.col("to").isNull(), F.col("x")).otherwise(F.zip_with("x", F.col("to.nx"), lambda a, b: a + F.col("step") * (b - a)))
+    return drawn.select(
+        F.col("vid").alias("parent"), "copy", F.coalesce("to.nvid", "vid").alias("neighbour"), "step", point.alias("x")
+    )
+
+
+def _classes(df: DataFrame, label: str) -> tuple[int, int, int]:
+    """The minority label, its rows, and the rows it lacks."""
+    counts = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
+    if len(counts) != 2:
+        raise ValueError(f"need exactly two classes, found {sorted(counts)}")
+    minority = min(counts, key=lambda c: (counts[c], c))
+    return minority, counts[minority], max(counts.values()) - counts[minority]
+
+
+def smote_rows(
+    df: DataFrame,
+    features: str,
+    label: str,
+    id_column: str,
+    k: int = 5,
+    seed: int = 42,
+    sizes: BlockSizes = BlockSizes(),
+    search: Search | None = None,
+) -> DataFrame:
+    """The synthetic minority rows that bring both classes to one size.
+
+    ``parent`` (the least id of the vector that a row grew from), ``copy`` (its
+    number among the parent's), ``neighbour``, ``step`` and the new vector as an
+    array ``x``. ``search`` finds neighbour lists as ``k_nearest`` does; the
+    default is that exact search, ``neighbors.k_nearest_hashed`` an approximate one.
+    """
+    minority, many, needed = _classes(df, label)
+    rows = df.filter(F.col(label) == minority).select(
+        id_column, F.lit(1).alias("_class"), vector_to_array(features).alias("x")
     )
-    point = F.zip_with("x", "to", lambda a, b: a + F.col("step") * (b - a))
-    return drawn.select("vid", "copy", point.alias("x"))
+    vectors = materialize(_vectors(rows, id_column, needed, many, k, seed), "smote_vectors")
+    return synthesize(_with_neighbors(vectors, k, search or (lambda v, n: k_nearest(v, n, sizes))), seed)
 
 
 def smote_balance(
@@ -99,24 +143,17 @@ def smote_balance(
     k: int = 5,
     seed: int = 42,
     sizes: BlockSizes = BlockSizes(),
+    search: Search | None = None,
 ) -> DataFrame:
     """Both classes at the size of the larger one: all given rows plus synthetic minority rows.
 
     Returns the vector column, the label and ``synthetic``.
     """
-    counts = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
-    if len(counts) != 2:
-        raise ValueError(f"need exactly two classes, found {sorted(counts)}")
-    minority = min(counts, key=lambda c: (counts[c], c))
-    needed = abs(max(counts.values()) - counts[minority])
+    minority, _, needed = _classes(df, label)
     originals = df.select(features, label, F.lit(False).alias("synthetic"))
     if needed == 0:
         return originals
-    rows = df.filter(F.col(label) == minority).select(
-        id_column, F.lit(1).alias("_class"), vector_to_array(features).alias("x")
-    )
-    vectors = materialize(_vectors(rows, id_column, needed, counts[minority], k, seed), "smote_vectors")
-    grown = synthesize(_with_neighbors(vectors, k, sizes), seed).select(
+    grown = smote_rows(df, features, label, id_column, k, seed, sizes, search).select(
         array_to_vector("x").alias(features),
         F.lit(minority).cast(df.schema[label].dataType).alias(label),
         F.lit(True).alias("synthetic"),

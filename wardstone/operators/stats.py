@@ -1,19 +1,23 @@
 """Descriptive statistics.
 
-Moments of whole-number columns come from products and sums in wide decimals, so
-results do not depend on the order in which partitions are combined; columns
-with fractions use doubles. Quantiles are taken over value
-counts, not rows: the table is first reduced to (group, measure, value) counts
-on the map side.
+Moments of whole-number columns are exact sums, so results do not depend on the
+order in which partitions are combined, and no magnitude overflows: products of
+columns of up to 32 bits are whole numbers of 64; wider columns are taken as
+distances from their least value and cut into a high and a low part, whose
+products are summed apart and put together at the end. Columns with fractions
+use doubles. Quantiles are taken over value counts, not rows: the table is first
+reduced to (group, measure, value) counts on the map side.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType
+from pyspark.sql.types import IntegralType, LongType
 
 from wardstone.operators.ranges import beside, ranked_quantiles
 from wardstone.session import materialize
@@ -21,13 +25,17 @@ from wardstone.session import materialize
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
+#: Wide whole numbers are cut here into a high and a low part.
+_LIMB = "10000000000BD"
+_TOTAL = "decimal(38,0)"
+
+
 def _whole(df: DataFrame, columns: list[str]) -> bool:
     return all(isinstance(df.schema[c].dataType, IntegralType) for c in columns)
 
 
-def _number_types(df: DataFrame, columns: list[str]) -> tuple[str, str]:
-    """SQL types of a value and of a sum: exact for whole numbers, double otherwise."""
-    return ("decimal(19,0)", "decimal(38,0)") if _whole(df, columns) else ("double", "double")
+def _wide(df: DataFrame, columns: list[str]) -> bool:
+    return any(isinstance(df.schema[c].dataType, LongType) for c in columns)
 
 
 def _difference(a: str, b: str, c: str, d: str) -> str:
@@ -37,25 +45,100 @@ def _difference(a: str, b: str, c: str, d: str) -> str:
     return f"coalesce({exact}, {doubles[0]} * {doubles[1]} - {doubles[2]} * {doubles[3]})"
 
 
+class Moments:
+    """Sums and sums of products of some columns, by the narrowest arithmetic that is exact for their types.
+
+    ``rows`` has the columns as the sums take them: complete rows only (or, with
+    ``complete`` off, all rows and a count n_a of each column), and wide columns
+    as distances from their least value (their pivot). ``sums`` are the
+    aggregates, s_a of values and p_a_b of products. Spreads and slopes do not
+    change with the pivots; ``mean`` adds them again.
+    """
+
+    def __init__(self, df: DataFrame, columns: list[str], pairs: list[tuple[str, str]], weight: str | None = None, by: list[str] | None = None, complete: bool = True):
+        self.columns, self.pairs, self.weight, self.complete = columns, pairs, weight, complete
+        self.kind = "double" if not _whole(df, columns) else "wide" if _wide(df, columns) else "narrow"
+        keep = [*(by or []), *([weight] if weight else [])]
+        self.pivots = {}
+        if self.kind == "wide":
+            least = df.agg(*[F.min(c).alias(c) for c in columns]).first()
+            self.pivots = {c: least[c] or 0 for c in columns}
+        taken = {
+            "double": lambda c: F.col(c).cast("double"),
+            "narrow": lambda c: F.col(c).cast("bigint"),
+            "wide": lambda c: F.col(c).cast("decimal(20,0)") - F.lit(Decimal(self.pivots[c])).cast("decimal(20,0)"),
+        }[self.kind]
+        rows = df.select(*keep, *[taken(c).alias(c) for c in columns])
+        rows = rows.dropna(subset=columns) if complete else rows
+        if self.kind == "wide":
+            parts = {}
+            for c in columns:
+                parts |= {f"{c}_h": f"cast(floor({c} / {_LIMB}) as decimal(11,0))", f"{c}_l": f"cast({c} % {_LIMB} as decimal(10,0))"}
+            rows = rows.select("*", *[F.expr(sql).alias(name) for name, sql in parts.items()])
+        self.rows = rows
+
+    def _sum(self, sql: str) -> str:
+        if self.weight:
+            sql = f"{sql} * cast({self.weight} as {'double' if self.kind == 'double' else 'decimal(15,0)'})"
+        if self.kind == "double":
+            return f"sum({sql})"
+        return f"sum(cast({sql} as decimal(28,0)))"  # of 28 digits: the sum has 38
+
+    def sums(self) -> list[Column]:
+        terms = {"n": f"sum({self.weight})" if self.weight else "count(*)"}
+        terms |= {f"s_{c}": self._sum(c) for c in self.columns}
+        terms |= {} if self.complete else {f"n_{c}": f"count({c})" for c in self.columns}
+        for a, b in self.pairs:
+            if self.kind == "wide":
+                terms |= {
+                    f"p_{a}_{b}_hh": self._sum(f"{a}_h * {b}_h"),
+                    f"p_{a}_{b}_hl": self._sum(f"({a}_h * {b}_l + {a}_l * {b}_h)"),
+                    f"p_{a}_{b}_ll": self._sum(f"{a}_l * {b}_l"),
+                }
+            else:
+                terms[f"p_{a}_{b}"] = self._sum(f"{a} * {b}")
+        return [F.expr(f"{sql} AS {name}") for name, sql in terms.items()]
+
+    def _product(self, a: str, b: str, at: str) -> tuple[str, str]:
+        """The sum of a product: as 38 digits (NULL beyond them) and as a double."""
+        name = f"{at}p_{a}_{b}"
+        if self.kind != "wide":
+            return (f"cast({name} as {_TOTAL})", f"cast({name} as double)") if self.kind == "narrow" else (f"cast(NULL as {_TOTAL})", name)
+        high = f"try_multiply(cast({name}_hh as {_TOTAL}), cast(100000000000000000000BD as {_TOTAL}))"
+        middle = f"try_multiply(cast({name}_hl as {_TOTAL}), cast({_LIMB} as {_TOTAL}))"
+        exact = f"try_add(try_add({high}, {middle}), cast({name}_ll as {_TOTAL}))"
+        return f"cast({exact} as {_TOTAL})", f"(cast({name}_hh as double) * 1e20 + cast({name}_hl as double) * 1e10 + cast({name}_ll as double))"
+
+    def cross(self, a: str, b: str, at: str = "", n: str = "n") -> str:
+        """n·Σab − Σa·Σb as a double, exact where 38 digits hold it."""
+        exact, near = self._product(a, b, at)
+        rough = f"cast({at}{n} as double) * {near} - cast({at}s_{a} as double) * cast({at}s_{b} as double)"
+        if self.kind == "double":
+            return f"({rough})"
+        many, sa, sb = (f"cast({at}{x} as {_TOTAL})" for x in (n, f"s_{a}", f"s_{b}"))
+        return f"coalesce(cast(try_subtract(try_multiply({many}, {exact}), try_multiply({sa}, {sb})) as double), {rough})"
+
+    def mean(self, c: str, at: str = "") -> str:
+        """Mean, with the pivot added again as whole numbers where they fit."""
+        near = f"cast({at}s_{c} as double) / cast({at}n as double)"
+        pivot = self.pivots.get(c, 0)
+        if not pivot:
+            return f"({near})"
+        whole = f"try_add(try_multiply(cast({at}n as {_TOTAL}), cast({pivot}BD as {_TOTAL})), cast({at}s_{c} as {_TOTAL}))"
+        return f"coalesce(cast({whole} as double) / cast({at}n as double), {float(pivot)!r}D + {near})"
+
+
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlations below the diagonal, long form, from one aggregate.
 
     Rows where any of the columns is NULL are left out of every pair.
     """
-    number, total = _number_types(df, columns)
-    complete = df.select(*[F.col(c).cast(number).alias(c) for c in columns]).dropna()
     pairs = [(b, a) for a, b in combinations(columns, 2)]
-    terms = {"n": "count(*)"}
-    terms |= {f"s_{c}": f"sum({c})" for c in columns}
-    terms |= {f"q_{c}": f"sum({c} * {c})" for c in columns}
-    terms |= {f"x_{a}_{b}": f"sum({a} * {b})" for a, b in pairs}
-    totals = complete.agg(*[F.expr(f"cast({sql} as {total}) AS {name}") for name, sql in terms.items()])
-
-    def spread(c: str) -> str:
-        return f"sqrt({_difference('n', f'q_{c}', f's_{c}', f's_{c}')})"
+    moments = Moments(df.select(*columns), columns, [*pairs, *[(c, c) for c in columns]])
+    totals = moments.rows.agg(*moments.sums())
 
     def r(a: str, b: str) -> str:
-        return f"{_difference('n', f'x_{a}_{b}', f's_{a}', f's_{b}')} / nullif({spread(a)} * {spread(b)}, 0D)"
+        return f"{moments.cross(a, b)} / nullif(sqrt({moments.cross(a, a)}) * sqrt({moments.cross(b, b)}), 0D)"
 
     rows = ", ".join(f"struct('{a}' AS a, '{b}' AS b, {r(a, b)} AS r)" for a, b in pairs)
     return totals.select(F.expr(f"inline(array({rows}))"))
@@ -68,7 +151,8 @@ def target_correlations(df: DataFrame, columns: list[str], target: str) -> DataF
 
 def value_frequencies(df: DataFrame, columns: list[str], by: list[str | Column]) -> DataFrame:
     """(group, measure, value) counts, the input of every exact quantile here."""
-    wide = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
+    kind = "bigint" if _whole(df, columns) else "double"  # whole numbers keep all their digits
+    wide = df.select(*by, *[F.col(c).cast(kind).alias(c) for c in columns])
     groups = [c for c in wide.columns if c not in columns]
     rows = wide.unpivot(groups, columns, "measure", "value").filter(F.col("value").isNotNull())
     return rows.groupBy(*groups, "measure", "value").agg(F.count("*").alias("n"))
@@ -97,8 +181,8 @@ def boxplot_stats(df: DataFrame, by: str, columns: list[str]) -> DataFrame:
         .groupBy(*keys)
         .agg(
             F.sum("n").alias("count"),
-            F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
-            F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
+            F.min(F.when(inside, F.col("value"))).cast("double").alias("whisker_low"),
+            F.max(F.when(inside, F.col("value"))).cast("double").alias("whisker_high"),
             F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("outliers"),
         )
     )
@@ -106,24 +190,25 @@ def boxplot_stats(df: DataFrame, by: str, columns: list[str]) -> DataFrame:
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum per column."""
-    number, total = _number_types(df, columns)
     counts = _counted(df, columns, [])
-    value = f"cast(value as {number})"
-    many = f"cast(n as {number})"
-    moments = counts.groupBy("measure").agg(
-        F.sum("n").alias("count"),
-        F.expr(f"cast(sum({value} * {many}) as {total}) AS s"),
-        F.expr(f"cast(sum({value} * {value} * {many}) as {total}) AS q"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
     points = ranked_quantiles(counts, ["measure"], {"p25": 0.25, "p50": 0.5, "p75": 0.75})
-    n = f"cast(count as {total})"
-    return moments.join(points, "measure").select(
-        F.col("measure").alias("feature"), "count",
-        F.expr("cast(s as double) / cast(count as double) AS mean"),
-        F.expr(f"sqrt({_difference(n, 'q', 's', 's')} / nullif(cast(count as double) * cast(count - 1 as double), 0D)) AS std"),
-        "min", "p25", "p50", "p75", "max",
+    if _whole(df, columns) and _wide(df, columns):  # each measure has a pivot of its own
+        moments = [_described(counts.filter(F.col("measure") == c)) for c in columns]
+    else:
+        moments = [_described(counts.withColumn("value", F.col("value").cast("int")) if _whole(df, columns) else counts)]
+    return reduce(DataFrame.unionByName, moments).join(points, "measure").select(
+        F.col("measure").alias("feature"), "count", "mean", "std", "min", "p25", "p50", "p75", "max"
+    )
+
+
+def _described(counts: DataFrame) -> DataFrame:
+    moments = Moments(counts, ["value"], [("value", "value")], weight="n", by=["measure"])
+    totals = moments.rows.groupBy("measure").agg(*moments.sums(), F.min("value").alias("low"), F.max("value").alias("high"))
+    pivot = moments.pivots.get("value", 0)
+    back = lambda c: f"cast({c} + cast({pivot}BD as decimal(20,0)) as double)" if moments.kind == "wide" else f"cast({c} as double)"
+    spread = f"{moments.cross('value', 'value')} / nullif(cast(n as double) * cast(n - 1 as double), 0D)"
+    return totals.selectExpr(
+        "measure", "n AS count", f"{moments.mean('value')} AS mean", f"sqrt({spread}) AS std", f"{back('low')} AS min", f"{back('high')} AS max"
     )
 
 
@@ -139,20 +224,17 @@ def quantiles(df: DataFrame, columns: list[str], probability: float) -> DataFram
 
 def linear_trend(df: DataFrame, x: str, y: str) -> DataFrame:
     """Least-squares line of ``y`` on ``x`` with its fit."""
-    number, total = _number_types(df, [x, y])
-    points = df.select(F.col(x).cast(number).alias("x"), F.col(y).cast(number).alias("y")).dropna()
-    terms = {"n": "count(*)", "sx": "sum(x)", "sy": "sum(y)", "sxx": "sum(x*x)", "syy": "sum(y*y)", "sxy": "sum(x*y)"}
-    totals = points.agg(*[F.expr(f"cast({sql} as {total}) AS {name}") for name, sql in terms.items()])
-    spreads = totals.selectExpr(
-        "n", "sx", "sy",
-        f"nullif({_difference('n', 'sxx', 'sx', 'sx')}, 0D) AS vx",
-        f"nullif({_difference('n', 'syy', 'sy', 'sy')}, 0D) AS vy",
-        f"{_difference('n', 'sxy', 'sx', 'sy')} AS cov",
+    points = df.select(F.col(x).alias("x"), F.col(y).alias("y"))
+    moments = Moments(points, ["x", "y"], [("x", "x"), ("y", "y"), ("x", "y")])
+    spreads = moments.rows.agg(*moments.sums()).selectExpr(
+        "*", f"nullif({moments.cross('x', 'x')}, 0D) AS vx", f"nullif({moments.cross('y', 'y')}, 0D) AS vy", f"{moments.cross('x', 'y')} AS cov"
     )
+    plain = moments.kind != "wide"
+    intercept = "(cast(s_y as double) - cov / vx * cast(s_x as double)) / cast(n as double)"
     return spreads.selectExpr(
         "cast(n as bigint) AS n",
         "cov / vx AS slope",
-        "(cast(sy as double) - cov / vx * cast(sx as double)) / cast(n as double) AS intercept",
+        f"{intercept if plain else f'{moments.mean("y")} - cov / vx * {moments.mean("x")}'} AS intercept",
         "cov / vx * (cov / vy) AS r2",
     )
 
@@ -187,17 +269,15 @@ def score_histogram(df: DataFrame, score: str, by: str, bins: int = 50) -> DataF
 
 
 def standardize(df: DataFrame, columns: list[str], keep: list[str]) -> DataFrame:
-    """(x − mean) / population deviation; a constant column gives NULL."""
-    number, total = _number_types(df, columns)
-    terms = {"n": "count(*)"}
-    for c in columns:
-        terms |= {f"s_{c}": f"sum(cast({c} as {number}))", f"q_{c}": f"sum(cast({c} as {number}) * cast({c} as {number}))"}
-    sums = [F.expr(f"cast({sql} as {total}) AS {name}") for name, sql in terms.items()]
-    stats = df.agg(F.struct(*sums).alias("t")).scalar()
+    """(x − mean) / population deviation over a column's values; a constant column gives NULL."""
+    moments = Moments(df.select(*columns), columns, [(c, c) for c in columns], complete=False)
+    stats = moments.rows.agg(F.struct(*moments.sums()).alias("t")).scalar()
 
     def z(c: str) -> str:
-        n = "cast(_t.n as double)"
-        deviation = f"sqrt({_difference('_t.n', f'_t.q_{c}', f'_t.s_{c}', f'_t.s_{c}')}) / {n}"
-        return f"(cast({c} as double) - cast(_t.s_{c} as double) / {n}) / nullif({deviation}, 0D) AS {c}"
+        n = f"n_{c}"
+        deviation = f"sqrt({moments.cross(c, c, '_t.', n)}) / cast(_t.{n} as double)"
+        pivot = moments.pivots.get(c, 0)
+        from_pivot = f"cast(cast({c} as decimal(20,0)) - cast({pivot}BD as decimal(20,0)) as double)" if moments.kind == "wide" else f"cast({c} as double)"
+        return f"({from_pivot} - cast(_t.s_{c} as double) / cast(_t.{n} as double)) / nullif({deviation}, 0D) AS {c}"
 
     return df.select(*keep, *columns).withColumn("_t", stats).selectExpr(*keep, *[z(c) for c in columns])

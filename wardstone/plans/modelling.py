@@ -10,6 +10,7 @@ from collections.abc import Callable
 from functools import reduce
 from typing import TypeVar
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,11 +18,13 @@ from wardstone.operators import evaluate as V
 from wardstone.operators import explain as A
 from wardstone.operators import models as M
 from wardstone.operators import trees as T
-from wardstone.operators.features import fit_encoder
+from wardstone.operators.features import build_features, fit_encoder
 from wardstone.operators.scoring import scorecard_inputs, scorecard as add_scorecard
 from wardstone.operators.smote import smote_balance as balance_by_smote
+from wardstone.operators.smote import smote_rows as smote_rows_of
+from wardstone.operators.splits import stratified_split
 from wardstone.operators.stats import score_histogram
-from wardstone.plans.oracle import over, scored, seeded_hash
+from wardstone.plans.oracle import features, over, scored, seeded_hash
 from wardstone.plans.registry import query
 from wardstone.plans.tables import first_encounters, stored
 from wardstone.session import scratch_path
@@ -98,6 +101,58 @@ def smote_balance(spark, sf):
     return _balanced(spark, sf).groupBy(M.LABEL, "synthetic").agg(F.count("*").alias("rows"))
 
 
+#: Whole numbers of an encounter that the synthetic rows of the checkable query have.
+_MEASURES = [
+    "age_numeric", "prior_utilization_score", "time_in_hospital", "num_lab_procedures", "num_procedures", "num_medications",
+    "number_outpatient", "number_emergency", "number_inpatient", "number_diagnoses", "comorbidity_count", "medication_changes",
+    "num_active_meds", "high_lab_burden", "admitted_from_er", "a1c_abnormal",
+]
+
+
+def _draw_sql(copy: str, seed: int) -> str:
+    return seeded_hash(f"({seeded_hash('v.vid', seed)} + {copy})", seed + 1)
+
+
+_GROWN = f"""marked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY readmitted_30 ORDER BY {seeded_hash("encounter_id", 42)}, encounter_id) AS rn,
+  COUNT(*) OVER (PARTITION BY readmitted_30) AS n FROM features),
+train AS (SELECT *, COUNT(*) OVER (PARTITION BY readmitted_30) AS many, COUNT(*) OVER () AS rows,
+  ROW_NUMBER() OVER (PARTITION BY readmitted_30 ORDER BY {seeded_hash("encounter_id", 42)}, encounter_id) AS place
+  FROM marked WHERE rn > FLOOR(n * 0.2::DOUBLE + 0.5)),
+owing AS (SELECT encounter_id, [{", ".join(f"CAST({c} AS DOUBLE)" for c in _MEASURES)}] AS x,
+  (rows - 2 * many) // many + CASE WHEN place <= (rows - 2 * many) % many THEN 1 ELSE 0 END AS owed FROM train WHERE 2 * many < rows),
+vectors AS MATERIALIZED (SELECT MIN(encounter_id) AS vid, x, COUNT(*) AS copies, CAST(SUM(owed) AS BIGINT) AS owed FROM owing GROUP BY x),
+ranked AS (SELECT a.vid, b.vid AS nvid, b.copies, b.x, GREATEST(6 - a.copies, 0) AS wanted,
+  ROW_NUMBER() OVER (PARTITION BY a.vid ORDER BY d2, b.vid) AS r FROM (
+    SELECT a.vid, a.copies, b.vid AS nvid, list_dot_product(a.x, a.x) + list_dot_product(b.x, b.x) - 2 * list_dot_product(a.x, b.x) AS d2
+    FROM vectors a JOIN vectors b ON a.vid <> b.vid) a JOIN vectors b ON b.vid = a.nvid),
+reached AS (SELECT *, CAST(SUM(LEAST(copies, 5)) OVER (PARTITION BY vid ORDER BY r) AS BIGINT) AS upto FROM ranked WHERE r <= 5),
+near AS MATERIALIZED (SELECT vid, nvid, x, upto - LEAST(copies, 5) AS low, LEAST(upto, wanted) AS high FROM reached WHERE upto - LEAST(copies, 5) < wanted),
+ways AS (SELECT vid, MAX(high) AS ways FROM near GROUP BY vid),
+copied AS (SELECT v.vid, v.x, LEAST(v.copies - 1, 5) AS own, COALESCE(ways, 0) AS ways, UNNEST(range(v.owed)) AS copy FROM vectors v LEFT JOIN ways USING (vid)),
+drawn AS (SELECT vid, x, copy, {_draw_sql("copy", 42)} % GREATEST(own + ways, 1) - own AS pick,
+  CAST({_draw_sql("copy", 44)} % 1048576 AS DOUBLE) / 1048576.0::DOUBLE AS step FROM copied v),
+grown AS (SELECT d.vid AS parent, d.copy, COALESCE(n.nvid, d.vid) AS neighbour, d.step, d.x, COALESCE(n.x, d.x) AS nx
+  FROM drawn d LEFT JOIN near n ON n.vid = d.vid AND d.pick >= n.low AND d.pick < n.high)"""
+
+
+@query(
+    "smote_rows",
+    over(
+        "SELECT parent, copy, neighbour, step, "
+        + ", ".join(f"x[{i + 1}] + step * (nx[{i + 1}] - x[{i + 1}]) AS {c}" for i, c in enumerate(_MEASURES))
+        + " FROM grown",
+        features("first_encounters"), _GROWN, source="first_encounters",
+    ),
+)
+def smote_rows(spark, sf):
+    """Every synthetic training row over the whole-number measures, with its parent, neighbour and step."""
+    rows = build_features(first_encounters(spark, sf))
+    marked = stratified_split(rows.select(M.ID, M.LABEL, *_MEASURES), M.LABEL, M.ID, 0.2, 42).filter("not is_test")
+    train = marked.select(M.ID, M.LABEL, array_to_vector(F.array(*[F.col(c).cast("double") for c in _MEASURES])).alias("features"))
+    grown = smote_rows_of(train, "features", M.LABEL, M.ID)
+    return grown.select("parent", "copy", "neighbour", "step", *[F.col("x")[i].alias(c) for i, c in enumerate(_MEASURES)])
+
+
 @query("lr_scores")
 def lr_scores(spark, sf):
     return _predictions(_logistic(spark, sf).transform(_test(spark, sf)))

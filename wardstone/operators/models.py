@@ -10,7 +10,8 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardstone.operators import features as X
@@ -184,6 +185,40 @@ def logistic_cv(train: DataFrame, folds: int = 5, seed: int = 42, max_iter: int
     )
 
 
+def logistic_terms(classifier: PipelineModel) -> tuple[list[float], float]:
+    """Weights on the features as they are, and the intercept, of a fitted logistic regression."""
+    scaler, fitted = classifier.stages
+    scale = [0.0 if s == 0 else 1.0 / s for s in scaler.std.toArray().tolist()]
+    weights = [w * s for w, s in zip(fitted.coefficients.toArray().tolist(), scale)]
+    return weights, float(fitted.intercept) - sum(w * m for w, m in zip(weights, scaler.mean.toArray().tolist()))
+
+
+def logistic_probability(classifier: PipelineModel, features: str = "features") -> Column:
+    """The positive class's probability from the stored weights, as a plain expression."""
+    weights, intercept = logistic_terms(classifier)
+    terms = F.zip_with(vector_to_array(features), F.array(*[F.lit(w) for w in weights]), lambda x, w: x * w)
+    margin = F.aggregate(terms, F.lit(intercept), lambda total, t: total + t)
+    return 1.0 / (1.0 + F.exp(-margin))
+
+
+def logistic_gradient(model: RiskModel, rows: DataFrame) -> DataFrame:
+    """First-order conditions of a fitted logistic regression on its training rows: (term, gradient).
+
+    The gradient of the summed loss plus the unit ridge penalty, by the scaled
+    features and the unpenalised intercept (an empty term), divided by the number
+    of rows. It is zero at the optimum. One pass adds up p·x and y·x per feature.
+    """
+    scaler, fitted = model.classifier.stages
+    scored = scaler.transform(rows).select("scaled", F.col(LABEL).cast("double").alias("y"), logistic_probability(model.classifier).alias("p"))
+    sums = scored.agg(
+        Summarizer.sum(F.col("scaled"), F.col("p")).alias("px"), Summarizer.sum(F.col("scaled"), F.col("y")).alias("yx"),
+        F.sum("p").alias("p"), F.sum("y").alias("y"), F.count("*").alias("n"),
+    ).first()
+    by_feature = (sums["px"].toArray() - sums["yx"].toArray() + fitted.coefficients.toArray()) / sums["n"]
+    terms = [*zip(model.names, by_feature.tolist()), ("", (sums["p"] - sums["y"]) / sums["n"])]
+    return rows.sparkSession.createDataFrame(terms, "term string, gradient double")
+
+
 def feature_importance(model: RiskModel, spark: SparkSession, top: int = 15) -> DataFrame:
     """Gain-based importance per feature, largest first."""
     values = model.trees.featureImportances.toArray().tolist()

@@ -10,6 +10,7 @@ from collections.abc import Callable
 from functools import reduce
 from typing import TypeVar
 
+from pyspark.errors import StreamingQueryException
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,17 +20,17 @@ from wardstone.operators import explain as A
 from wardstone.operators import models as M
 from wardstone.operators import trees as T
 from wardstone.operators.features import build_features, fit_encoder
-from wardstone.operators.scoring import scorecard_inputs, scorecard as add_scorecard
+from wardstone.operators.scoring import score_encounters, scorecard_inputs, scorecard as add_scorecard
 from wardstone.operators.smote import smote_balance as balance_by_smote
 from wardstone.operators.smote import smote_rows as smote_rows_of
 from wardstone.operators.splits import stratified_split
 from wardstone.operators.stats import score_histogram
 from wardstone.plans.oracle import features, over, scored, seeded_hash
 from wardstone.plans.registry import query
-from wardstone.plans.tables import first_encounters, stored
+from wardstone.plans.tables import encounters, first_encounters, stored
 from wardstone.session import scratch_path
 from wardstone.sources.encounters import write_csv
-from wardstone.sources.orders_fixture import encounter_stream, line_counts
+from wardstone.sources.orders_fixture import encounter_stream, line_counts, order_table
 from wardstone.streaming.scoring import SCORED_COLUMNS, score_stream
 
 PARAMS = M.BoostingParams()
@@ -319,6 +320,45 @@ def model_histogram_checks(spark, sf):
     return model_score_histogram(spark, sf).groupBy(M.LABEL).agg(F.sum("count").alias("rows"), F.count("*").alias("bins"))
 
 
+#: What a component of the gradient per training row may differ from zero by; the learner stops far below.
+OPTIMAL = 1e-5
+
+
+@query(
+    "lr_optimality",
+    _checks(
+        """SELECT part, TRUE AS optimal, CAST((SELECT 2 * GREATEST(COUNT(*) FILTER (readmitted_30 = 0), COUNT(*) FILTER (readmitted_30 = 1))
+        FROM split WHERE NOT is_test) AS BIGINT) AS rows FROM (VALUES ('intercept'), ('features')) v(part)"""
+    ),
+)
+def lr_optimality(spark, sf):
+    """The logistic regression is at the least penalised loss over its training rows: every gradient component is zero."""
+    rows = _balanced(spark, sf)
+    found = M.logistic_gradient(_logistic(spark, sf), rows)
+    part = F.when(F.col("term") == "", "intercept").otherwise("features")
+    held = found.groupBy(part.alias("part")).agg((F.max(F.abs("gradient")) < OPTIMAL).alias("optimal"))
+    return held.crossJoin(rows.agg(F.count("*").alias("rows")))
+
+
+@query(
+    "model_score_checks",
+    _checks("SELECT encounter_id, readmitted_30, TRUE AS logistic_matches, TRUE AS boosted_matches, TRUE AS class_matches FROM test"),
+)
+def model_score_checks(spark, sf):
+    """Each test row's score, computed again from the stored weights and from the stored trees' last margin."""
+    test, boosted, logistic = _test(spark, sf), _boosted(spark, sf), _logistic(spark, sf)
+    staged = T.staged_margins(boosted.trees, M.encode(boosted.encoder, test), [M.ID, M.LABEL], PARAMS.trees).where(F.col("trees") == PARAMS.trees)
+    margins = staged.select(M.ID, M.LABEL, (1.0 / (1.0 + F.exp(-2.0 * F.col("margin")))).alias("from_trees"))
+    weights = M.encode(logistic.encoder, test).select(M.ID, M.logistic_probability(logistic.classifier).alias("from_weights"))
+    scores = _compared(spark, sf).where("model IN ('boosted trees', 'logistic regression')")
+    by_model = scores.groupBy(M.ID).agg(*[F.max(F.when(F.col("model") == m, F.col("score"))).alias(c) for c, m in (("b", "boosted trees"), ("l", "logistic regression"))])
+    exported = gbt_scores(spark, sf).select(M.ID, "predicted_class")
+    near = lambda a, b: F.coalesce(F.abs(F.col(a) - F.col(b)) < 1e-9, F.lit(False))
+    joined = margins.join(weights, M.ID, "left").join(by_model, M.ID, "left").join(exported, M.ID, "left")
+    same_class = F.coalesce((F.col("b") >= 0.5).cast("int") == F.col("predicted_class"), F.lit(False))
+    return joined.select(M.ID, M.LABEL, near("l", "from_weights").alias("logistic_matches"), near("b", "from_trees").alias("boosted_matches"), same_class.alias("class_matches"))
+
+
 def _boosted_scores(spark, sf):
     return _compared(spark, sf).where("model = 'boosted trees'")
 
@@ -364,3 +404,57 @@ def stream_scores(spark, sf):
     job = score_stream(encounter_stream(spark, sf, items), sink, scratch_path(spark, "stream_checkpoint"))
     job.awaitTermination()
     return spark.read.parquet(sink)
+
+
+class _NotFailed(RuntimeError):
+    pass
+
+
+def _recovered(spark, sf, score, columns):
+    """The sink of a stream that fails on a batch and is started again.
+
+    Half of the order files arrive and are scored. The other half arrives, and a
+    row among them makes its batch fail; the job ends. Started again from the
+    checkpoint with the fault mended, it finishes the rest.
+    """
+    arrived, sink, checkpoint = (scratch_path(spark, f"recovery_{n}") for n in ("orders", "sink", "checkpoint"))
+    orders = order_table(spark, sf)
+    items = stored(spark, sf, "line_counts", lambda: line_counts(spark, sf))
+
+    def arrive(half):
+        orders.where(F.pmod(F.xxhash64("o_orderkey"), F.lit(2)) == half).repartition(4).write.mode("append").parquet(arrived)
+
+    def run(scoring):
+        stream = encounter_stream(spark, sf, items, files_per_batch=1, arrivals=arrived)
+        score_stream(stream, sink, checkpoint, scoring, columns).awaitTermination()
+
+    def faulty(encounters):
+        late = F.pmod(F.xxhash64(F.col("encounter_id") - 1), F.lit(2)) == 1
+        fault = F.when(late & (F.col("encounter_id") % 5 == 2), F.raise_error(F.lit("a faulty row")).cast("long")).otherwise(F.col("encounter_id"))
+        return score(encounters).withColumn("encounter_id", fault)
+
+    arrive(0)
+    run(score)
+    arrive(1)
+    try:
+        run(faulty)
+    except StreamingQueryException:
+        run(score)
+    else:
+        raise _NotFailed("the faulty row did not stop the stream")
+    return spark.read.parquet(sink)
+
+
+@query("stream_recovery", over(f"SELECT {_SCORED} FROM scored", scored("encounters")))
+def stream_recovery(spark, sf):
+    """Each row once in the sink, though a batch failed and the job was started again."""
+    return _recovered(spark, sf, score_encounters, SCORED_COLUMNS)
+
+
+@query("stream_model_recovery", over("SELECT encounter_id, TRUE AS same_score FROM encounters"))
+def stream_model_recovery(spark, sf):
+    """The trained model applied as patients leave, over a failure and a restart; scores equal the batch's."""
+    model = _boosted(spark, sf)
+    streamed = _recovered(spark, sf, model.transform, [M.ID, "score"])
+    batch = model.transform(encounters(spark, sf)).select(M.ID, F.col("score").alias("batch"))
+    return streamed.join(batch, M.ID, "left").select(M.ID, F.col("score").eqNullSafe(F.col("batch")).alias("same_score"))

@@ -59,6 +59,49 @@ def csv_scan(spark, sf):
     return E.read_encounters_csv(spark, path)
 
 
+# column, what stands there instead (in both engines' SQL), and every how many encounters
+_SPOILED = {
+    "encounter_id": ("concat('E-', encounter_id)", 400), "patient_nbr": ("'unknown'", 350), "time_in_hospital": ("'abc'", 50),
+    "number_inpatient": ("'1.5'", 70), "num_medications": ("'99999999999'", 90), "admission_type_id": ("'x1'", 110),
+}
+
+
+def _spoiled_file(spark, sf):
+    path = scratch_path(spark, "spoiled_csv")
+    spoiled = {c: F.when(F.col("encounter_id") % n == 7, F.expr(bad)).otherwise(F.col(c).cast("string")) for c, (bad, n) in _SPOILED.items()}
+    E.write_csv(_published(raw_encounters(spark, sf)).withColumns(spoiled), path)
+    return path
+
+
+@query(
+    "csv_rejects",
+    over(
+        " UNION ALL ".join(
+            f"""SELECT CASE WHEN encounter_id % 400 = 7 THEN 'E-' || encounter_id ELSE CAST(encounter_id AS VARCHAR) END AS row_id,
+            '{c}' AS column_name, {"'E-' || encounter_id" if c == "encounter_id" else bad} AS raw_value FROM encounters WHERE encounter_id % {n} = 7"""
+            for c, (bad, n) in _SPOILED.items()
+        )
+    ),
+)
+def csv_rejects(spark, sf):
+    """Values of a spoiled file that do not fit their columns, each with its row and raw text."""
+    return E.read_encounters_checked(spark, _spoiled_file(spark, sf))[1]
+
+
+@query(
+    "csv_accepted",
+    over(
+        "SELECT encounter_id, patient_nbr, "
+        + ", ".join(f"CASE WHEN encounter_id % {n} <> 7 THEN {c} END AS {c}" for c, (_, n) in _SPOILED.items() if not c.endswith(("id", "nbr")) or c == "admission_type_id")
+        + ", readmitted FROM encounters WHERE encounter_id % 400 <> 7 AND encounter_id % 350 <> 7"
+    ),
+)
+def csv_accepted(spark, sf):
+    """The table of the same file: rows with sound ids, NULL where another value did not fit."""
+    table = E.read_encounters_checked(spark, _spoiled_file(spark, sf))[0]
+    return table.select("encounter_id", "patient_nbr", *[c for c in _SPOILED if c not in S.ID_COLUMNS], "readmitted")
+
+
 @query("csv_sink", over(f"SELECT {_ALL} FROM first_encounters", source="first_encounters"))
 def csv_sink(spark, sf):
     """The first encounters written as CSV and read back."""

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +13,7 @@ from pyspark.sql.types import StringType
 
 from wardstone import schema as S
 from wardstone.functions import clinical as C
-from wardstone.session import scratch_path
+from wardstone.session import materialize, scratch_path
 from wardstone.sources import folders
 
 
@@ -45,6 +47,43 @@ def by_name(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
+REJECTS = "rejects"
+
+
+def read_encounters_checked(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The encounter table of a CSV scan, and what did not fit: (row_id, column_name, raw_value).
+
+    The scan is stored once with both. A row whose encounter or patient id does
+    not fit, or is missing, is not part of the table; another value that does not
+    fit is NULL there. Each such value is one row of the second table, under the
+    text that stands in the row's encounter_id; a missing id is listed with a NULL
+    value.
+    """
+    text = (
+        spark.read.option("header", True).option("enforceSchema", False).option("nullValue", S.MISSING_TOKEN).csv(path)
+    )
+    parsed = materialize(with_rejects(normalize(text)), "checked_scan")
+    good_ids = reduce(and_, [F.col(c).isNotNull() for c in S.ID_COLUMNS])
+    return parsed.filter(good_ids).select(*S.ENCOUNTER_COLUMNS), parsed.select("row_id", F.inline(REJECTS))
+
+
+def with_rejects(df: DataFrame) -> DataFrame:
+    """``by_name`` with the raw id as ``row_id`` and an array of the (column_name, raw_value) that did not fit."""
+    typed = by_name(df)
+    present = {c.lower(): F.col(f"`{c}`").cast("string") for c in df.columns}
+    bad = []
+    for field in S.ENCOUNTER_SCHEMA:
+        raw = present.get(field.name.lower())
+        if raw is None or isinstance(field.dataType, StringType):
+            continue
+        lost = raw.isNotNull() & raw.try_cast(field.dataType).isNull()
+        lost = lost | raw.isNull() if field.name in S.ID_COLUMNS else lost
+        bad.append(F.when(lost, F.struct(F.lit(field.name).alias("column_name"), raw.alias("raw_value"))))
+    values = [present[c.lower()].try_cast(S.ENCOUNTER_SCHEMA[c].dataType) if c.lower() in present else F.lit(None).cast(S.ENCOUNTER_SCHEMA[c].dataType) for c in typed.columns]
+    named = [v.alias(c) for v, c in zip(values, typed.columns)]
+    return df.select(*named, present["encounter_id"].alias("row_id"), F.filter(F.array(*bad), lambda e: e.isNotNull()).alias(REJECTS))
+
+
 def read_encounters_parquet(spark: SparkSession, path: str) -> DataFrame:
     return normalize(spark.read.parquet(path))
 

@@ -146,14 +146,20 @@ def encounters(spark: SparkSession, folder: str) -> DataFrame:
     return normalize(raw_encounters(spark, folder))
 
 
-def encounter_stream(spark: SparkSession, folder: str, items: DataFrame | None = None, files_per_batch: int = 64) -> DataFrame:
+def encounter_stream(
+    spark: SparkSession, folder: str, items: DataFrame | None = None, files_per_batch: int = 64, arrivals: str | None = None
+) -> DataFrame:
     """The same table with new orders arriving as a stream of files.
 
     ``items`` are stored line counts; without them every batch counts the lines
-    again. A backlog is read ``files_per_batch`` files at a time.
+    again. A backlog is read ``files_per_batch`` files at a time. ``arrivals`` is
+    a folder that order files arrive in; by default the table's own file is the stream.
     """
-    orders = (
-        spark.readStream.schema(_TABLE_SCHEMAS["orders"]).option("pathGlobFilter", "orders*.parquet")
-        .option("maxFilesPerTrigger", files_per_batch).parquet(folder)
-    )
+    source = spark.readStream.schema(_TABLE_SCHEMAS["orders"]).option("maxFilesPerTrigger", files_per_batch)
+    orders = source.parquet(arrivals) if arrivals else source.option("pathGlobFilter", "orders*.parquet").parquet(folder)
     return normalize(derive_encounters(orders, _table(spark, folder, "customer"), items or line_counts(spark, folder)))
+
+
+def order_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The orders as the stream reads them."""
+    return _table(spark, folder, "orders")

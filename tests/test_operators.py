@@ -13,6 +13,7 @@ from wardstone.operators import profile as P
 from wardstone.operators import segments as G
 from wardstone.operators import splits as L
 from wardstone.operators import stats as T
+from wardstone.operators.patients import bucketed_by_patient, first_encounter_in_bucket
 from wardstone.operators.ranges import ranked_quantiles
 from wardstone.plans.catalog import QUERIES
 from wardstone.plans.tables import encounters, first_encounters
@@ -317,3 +318,34 @@ def test_narrow_columns_take_the_narrow_path(spark):
     plan = T.correlations(df, ["a", "b"])._jdf.queryExecution().toString()
     assert "_hh" not in plan and T.correlations(df, ["a", "b"]).first()["r"] == pytest.approx(-1.0, abs=1e-9)
     assert T.Moments(df, ["a"], [("a", "a")]).kind == "narrow"
+
+
+# ---- a table bucketed by patient ----
+
+
+def _patients(spark):
+    rows = [(1, 7, "a"), (1, 3, "b"), (1, 9, "c"), (2, 5, "d"), (None, 8, "e"), (None, 2, "f")] + [(3, 100 + i, "g") for i in range(50)]
+    return spark.createDataFrame(rows, "patient_nbr long, encounter_id long, v string")
+
+
+def test_bucketed_table_gives_the_same_rows_without_an_exchange_of_patients(spark):
+    df = _patients(spark)
+    table = bucketed_by_patient(df, buckets=4)
+    for operator, plain in (
+        (first_encounter_in_bucket, P.first_encounter), (P.multi_encounter_patients, P.multi_encounter_patients), (P.dedup_summary, P.dedup_summary),
+    ):
+        got = operator(table)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(patient_nbr" not in plan and "Bucketed: true" in plan
+        key = lambda frame: sorted(str(tuple(r)) for r in frame.collect())
+        assert key(got) == key(plain(df))
+
+
+def test_buckets_grow_with_the_rows(spark, monkeypatch):
+    from wardstone.operators import patients
+
+    monkeypatch.setattr(patients, "ROWS_PER_BUCKET", 5)
+    name = "many_buckets"
+    bucketed_by_patient(_patients(spark), name)
+    described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE FORMATTED {name}").collect()}
+    assert int(described["Num Buckets"]) == 12

@@ -152,12 +152,17 @@ def one_hot(df: DataFrame, levels: dict[str, list[str]], sanitize: bool = False)
 
 
 def fill_medians(df: DataFrame, columns: list[str]) -> DataFrame:
-    """NULLs replaced by the column's exact median over ``df``."""
-    long = quantiles(df, columns, 0.5)
-    medians = long.agg(F.map_from_entries(F.collect_list(F.struct("measure", "quantile"))).alias("m"))
+    """NULLs replaced by the column's exact median over ``df``; only columns that have NULLs are ranked."""
+    filled = df.agg(F.count("*").alias("_rows"), *[F.count(f"`{c}`").alias(c) for c in columns]).first()
+    gaps = [c for c in columns if filled[c] < filled["_rows"]]
     kept = [f"`{c}`" for c in df.columns if c not in columns]
-    filled = [f"coalesce(cast(`{c}` as double), _medians['{c}']) AS `{c}`" for c in columns]
-    return df.withColumn("_medians", medians.scalar()).selectExpr(*kept, *filled)
+    values = {c: f"cast(`{c}` as double)" for c in columns}
+    if gaps:
+        long = quantiles(df, gaps, 0.5)
+        medians = long.agg(F.map_from_entries(F.collect_list(F.struct("measure", "quantile"))).alias("m"))
+        values |= {c: f"coalesce(cast(`{c}` as double), _medians['{c}'])" for c in gaps}
+        df = df.withColumn("_medians", medians.scalar())
+    return df.selectExpr(*kept, *[f"{value} AS `{c}`" for c, value in values.items()])
 
 
 def model_ready(

@@ -35,7 +35,33 @@ def ranked_quantiles(
     counts: DataFrame, keys: list[str], wanted: dict[str, float], rows_per_range: int = ROWS_PER_RANGE
 ) -> DataFrame:
     """Quantiles with linear interpolation per key as columns, from stored (keys, value, n) rows."""
-    ranged = with_range(counts, "value", rows_per_range)
+    if counts.count() <= rows_per_range:  # one range: nothing comes before it
+        placed = _placed_in_one_range(counts, keys)
+    else:
+        placed = _placed(with_range(counts, "value", rows_per_range), keys)
+    found, shares = [], {}
+    for i, (name, probability) in enumerate(wanted.items()):
+        position = (F.col("_rows") - 1) * F.lit(probability)
+        low, high = F.floor(position), F.ceil(position)
+        for side, index in (("low", low), ("high", high)):
+            here = (F.col("_first") <= index) & (index <= F.col("_last"))
+            found.append(F.max(F.when(here, F.col("value"))).alias(f"_{side}{i}"))
+        found.append(F.max(position - low).alias(f"_share{i}"))
+        low, high = F.col(f"_low{i}").cast("double"), F.col(f"_high{i}").cast("double")
+        step = F.col(f"_share{i}") * (high - low)
+        shares[name] = low + F.when(F.col(f"_share{i}") == 0, 0.0).otherwise(step)
+    return placed.groupBy(*keys).agg(*found).select(*keys, *[c.alias(n) for n, c in shares.items()])
+
+
+def _placed_in_one_range(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """First and last place of each value among its key's rows, and the key's rows."""
+    upto = F.sum("n").over(Window.partitionBy(*keys).orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
+    rows = F.sum("n").over(Window.partitionBy(*keys))
+    return counts.select(*keys, "value", rows.alias("_rows"), (upto - F.col("n")).alias("_first"), (upto - 1).alias("_last"))
+
+
+def _placed(ranged: DataFrame, keys: list[str]) -> DataFrame:
+    """The same by range: rows of earlier ranges from a table of totals, and the place within the range."""
     up = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = (
         ranged.groupBy(*keys, "_range")
@@ -47,7 +73,7 @@ def ranked_quantiles(
         )
     )
     within = Window.partitionBy(*keys, "_range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    placed = (
+    return (
         ranged.withColumn("_upto", F.sum("n").over(within))
         .join(offsets, [*keys, "_range"])  # partitioned alike already; Spark broadcasts the offsets when they are few
         .select(
@@ -56,15 +82,3 @@ def ranked_quantiles(
             (F.col("_offset") + F.col("_upto") - 1).alias("_last"),
         )
     )
-    found, shares = [], {}
-    for i, (name, probability) in enumerate(wanted.items()):
-        position = (F.col("_rows") - 1) * F.lit(probability)
-        low, high = F.floor(position), F.ceil(position)
-        for side, index in (("low", low), ("high", high)):
-            here = (F.col("_first") <= index) & (index <= F.col("_last"))
-            found.append(F.max(F.when(here, F.col("value"))).alias(f"_{side}{i}"))
-        found.append(F.max(position - low).alias(f"_share{i}"))
-        low, high = F.col(f"_low{i}").cast("double"), F.col(f"_high{i}").cast("double")
-        step = F.col(f"_share{i}") * (high - low)
-        shares[name] = low + F.when(F.col(f"_share{i}") == 0, 0.0).otherwise(step)
-    return placed.groupBy(*keys).agg(*found).select(*keys, *[c.alias(n) for n, c in shares.items()])

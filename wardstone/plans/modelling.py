@@ -12,7 +12,7 @@ from typing import TypeVar
 
 from pyspark.errors import StreamingQueryException
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardstone.operators import evaluate as V
@@ -23,7 +23,7 @@ from wardstone.operators.features import build_features, fit_encoder
 from wardstone.operators.scoring import score_encounters, scorecard_inputs, scorecard as add_scorecard
 from wardstone.operators.smote import smote_balance as balance_by_smote
 from wardstone.operators.smote import smote_rows as smote_rows_of
-from wardstone.operators.splits import stratified_split
+from wardstone.operators.splits import stratified_folds, stratified_split
 from wardstone.operators.stats import score_histogram
 from wardstone.plans.oracle import features, over, scored, seeded_hash
 from wardstone.plans.registry import query
@@ -164,6 +164,16 @@ def lr_cv_auc(spark, sf):
     return M.logistic_cv(_encoded(spark, sf))
 
 
+@query("cv_weighted_auc")
+def cv_weighted_auc(spark, sf):
+    """Five folds with class weights in place of synthetic rows, fitted side by side."""
+    return _weighted_folds(spark, sf)
+
+
+def _weighted_folds(spark, sf):
+    return stored(spark, sf, "weighted_folds", lambda: M.logistic_cv(_encoded(spark, sf), balance="weight"))
+
+
 @query("gbt_scores")
 def gbt_scores(spark, sf):
     return _predictions(_boosted(spark, sf).transform(_test(spark, sf)))
@@ -320,6 +330,83 @@ def model_histogram_checks(spark, sf):
     return model_score_histogram(spark, sf).groupBy(M.LABEL).agg(F.sum("count").alias("rows"), F.count("*").alias("bins"))
 
 
+@query(
+    "cv_fold_checks",
+    _checks(
+        f"""SELECT CAST((rank - 1) % 5 AS INT) AS fold, COUNT(*) AS rows, CAST(SUM(readmitted_30) AS BIGINT) AS positives, TRUE AS ranks_better_than_chance,
+        TRUE AS mean_of_folds FROM (SELECT readmitted_30, ROW_NUMBER() OVER (PARTITION BY readmitted_30 ORDER BY {seeded_hash("encounter_id", 42)}, encounter_id) AS rank
+        FROM split WHERE NOT is_test) GROUP BY 1"""
+    ),
+)
+def cv_fold_checks(spark, sf):
+    """The weighted cross-validation's folds, with the rows that they hold out, and what must hold for their areas."""
+    held_out = stratified_folds(_encoded(spark, sf), M.LABEL, M.ID).groupBy("fold").agg(F.count("*").alias("rows"), F.sum(M.LABEL).alias("positives"))
+    areas = _weighted_folds(spark, sf)
+    mean = areas.agg((F.sum("auc") / 5).alias("mean")).scalar()
+    valid = areas.select("fold", F.col("auc").between(0.5, 1).alias("ranks_better_than_chance"), (F.abs(F.col("mean_auc") - mean) < 1e-12).alias("mean_of_folds"))
+    return held_out.join(valid, "fold", "left")
+
+
+_RECOMPUTED = [
+    "importances from the stored nodes", "curve ends at the area of the scores", "areas from pairs of ranks", "classes of the comparison counted",
+    "thresholds counted", "bins counted", "summary rows are the explained ones",
+]
+
+
+@query(
+    "recomputed_checks",
+    _checks("SELECT check_name, TRUE AS holds FROM (VALUES " + ", ".join(f"('{n}')" for n in _RECOMPUTED) + ") v(check_name)"),
+)
+def recomputed_checks(spark, sf):
+    """Tables about the fitted models, each worked out again another way from the stored rows and trees."""
+    model, scores, every = _boosted(spark, sf), _boosted_scores(spark, sf), 1e-9
+    path = scratch_path(spark, "stored_trees")
+    model.trees.write().save(path)
+    gains = spark.read.parquet(f"{path}/data").select("nodeData.*").where("leftChild >= 0").groupBy(F.col("split.featureIndex").alias("at")).agg(F.sum(F.col("gain") * F.col("rawCount")).alias("g"))
+    shares = gains.crossJoin(gains.agg(F.sum("g").alias("all"))).select("at", (F.col("g") / F.col("all")).alias("share"))
+    names = spark.createDataFrame(list(enumerate(model.names)), "at int, feature string")
+    importance = M.feature_importance(model, spark, top=len(model.names)).join(names, "feature").join(shares, "at", "left")
+
+    # the area as the share of pairs in order, from ranks that ties share
+    ranked = _compared(spark, sf).groupBy("model", "score").agg(F.sum(F.col(M.LABEL)).alias("pos"), F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("model").orderBy("score"))
+    places = ranked.withColumn("rank", upto - (F.col("n") - 1) / 2)
+    area = places.groupBy("model").agg(F.sum("pos").alias("p"), F.sum("n").alias("n"), F.sum(F.col("rank") * F.col("pos")).alias("ranks")).select(
+        "model", ((F.col("ranks") - F.col("p") * (F.col("p") + 1) / 2) / (F.col("p") * (F.col("n") - F.col("p")))).alias("area"), "p")
+    flagged = _compared(spark, sf).where("score >= 0.5").groupBy("model").agg(F.count("*").alias("flagged"), F.sum(M.LABEL).alias("hits"))
+    compared = model_comparison(spark, sf).join(area, "model").join(flagged, "model", "left").fillna(0, ["flagged", "hits"])
+    curve = boosting_curve(spark, sf).where(F.col("trees") == PARAMS.trees).crossJoin(area.where("model = 'boosted trees'"))
+
+    sweep = model_threshold_sweep(spark, sf)
+    counted = scores.join(F.broadcast(sweep.select("threshold").distinct()), F.col("score") >= F.col("threshold")).groupBy("threshold").agg(  # seven rows
+        F.count("*").alias("n"), F.sum(M.LABEL).alias("t"))
+    sweep = sweep.join(counted, "threshold", "left").fillna(0, ["n", "t"])
+    bounds = scores.groupBy(M.LABEL).agg(F.min("score").alias("lo"), F.max("score").alias("hi"))
+    place = F.least(F.floor((F.col("score") - F.col("lo")) * 50 / (F.col("hi") - F.col("lo"))), F.lit(49)).cast("int")
+    bins = scores.join(bounds, M.LABEL).groupBy(M.LABEL, place.alias("bin")).agg(F.count("*").alias("again"))
+    histogram = model_score_histogram(spark, sf).join(bins, [M.LABEL, "bin"], "left").fillna(0, ["again"])
+
+    long = _long(spark, sf)
+    best = long.groupBy("feature").agg((F.sum(F.abs("attribution")) / F.count("*")).alias("size")).orderBy(F.desc("size"), "feature").limit(15)
+    total = lambda rows: rows.agg(F.count("*").alias("n"), F.sum("attribution").alias("s"), F.sum("value").alias("v"))
+    summary = total(attribution_long(spark, sf)).crossJoin(total(long.join(best, "feature", "left_semi")).toDF("n2", "s2", "v2"))
+
+    def near(a, b):
+        return F.abs(F.col(a) - F.coalesce(F.col(b), F.lit(0.0))) < every
+
+    held = [
+        importance.agg(F.every(near("importance", "share")) & (F.count("*") == len(model.names))),
+        curve.agg(F.every(near("auc", "area")) & (F.count("*") == 1)),
+        compared.agg(F.every(near("auc", "area")) & (F.count("*") == 4)),
+        compared.agg(F.every(F.abs(F.coalesce("recall", F.lit(0.0)) * F.col("p") - F.col("hits")) < 1e-6) & F.every(F.abs(F.coalesce("precision", F.lit(0.0)) * F.col("flagged") - F.col("hits")) < 1e-6)),
+        sweep.agg(F.every((F.col("flagged") == F.col("n")) & (F.col("true_positives") == F.col("t")))),
+        histogram.agg(F.every(F.col("count") == F.col("again"))),
+        summary.agg(F.every((F.col("n") == F.col("n2")) & (F.abs(F.col("s") - F.col("s2")) < 1e-6) & (F.abs(F.col("v") - F.col("v2")) < 1e-6))),
+    ]
+    rows = [df.toDF("holds").select(F.lit(n).alias("check_name"), "holds") for n, df in zip(_RECOMPUTED, held)]
+    return reduce(DataFrame.union, rows)
+
+
 #: What a component of the gradient per training row may differ from zero by; the learner stops far below.
 OPTIMAL = 1e-5
 

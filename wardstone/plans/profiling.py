@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 
 from wardstone import schema as S
 from wardstone.operators import profile as P
+from wardstone.operators.patients import first_encounter_in_bucket
 from wardstone.operators.scoring import score_encounters
 from wardstone.operators.segments import segment_rate
 from wardstone.plans.oracle import POS, count_if, over, rate, ratio, scored
 from wardstone.plans.registry import query
 from wardstone.session import scratch_path
 from wardstone.sources import encounters as E
-from wardstone.plans.tables import encounters
+from wardstone.plans.tables import encounters, encounters_by_patient
 from wardstone.sources.orders_fixture import raw_encounters
 
 _ALL = ", ".join(S.ENCOUNTER_COLUMNS)
@@ -242,11 +243,16 @@ def top_diag1(spark, sf):
     return P.top_codes(encounters(spark, sf))
 
 
-@query(
-    "multi_encounter_patients",
-    over("""SELECT patient_nbr, COUNT(*) AS encounter_count FROM encounters GROUP BY patient_nbr HAVING COUNT(*) > 1
-    ORDER BY encounter_count DESC, patient_nbr LIMIT 20"""),
+_MULTI = over("""SELECT patient_nbr, COUNT(*) AS encounter_count FROM encounters GROUP BY patient_nbr HAVING COUNT(*) > 1
+    ORDER BY encounter_count DESC, patient_nbr LIMIT 20""")
+_DEDUP = over(
+    """SELECT CAST((SELECT COUNT(*) FROM encounters) AS BIGINT) AS total_rows, COUNT(*) AS deduplicated_rows,
+    CAST((SELECT COUNT(*) FROM encounters) - COUNT(*) AS BIGINT) AS removed_rows FROM first_encounters""",
+    source="first_encounters",
 )
+
+
+@query("multi_encounter_patients", _MULTI)
 def multi_encounter_patients(spark, sf):
     return P.multi_encounter_patients(encounters(spark, sf))
 
@@ -256,13 +262,22 @@ def first_encounter(spark, sf):
     return P.first_encounter(encounters(spark, sf))
 
 
-@query(
-    "dedup_summary",
-    over(
-        """SELECT CAST((SELECT COUNT(*) FROM encounters) AS BIGINT) AS total_rows, COUNT(*) AS deduplicated_rows,
-        CAST((SELECT COUNT(*) FROM encounters) - COUNT(*) AS BIGINT) AS removed_rows FROM first_encounters""",
-        source="first_encounters",
-    ),
-)
+@query("dedup_summary", _DEDUP)
 def dedup_summary(spark, sf):
     return P.dedup_summary(encounters(spark, sf))
+
+
+@query("bucketed_multi_encounter_patients", _MULTI)
+def bucketed_multi_encounter_patients(spark, sf):
+    """From the table bucketed by patient: no exchange of patients."""
+    return P.multi_encounter_patients(encounters_by_patient(spark, sf))
+
+
+@query("bucketed_first_encounter", over(f"SELECT {_ALL} FROM first_encounters", source="first_encounters"))
+def bucketed_first_encounter(spark, sf):
+    return first_encounter_in_bucket(encounters_by_patient(spark, sf))
+
+
+@query("bucketed_dedup_summary", _DEDUP)
+def bucketed_dedup_summary(spark, sf):
+    return P.dedup_summary(encounters_by_patient(spark, sf))

@@ -8,12 +8,14 @@ step has written is also how the data reaches real users of these operators.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from wardstone.operators import profile
+from wardstone.operators.patients import bucketed_by_patient
 from wardstone.session import scratch_path
 from wardstone.sources import orders_fixture
 
@@ -39,3 +41,16 @@ def first_encounters(spark: SparkSession, folder: str) -> DataFrame:
     return stored(
         spark, folder, "first_encounters", lambda: profile.first_encounter(encounters(spark, folder))
     )
+
+
+_BUCKETED: dict[tuple[str, str], str] = {}
+
+
+def encounters_by_patient(spark: SparkSession, folder: str) -> DataFrame:
+    """The encounter table, stored bucketed by patient once per application."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _BUCKETED:
+        name = f"encounters_by_patient_{uuid.uuid4().hex}"
+        bucketed_by_patient(encounters(spark, folder), name)
+        _BUCKETED[key] = name
+    return spark.table(_BUCKETED[key])

@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from wardstone.llm import hdlang, linecrf, linerules, repeats, simhash
+from wardstone.llm import bwt, hdlang, linecrf, linerules, repeats, simhash
 from wardstone.llm.bwt import repeated_intervals
 from wardstone.llm.queries import QUERIES
 from wardstone.llm.textbytes import ByteView
@@ -346,6 +346,19 @@ def test_merged_transforms(strings, length, shard):
     assert sorted(map(sorted, got.values())) == sorted(sorted(v) for v in want.values() if len(v) > 1)
 
 
+def test_the_merge_reads_the_shards_in_order(monkeypatch):
+    """The result hangs on each shard's own order: a scrambled one gives other intervals."""
+    rng = random.Random(4)
+    base = bytes(rng.choice(b"abcdefgh") for _ in range(130))
+    strings = [base[i % 7 :] + bytes(rng.choice(b"xyz") for _ in range(9)) for i in range(40)]
+    found = lambda: sorted(zip(*(a.tolist() for a in repeated_intervals(strings, 100, 500))))
+    right = found()
+    scramble = np.random.default_rng(1)
+    own = bwt.shard_order
+    monkeypatch.setattr(bwt, "shard_order", lambda text, ends: scramble.permutation(own(text, ends)))
+    assert right and found() != right
+
+
 def test_repeats_of_random_documents(spark):
     rng = random.Random(8)
     draw = lambda n: "".join(rng.choice("abcdefgh é\n") for _ in range(n))

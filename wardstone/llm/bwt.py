@@ -1,86 +1,142 @@
 """Burrows-Wheeler transforms of shards of strings, merged by iterative interleave refinement.
 
-Each shard's suffixes are sorted on their own. The merge never sorts suffixes
-again: it starts from any interleave of the shards and refines it, one symbol a
-round, by moving every suffix to its predecessor through the shard's own
-last-to-first mapping, grouped by that symbol. After round h suffixes stand in
-order of their first h symbols, and two neighbours still in one block have a
-common prefix of at least h. A block of one suffix stays alone whatever comes
-before it, so it leaves the work.
+Each shard's suffixes are sorted on their own; no suffix is compared with one of
+another shard. The merge holds one thing only, the interleave: which shard each
+place of the merged order belongs to. A shard's first place is its first suffix
+in its own order, the second place its second, and so on.
+
+A round reads, for every place of the interleave, the ``step`` symbols before
+that suffix from the shard's transform, in the shard's order, and deals the
+places by them, keeping their order otherwise: the stable sort of the interleave
+is the interleave of the suffixes that are ``step`` symbols longer. After r
+rounds it is in order of the first r * step symbols, and neighbours between
+which no dealing has parted have these symbols as common prefix. After length /
+step rounds these are the repeated intervals.
+
+The symbols before a suffix are one number, the same for all shards of a merge;
+``step`` bytes make one symbol of a larger alphabet. Suffixes with fewer symbols
+left than the rounds have dealt by, and such that stand alone already, leave the
+interleave and the shards' orders alike.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
+_SYMBOL = 9  # bits
+_PACKED = 5  # symbols in one packed word
+
+
+def _packed(text: np.ndarray, count: int) -> np.ndarray:
+    """The next ``count`` symbols from each place on as one word."""
+    word = np.zeros(len(text), np.int64)
+    for k in range(count):
+        word <<= _SYMBOL
+        word[: max(len(text) - k, 0)] |= text[k:]
+    return word
+
+
+def _dense(words: np.ndarray) -> np.ndarray:
+    """The words' ranks among the distinct ones, in the narrowest type, which sorts fastest."""
+    order = np.argsort(words, kind="stable")
+    fresh = np.zeros(len(words), np.int64)
+    fresh[1:] = words[order[1:]] != words[order[:-1]]
+    rank = np.empty(len(words), np.int64)
+    rank[order] = np.cumsum(fresh)
+    most = int(rank.max(initial=0))
+    return rank.astype(np.uint16 if most < 1 << 16 else np.uint32)
+
 
-def shard_transform(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Suffix order of one shard and, per suffix in that order, the place of the suffix one symbol longer.
+def steps_of(length: int) -> int:
+    """The largest step of at most ten symbols that divides the length."""
+    return next(s for s in (10, 9, 8, 7, 6, 5, 4, 3, 2, 1) if length % s == 0)
+
+
+def grams(text: np.ndarray, step: int) -> np.ndarray:
+    """A number for the ``step`` symbols from each place on; equal for equal symbols."""
+    first = _dense(_packed(text, min(step, _PACKED)))
+    if step <= _PACKED:
+        return first
+    rest = np.zeros(len(text), np.int64)
+    rest[: max(len(text) - _PACKED, 0)] = _dense(_packed(text, step - _PACKED))[_PACKED:]
+    return _dense((first.astype(np.int64) << 32) | rest)
+
+
+def shard_order(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Suffixes of one shard in order.
 
     ``text`` holds symbols 1..256 and a 0 after each string; ``ends`` are the
-    zeros' places. Terminators sort before all symbols, in string order. The
-    place is -1 where a string begins.
+    zeros' places. Terminators sort before all symbols, in string order.
     """
     n = len(text)
-    rank = text.astype(np.int64) + len(ends)
-    rank[ends] = np.arange(len(ends))
-    step = 1
+    string = np.searchsorted(ends, np.arange(n))
+    left = ends[string] - np.arange(n)
+    packed = np.zeros(n, np.int64)
+    for k in range(_PACKED):  # nothing after a terminator counts
+        packed <<= _SYMBOL
+        packed[: max(n - k, 0)] |= np.where(left[: max(n - k, 0)] >= k, text[k:], 0)
+    size, key = _PACKED, packed
+    keys = [np.where(left < size, string, -1), key]
+    order = np.lexsort(keys)
     while True:
+        changed = np.zeros(n, np.int64)
+        for k in keys:
+            changed[1:] |= k[order[1:]] != k[order[:-1]]
+        rank = np.empty(n, np.int64)
+        rank[order] = np.cumsum(changed)
+        if rank[order[-1]] == n - 1:
+            return order
         follow = np.zeros(n, np.int64)
-        follow[:-step] = rank[step:] + 1
-        # a rank that holds a terminator is unique already, so what follows it does not matter
-        key = rank * (n + 258) + follow
-        order = np.argsort(key, kind="stable")
-        new = np.empty(n, np.int64)
-        new[order] = np.concatenate([[0], np.cumsum(key[order[1:]] != key[order[:-1]])])
-        rank = new
-        if step * 2 > n or rank.max(initial=0) == n - 1:
-            break
-        step *= 2
-    begins = np.concatenate([[0], ends[:-1] + 1])
-    before = order - 1
-    longer = np.where(before >= 0, rank[before], -1)
-    longer[rank[begins]] = -1
-    return order, longer
-
-
-def repeated_intervals(strings: list[bytes], length: int, shard_bytes: int = 1 << 16) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        follow[: n - size] = rank[size:] + 1  # behind a terminator it does not matter: the rank is unique already
+        keys = [rank * (n + 1) + follow]
+        order = np.argsort(keys[0], kind="stable")
+        size *= 2
+
+
+def repeated_intervals(strings: list[bytes], length: int, shard_bytes: int = 1 << 14) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Suffixes whose first ``length`` bytes occur at least twice: (string, offset, interval number)."""
+    nothing = np.zeros(0, np.int64)
+    if not strings:
+        return nothing, nothing, nothing
     size = np.array([len(s) + 1 for s in strings], np.int64)
     text = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8).astype(np.int16) + 1
     ends = np.cumsum(size) - 1
     text[ends] = 0
     begins = ends + 1 - size
-    place = np.zeros(len(text), np.int64)  # suffix order within its shard -> place in the text
-    longer = np.zeros(len(text), np.int64)
-    terminator = []
+    orders, owner = [], []
     at = 0
     while at < len(strings):
         stop = max(at + 1, int(np.searchsorted(ends, begins[at] + shard_bytes, "right")))
         low, high = begins[at], ends[stop - 1] + 1
-        order, up = shard_transform(text[low:high], ends[at:stop] - low)
-        place[low:high] = order + low
-        longer[low:high] = np.where(up >= 0, up + low, -1)
-        terminator.append(low + np.arange(stop - at))
+        orders.append(shard_order(text[low:high], ends[at:stop] - low) + low)
+        owner.append(np.full(high - low, len(orders) - 1))
         at = stop
-    symbol = np.where(longer >= 0, text[place - 1], 0).astype(np.uint8 if text.max(initial=0) < 256 else np.int16)
-    current = np.concatenate(terminator) if terminator else np.zeros(0, np.int64)
-    # round 0: every suffix is in one block; terminators never stand in a block with another
-    current = np.arange(len(text))
-    block = np.zeros(len(text), np.int64)
-    for _ in range(length):
-        moved = symbol[current]
-        go = np.flatnonzero(moved)
-        order = go[np.argsort(moved[go], kind="stable")]
-        key, old = moved[order], block[order]
-        current = longer[current[order]]
-        if not len(current):
-            break
-        fresh = np.ones(len(current) + 1, bool)
-        fresh[1:-1] = (key[1:] != key[:-1]) | (old[1:] != old[:-1])
+    orders = np.concatenate(orders)
+    shard = np.concatenate(owner).astype(np.uint8 if len(owner) <= 256 else np.uint16 if len(owner) <= 1 << 16 else np.int64)
+    step = steps_of(length)
+    before = grams(text, step)
+    offset = np.arange(len(text)) - np.repeat(begins, size)
+    sequence, interleave, block = orders, shard, np.zeros(len(text), np.int64)
+    for _ in range(length // step):
+        places = np.argsort(interleave, kind="stable")
+        suffix = np.empty(len(sequence), np.int64)
+        suffix[places] = sequence  # each shard is read in its own order
+        moves = offset[suffix] >= step
+        suffix, interleave, block = suffix[moves] - step, interleave[moves], block[moves]
+        if not len(suffix):
+            return nothing, nothing, nothing
+        symbol = before[suffix]
+        dealt = np.argsort(symbol, kind="stable")
+        symbol, block, suffix = symbol[dealt], block[dealt], suffix[dealt]
+        fresh = np.ones(len(dealt) + 1, bool)
+        fresh[1:-1] = (symbol[1:] != symbol[:-1]) | (block[1:] != block[:-1])
         stays = ~(fresh[:-1] & fresh[1:])
-        block = (np.cumsum(fresh[:-1]) - 1)[stays]
-        current = current[stays]
-    where = place[current] if len(current) else np.zeros(0, np.int64)
-    owner = np.searchsorted(ends, where, "left")
-    return owner, where - begins[owner] if len(where) else where, block[: len(where)]
+        interleave, block = interleave[dealt][stays], (np.cumsum(fresh[:-1]) - 1)[stays]
+        kept = np.zeros(len(text), bool)
+        kept[suffix[stays]] = True
+        sequence = orders[kept[orders]]
+    places = np.argsort(interleave, kind="stable")
+    suffix = np.empty(len(sequence), np.int64)
+    suffix[places] = sequence
+    string = np.searchsorted(ends, suffix, "left")
+    return string, offset[suffix], block

@@ -10,10 +10,11 @@ that equal strings always meet in one task:
    grouped by anchor. Equal pieces are merged first, in the task and then over
    all: each but the first of them is removed whole. An anchor left with one
    piece holds no other repeat.
-2. Pieces that differ but share an anchor are fetched as text. Each shard of
-   them gets its Burrows-Wheeler transform; the transforms are merged by
-   interleave refinement, and blocks with a common prefix of ``length`` bytes
-   are the repeated windows. The earliest window of each stays.
+2. Pieces that differ but share an anchor are fetched as text and dealt to parts
+   of whole anchors. Each shard of a part is sorted on its own; the shards are
+   merged by interleave refinement of their transforms, and blocks with a common
+   prefix of ``length`` bytes are the repeated windows. The earliest window of
+   each stays.
 3. Spans are collected per document and cut out.
 
 The repeats are judged on the input, not on what is left. Only hashes (40 bits
@@ -141,11 +142,11 @@ def _keyed(documents: DataFrame, carried: list[str]) -> DataFrame:
 
 def _pieces_of(texts: pa.Array, length: int) -> Iterator[tuple[np.ndarray, ...]]:
     view = ByteView(texts)
-    if len(view.data) <= _TEXT_SLICE:
+    if len(view.data) <= _TEXT_SLICE // 2:
         yield pieces(view.data, view.bounds, length)
         return
     # one very long text: overlapping stretches, so that each window lies in one of them
-    stretch = _TEXT_SLICE // 2
+    stretch = _TEXT_SLICE // 4
     for k in range(0, len(view.data) - length + 1, stretch):
         part = view.data[k : k + stretch + length - 1]
         doc, start, *rest = pieces(part, np.array([0, len(part)]), length)
@@ -153,9 +154,9 @@ def _pieces_of(texts: pa.Array, length: int) -> Iterator[tuple[np.ndarray, ...]]
 
 
 def _list_pieces(batches: Iterator[pa.RecordBatch], buckets: int, length: int) -> Iterator[pa.RecordBatch]:
-    for batch in (group for batch in batches for group in slices(batch, most_bytes=2 * _TEXT_SLICE)):
+    for batch in (group for batch in batches for group in slices(batch, most_bytes=_TEXT_SLICE)):
         found, at = [], 0
-        for part in slices(batch, most_bytes=_TEXT_SLICE // 2):
+        for part in slices(batch, most_bytes=_TEXT_SLICE // 4):
             found += [(doc + at, *rest) for doc, *rest in _pieces_of(part.column("text"), length)]
             at += part.num_rows
         if found:
@@ -293,7 +294,7 @@ def _fetch(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Record
         yield batch_of(_TEXTS, *out)
 
 
-def _compare(batches: Iterator[pa.RecordBatch], length: int, most_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def _compare(batches: Iterator[pa.RecordBatch], length: int, most_bytes: int = 1 << 16) -> Iterator[pa.RecordBatch]:
     """Windows that stand earlier in another piece of their anchor."""
     table = pa.Table.from_batches(batches, schema_of(_TEXTS)).sort_by("anchor").combine_chunks()
     if not table.num_rows:
@@ -350,13 +351,13 @@ def _cut(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBa
             yield batch_of(_CUT, *out)
 
 
-def remove_repeats(documents: DataFrame, length: int = LENGTH, bucket_bytes: int = 48 << 20) -> DataFrame:
+def remove_repeats(documents: DataFrame, length: int = LENGTH, bucket_bytes: int = 24 << 20) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept (the bytes that stay) of every row."""
     marked = find_repeats(documents, length, bucket_bytes)
     return marked.select("doc_id", "text", "spans").mapInArrow(lambda batches: _cut(batches, length), _CUT)
 
 
-def find_repeats(documents: DataFrame, length: int = LENGTH, bucket_bytes: int = 48 << 20, carried: list[str] | None = None) -> DataFrame:
+def find_repeats(documents: DataFrame, length: int = LENGTH, bucket_bytes: int = 24 << 20, carried: list[str] | None = None) -> DataFrame:
     """doc_id, text (bytes), spans (packed windows to remove), absent (the text was null) and rest (the carried columns) of every row.
 
     ``bucket_bytes`` of text fall to one task of the hash stage.
@@ -382,7 +383,7 @@ def find_repeats(documents: DataFrame, length: int = LENGTH, bucket_bytes: int =
     return settled.select(*columns).union(open_.select(*columns))
 
 
-def clean_documents(documents: DataFrame, length: int = LENGTH, bucket_bytes: int = 48 << 20) -> DataFrame:
+def clean_documents(documents: DataFrame, length: int = LENGTH, bucket_bytes: int = 24 << 20) -> DataFrame:
     """The documents (doc_id, text, lang, source, n_chars and the like) with repeats cut out of the text.
 
     All columns stay; ``n_chars``, if there, follows the new text. A character

@@ -45,11 +45,11 @@ def _codes(characters: str) -> np.ndarray:
     return np.array([int.from_bytes(c.encode(), "big") for c in characters])
 
 
-_WIDE_SEPARATORS = _codes("·•∙‣●▪→▸►▶│¦｜／»›")
-_QUOTE_ENDS, _QUOTE_STARTS = _codes("»›"), _codes("«‹")
-_WIDE_STOPS = _codes("…‼⁇⁈⁉")
-_WIDE_CLOSERS = _codes("”’“»›")
-_FULL_STOPS = _codes("。！？．｡।॥؟۔։።፧។။།")
+# ---- fixed values: signs of several bytes ----
+WIDE_SEPARATORS, QUOTE_ENDS, QUOTE_STARTS = "·•∙‣●▪→▸►▶│¦｜／»›", "»›", "«‹"
+WIDE_STOPS, WIDE_CLOSERS, FULL_STOPS = "…‼⁇⁈⁉", "”’“»›", "。！？．｡।॥؟۔։።፧។။།"
+_WIDE_SEPARATORS, _QUOTE_ENDS, _QUOTE_STARTS = _codes(WIDE_SEPARATORS), _codes(QUOTE_ENDS), _codes(QUOTE_STARTS)
+_WIDE_STOPS, _WIDE_CLOSERS, _FULL_STOPS = _codes(WIDE_STOPS), _codes(WIDE_CLOSERS), _codes(FULL_STOPS)
 
 #: Phrases that mark a line as boilerplate, in lower case.
 BOILERPLATE = ["javascript", "cookie policy", "privacy policy", "terms of use", "terms of service", "lorem ipsum",

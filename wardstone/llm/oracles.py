@@ -1,6 +1,6 @@
 """SQL that DuckDB runs on the same tables, for the queries that SQL can express."""
 
-from wardstone.llm.linerules import BOILERPLATE
+from wardstone.llm.linerules import BOILERPLATE, FULL_STOPS, QUOTE_ENDS, QUOTE_STARTS, WIDE_CLOSERS, WIDE_SEPARATORS, WIDE_STOPS
 
 EMBEDDINGS = """WITH RECURSIVE v AS (
   SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
@@ -44,18 +44,26 @@ repeated AS (SELECT doc_id, COUNT(DISTINCT i + k) AS n FROM twins, (VALUES (0),
 facts AS (SELECT doc_id, place, line, w, len(w) AS n, length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS chars,
   length(line) - length(regexp_replace(line, '[A-Z]', '', 'g')) AS up, length(line) - length(regexp_replace(line, '[a-z]', '', 'g')) AS low,
   length(line) - length(regexp_replace(line, '[#*$%&|<>]', '', 'g')) AS symbols, length(line) - length(replace(line, '!', '')) AS bangs,
-  len(list_filter(w, lambda x: x IN ('|', '>', '/', '~'))) AS separators,
+  len(list_filter(w, lambda x: x IN ('|', '>', '/', '~'))) + len(list_filter(w[2:], lambda x: x IN (WIDE_BETWEEN)))
+    + GREATEST(len(list_filter(w[2:], lambda x: x IN (QUOTE_ENDS))) - (length(line) - length(regexp_replace(line, '[QUOTE_STARTS]', '', 'g'))), 0) AS separators,
+  regexp_matches(line, '[.!?WIDE_STOPS]([\x20\x09-\x0D"'')\]}*_\[WIDE_CLOSERS]|$)|[FULL_STOPS]|[\x{0E00}-\x{0EFF}]') AS sentence,
   len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS again,
   ROW_NUMBER() OVER (PARTITION BY doc_id, line ORDER BY place) > 1 AS dup
   FROM (SELECT *, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w FROM lines)),
 judged AS (SELECT doc_id, chars, n > 0 AND dup AS dup, n > 0 AND (separators > 0.2::DOUBLE * n OR symbols > 0.5::DOUBLE * n + 1 OR bangs > 0.5::DOUBLE * n + 1
-  OR (up + low >= 20 AND up > 0.7::DOUBLE * (up + low)) OR (n >= 6 AND again > 0.5::DOUBLE * n) OR dup) OR BOILERPLATE AS failed FROM facts),
+  OR (up + low >= 20 AND up > 0.7::DOUBLE * (up + low)) OR (n >= 6 AND again > 0.5::DOUBLE * n) OR dup OR (n >= 25 AND NOT sentence)) OR BOILERPLATE AS failed FROM facts),
 loss AS (SELECT doc_id, SUM(CASE WHEN failed THEN chars ELSE 0 END) AS lost, SUM(chars) AS word_chars, COUNT(*) FILTER (WHERE dup) AS dups FROM judged GROUP BY doc_id),
 counted AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
   CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(dups AS BIGINT) AS n_dup_lines,
   CAST(COALESCE(repeated.n, 0) AS BIGINT) AS n_repeat_words, lost FROM words JOIN loss USING (doc_id) LEFT JOIN repeated USING (doc_id))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND lost <= 0.5::DOUBLE * word_chars AS kept FROM counted"""
+_SIGNS = {
+    "WIDE_BETWEEN": ", ".join(f"'{c}'" for c in WIDE_SEPARATORS if c not in QUOTE_ENDS), "QUOTE_ENDS": ", ".join(f"'{c}'" for c in QUOTE_ENDS),
+    "QUOTE_STARTS": QUOTE_STARTS, "WIDE_STOPS": WIDE_STOPS, "WIDE_CLOSERS": WIDE_CLOSERS, "FULL_STOPS": FULL_STOPS,
+}
+for _name, _text in _SIGNS.items():
+    _LINE_RULES = _LINE_RULES.replace(_name, _text)
 LINE_RULES = _LINE_RULES.replace("BOILERPLATE", "(" + " OR ".join(f"contains(lower(line), '{p}')" for p in BOILERPLATE) + ")")
 
 REPEATS = """WITH t AS (SELECT doc_id, hex(encode(COALESCE(text, ''))) AS h, strlen(COALESCE(text, '')) AS n FROM documents),

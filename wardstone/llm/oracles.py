@@ -27,7 +27,7 @@ linked AS (
     CASE WHEN a.turn >= 2 THEN a.conv_id || ':' || (a.turn - 2) END AS after
   FROM asked a JOIN deep d ON d.conv_id = a.conv_id AND d.turn = a.turn
   LEFT JOIN answers r ON r.conv_id = a.conv_id AND r.turn = a.turn + 1)
-SELECT conv_id, turn, id, 'reply' AS name, depth, CASE WHEN result_turn IS NULL THEN 'pending' ELSE 'linked' END AS status,
+SELECT conv_id, turn, id, 'reply' AS name, depth, ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY depth, turn, id) AS position, CASE WHEN result_turn IS NULL THEN 'pending' ELSE 'linked' END AS status,
   CASE WHEN text IS NULL THEN 'missing prompt' END AS problem, result_turn, turn >= 2 AND depth = 0 AS unknown_after,
   '{"after":' || COALESCE(CAST(to_json(after) AS VARCHAR), 'null') || ',"arguments":{' ||
   CASE WHEN text IS NULL THEN '' ELSE '"prompt":' || CAST(to_json(text) AS VARCHAR) || ',' END || '"turn":' || turn ||

@@ -307,6 +307,19 @@ def test_near_copies_of_nothing(spark, none, odd):
     assert simhash.near_copies(odd).count() == odd.count()
 
 
+def test_training_sample_is_bounded_in_lines(spark, monkeypatch):
+    """Whole documents by hash while their lines fit; long ones and second rows of an id stay out of the sample."""
+    rows = [(i, "good words in a sentence.\n" * 4 if i % 2 else "|| ## ||\n" * 4) for i in range(60)] + [(7, "another text of id 7"), (100, "x\n" * 500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(100, 0)], "doc_id long, label int")
+    seen = {}
+    monkeypatch.setattr(linecrf, "fit", lambda x, docs, label: seen.update(lines=len(x), docs=len(label)))
+    linecrf.train(df, labels, most_lines=100)
+    assert seen["lines"] <= 100 and 15 <= seen["docs"] <= 20
+    linecrf.train(df, labels, most_lines=1000)
+    assert seen["docs"] == 60  # id 100 has over a tenth of the lines
+
+
 # ---- repeats ----
 
 

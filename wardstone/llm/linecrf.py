@@ -17,14 +17,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardstone.llm.common import batch_of, map_batches, slices
+from wardstone.llm.common import batch_of, map_batches, slices, tidied
 from wardstone.llm.textbytes import ByteView, repeats, signs
+from wardstone.session import materialize
 
 #: Labelled documents that training uses at most; the choice is by a hash of the id.
 TRAINING_DOCUMENTS = 4000
+#: Lines of all of them together at most; each comes to the driver as some 300 bytes.
+TRAINING_LINES = 200_000
 _LOCAL = 12
 N_FEATURES = 1 + 3 * (_LOCAL - 1) + 2
 _SCORES = "doc_id long, score double"
@@ -139,12 +142,14 @@ def fit(features: np.ndarray, docs: np.ndarray, labels: np.ndarray, rounds: int
     return LineCrf(theta[:-4], theta[-4:].reshape(2, 2))
 
 
-def train(documents: DataFrame, labels: DataFrame, most: int = TRAINING_DOCUMENTS) -> LineCrf | None:
-    """Fit on at most ``most`` labelled documents, chosen by a hash of the id.
+def train(documents: DataFrame, labels: DataFrame, most: int = TRAINING_DOCUMENTS, most_lines: int = TRAINING_LINES) -> LineCrf | None:
+    """Fit on at most ``most`` labelled documents of together at most ``most_lines`` lines, chosen by a hash of the id.
 
     ``labels`` has doc_id and label (0 or 1). Null ids or labels, and ids with
-    two different labels, are left out. Only line features of the chosen
-    documents come to the driver.
+    two different labels, are left out; so are, from this sample alone, documents
+    with over a tenth of ``most_lines``. Of rows that share an id one takes part.
+    Whole documents are taken in the order of the hash while their lines fit.
+    Only line features of the chosen documents come to the driver.
     """
     known = (
         labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("label").cast("int").alias("_label"))
@@ -154,18 +159,25 @@ def train(documents: DataFrame, labels: DataFrame, most: int = TRAINING_DOCUMENT
     )
     chosen = known.orderBy(F.xxhash64("_id"), "_id").limit(most)
     texts = documents.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"))
-    ddl = "label int, lines int, x array<double>"
+    lines = (F.length(F.col("text")) - F.length(F.replace(F.col("text"), F.lit("\n"))) + 1).alias("_lines")
+    own = texts.join(F.broadcast(chosen), "_id").select("_id", "_label", "text", F.coalesce(lines, F.lit(1)).alias("_lines"))
+    single = own.where(F.col("_lines") <= most_lines // 10).groupBy("_id", "_label").agg(F.min_by(F.struct("text", "_lines"), F.xxhash64("text")).alias("_one"))
+    single = materialize(single.select("_id", "_label", "_one.*"), "training-texts")
+    upto = F.sum("_lines").over(Window.orderBy(F.xxhash64("_id"), "_id"))  # of ``most`` rows at most
+    fitting = single.select("_id", upto.alias("_upto")).where(F.col("_upto") <= most_lines).select("_id")
+    ddl = "id long, label int, lines int, x array<double>"
 
     def encode(batch: pa.RecordBatch) -> pa.RecordBatch:
         x, docs, _ = line_features(ByteView(batch.column("text")))
         count = np.bincount(docs, minlength=batch.num_rows)
         edge = np.concatenate([[0], np.cumsum(count)]) * N_FEATURES
         flat = pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(x.ravel()))
-        return batch_of(ddl, batch.column("_label"), count, flat)
+        return batch_of(ddl, batch.column("_id"), batch.column("_label"), count, flat)
 
-    rows = map_batches(texts.join(F.broadcast(chosen), "_id").select("_label", "text"), encode, ddl).toPandas()
+    rows = map_batches(single.join(F.broadcast(fitting), "_id", "left_semi").select("_id", "_label", "text"), encode, ddl).toPandas()
     if rows.empty or rows["label"].nunique() < 2:
         return None
+    rows = rows.sort_values("id")  # the fit does not depend on the order of arrival
     x = np.concatenate(list(rows["x"])).reshape(-1, N_FEATURES)
     return fit(x, np.repeat(np.arange(len(rows)), rows["lines"]), rows["label"].to_numpy())
 
@@ -202,5 +214,5 @@ def keep(documents: DataFrame, model: LineCrf | None, least: float) -> DataFrame
             good = np.concatenate([document_scores(model, p.column("text")) for p in slices(batch)])
             yield batch.filter(pa.array(good >= least))
 
-    return documents.mapInArrow(run, documents.schema)
+    return documents.mapInArrow(tidied(run), documents.schema)
 

@@ -19,7 +19,7 @@ from wardstone.llm import embdedup, linecrf, mixing, packing, records, toolcalls
 from wardstone.llm.components import connected
 from wardstone.llm.queries import QUERIES, REPLY, conversation_calls
 from wardstone.llm.tokens import WordEncoder, public_tokenizer
-from wardstone.session import scratch_path
+from wardstone.session import materialize, scratch_path
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -46,6 +46,15 @@ def none(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
+def test_equal_pieces_spread_and_a_packed_frame_can_be_packed_again(spark):
+    rows = spark.range(4000).select(F.lit(1).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("start"), F.lit(700).cast("long").alias("length"))
+    rows = materialize(rows.repartition(4), "equal-pieces")
+    once = packing.pack(rows, 2048, group_pieces=500)
+    groups = once.groupBy(F.shiftright("sequence_id", 32)).count().collect()
+    assert len(groups) == 8 and max(r["count"] for r in groups) < 800
+    assert packing.pack(rows, 2048, group_pieces=500).count() == 4000
+
+
 # ---- tokens ----
 
 
@@ -307,7 +316,38 @@ def test_conversations_with_nulls(spark):
     rows = [(None, 0, "user", "a"), (1, None, "user", None), (1, 0, None, "x"), (1, 1, "assistant", None), (1, 0, "user", "q"), (1, 0, "user", "q")]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     found = toolcalls.link(*conversation_calls(turns), REPLY).collect()
-    assert len(found) == 4 and sorted(r["status"] for r in found) == ["linked", "linked", "pending", "pending"]
+    assert len(found) == 4 and sorted(r["status"] for r in found) == ["duplicate", "linked", "pending", "pending"]
+
+
+def test_equal_calls_positions_and_argument_names(spark):
+    schemas = {"f": [toolcalls.Argument("a.b", "integer"), toolcalls.Argument('q"', "string", False)]}
+    wide = "9" * 25
+    calls = [(1, t, f"c{t}", "f", f'{{"a.b": {v}}}', a) for t, (v, a) in enumerate(
+        [("1", None), ("1.0", "c3"), (wide, "c0"), ("-2", "c2"), ("1.5", None), ('"1"', None), ("1e30", "c9")])]
+    calls += [(1, 0, "c0", "f", '{"a.b": 1}', None)] * 3 + [(2, 0, "x", "f", '{"q\\"": "s", "a.b": 3.000}', "y"), (2, 1, "y", "f", "{}", None), (2, 9, "z", "f", "{}", "z")]
+    c = spark.createDataFrame(calls, "group long, turn long, id string, name string, arguments string, after string")
+    r = spark.createDataFrame([("c0", 1, "one")], "id string, turn long, content string")
+    found = toolcalls.link(c, r, schemas).collect()
+    assert sorted(x["status"] for x in found if x["id"] == "c0") == ["duplicate"] * 3 + ["linked"]
+    problem = {(x["group"], x["turn"]): x["problem"] for x in found}
+    assert [problem[(1, t)] for t in range(7)] == [None, None, None, None, "a.b is not integer", "a.b is not integer", None]
+    assert problem[(2, 0)] is None and problem[(2, 1)] == "missing a.b"
+    for group in (1, 2):
+        rows = sorted((x for x in found if x["group"] == group), key=lambda x: x["position"])
+        assert [x["position"] for x in rows] == list(range(1, len(rows) + 1))
+        keys = [(x["depth"] is None, x["depth"] or 0, x["turn"], x["id"]) for x in rows]
+        assert keys == sorted(keys)
+    order = [x["id"] for x in sorted(found, key=lambda x: x["position"]) if x["group"] == 1 and x["status"] != "duplicate"]
+    assert order.index("c0") < order.index("c2") < order.index("c3") < order.index("c1")
+
+
+def test_a_group_of_many_equal_calls(spark):
+    c = spark.range(5000).select(F.lit(1).cast("long").alias("group"), F.lit(0).cast("long").alias("turn"), F.lit("a").alias("id"),
+        F.lit("f").alias("name"), F.lit("{}").alias("arguments"), F.lit(None).cast("string").alias("after"))
+    r = spark.createDataFrame([("a", 1, "one")], "id string, turn long, content string")
+    found = toolcalls.link(c, r, {"f": []})
+    assert {x["status"]: x["count"] for x in found.groupBy("status").count().collect()} == {"linked": 1, "duplicate": 4999}
+    assert found.select("position").distinct().count() == 5000
 
 
 # ---- embeddings ----

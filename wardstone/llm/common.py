@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -20,6 +21,27 @@ def id_bucket(column: str, buckets: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(buckets))
 
 
+def release_memory() -> None:
+    """Give memory that earlier work left unused back to the system; workers outlive tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The Arrow function, with the worker's unused memory given back at the end of each task."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return task
+
+
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """Apply a function to bounded slices of Arrow batches."""
 
@@ -28,7 +50,7 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBat
             for part in slices(batch):
                 yield function(part)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidied(run), schema)
 
 
 def slices(batch: pa.RecordBatch, text: str = "text", most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:

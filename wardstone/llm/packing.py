@@ -19,9 +19,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from wardstone.llm.common import batch_of, slices
-from wardstone.llm.tokens import encoder, public_tokenizer
+from wardstone.llm.tokens import encoder, forgetful, public_tokenizer
 from wardstone.session import materialize
 
 CAPACITY = 2048
@@ -35,7 +36,7 @@ def token_pieces(documents: DataFrame, path: str, end_id: int, capacity: int = C
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, most_bytes=8 << 20):
+            for part in slices(batch, most_bytes=4 << 20):
                 ids, edge = encoder(path).encode(part.column("text"))
                 n = np.diff(edge) + 1
                 end = np.cumsum(n)
@@ -51,7 +52,7 @@ def token_pieces(documents: DataFrame, path: str, end_id: int, capacity: int = C
                 yield batch_of(ddl, part.column("doc_id").take(pa.array(doc)), start, length, crc, n[doc], *more)
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, ddl)
+    return rows.mapInArrow(forgetful(path, run), ddl)
 
 
 class TournamentTree:
@@ -95,9 +96,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_
     Pieces longer than ``capacity`` are refused. ``pieces`` should be stored.
     """
     groups = max(1, -(-pieces.count() // group_pieces))
-    dealt = pieces.withColumn("_deal", F.xxhash64(F.lit(seed), *[F.col(c) for c in pieces.columns]))
+    # equal rows get different places by where they are stored, so that many of them spread over the groups
+    dealt = pieces.withColumn("_deal", F.xxhash64(F.lit(seed), *[F.col(c) for c in pieces.columns], F.monotonically_increasing_id()))
     dealt = dealt.withColumn("_group", F.pmod("_deal", F.lit(groups)))
-    schema = pieces.schema.add("sequence_id", "long").add("offset", "long")
+    schema = StructType([*pieces.schema.fields]).add("sequence_id", "long").add("offset", "long")
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("_deal", "ascending"), ("doc_id", "ascending"), ("start", "ascending")])

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardstone.llm.common import batch_of, slices
-from wardstone.llm.tokens import encoder
+from wardstone.llm.tokens import encoder, forgetful
 
 _NO_ID = np.iinfo(np.int64).max
 _HEAD_SIZE, _TAIL_SIZE, _START = 12, 4, 9
@@ -101,7 +101,7 @@ def write_records(documents: DataFrame, folder: str, path: str, end_id: int, fil
                 yield batch_of("frame binary", framed)
 
     ordered = rows.withColumn("_tie", F.xxhash64("text")).repartitionByRange(files, "doc_id", "_tie").sortWithinPartitions("doc_id", "_tie")
-    framed = ordered.select("doc_id", "text").mapInArrow(run, "frame binary")
+    framed = ordered.select("doc_id", "text").mapInArrow(forgetful(path, run), "frame binary")
     framed.select(F.col("frame").cast("string").alias("value")).write.text(folder)
     read_records(spark, folder).write.parquet(index_path(folder))
 
@@ -139,7 +139,12 @@ def read_records(spark: SparkSession, folder: str, keep_ids: bool = False) -> Da
 
 
 def build_index(spark: SparkSession, folder: str) -> DataFrame:
-    """The stored offset index of the folder's records: start counts the ids of all records before."""
+    """The stored offset index of the folder's records: start counts the ids of all records before.
+
+    It is taken as it was stored when the records were written and read back; a
+    file that was damaged since is not noticed here. ``read_records`` reads the
+    files themselves, and it and ``read_at`` fail on a frame whose checksum differs.
+    """
     index = spark.read.schema(_INDEX).parquet(index_path(folder))
     parts = index.groupBy("part").agg(F.sum("n_tokens").alias("_size"))
     order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

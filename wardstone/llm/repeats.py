@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from wardstone.llm.bwt import repeated_intervals
-from wardstone.llm.common import batch_of, schema_of, slices
+from wardstone.llm.common import batch_of, schema_of, slices, tidied
 from wardstone.llm.textbytes import ByteView
 from wardstone.session import materialize
 
@@ -156,7 +156,7 @@ def _pieces_of(texts: pa.Array, length: int) -> Iterator[tuple[np.ndarray, ...]]
 def _list_pieces(batches: Iterator[pa.RecordBatch], buckets: int, length: int) -> Iterator[pa.RecordBatch]:
     for batch in (group for batch in batches for group in slices(batch, most_bytes=_TEXT_SLICE)):
         found, at = [], 0
-        for part in slices(batch, most_bytes=_TEXT_SLICE // 4):
+        for part in slices(batch, most_bytes=_TEXT_SLICE // 8):
             found += [(doc + at, *rest) for doc, *rest in _pieces_of(part.column("text"), length)]
             at += part.num_rows
         if found:
@@ -192,44 +192,46 @@ def _list_pieces(batches: Iterator[pa.RecordBatch], buckets: int, length: int) -
 
 def _judge_pieces(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     """The pieces to remove whole, and those whose text has to be compared, dealt by document."""
-    tables = {True: ([], []), False: ([], [])}
+    items, known = [], []
     for batch in batches:
-        for whole, docs, items in zip(*(batch.column(c).to_pylist() for c in ("whole", "docs", "items"))):
-            item = np.frombuffer(items, _ITEM)
-            known = np.frombuffer(docs, "<i8").reshape(-1, 2)[item["doc"]]
-            tables[whole][0].append(item)
-            tables[whole][1].append(known)
-    result = []
-    for whole, (items, known) in tables.items():
-        if not items:
-            continue
-        item, known = np.concatenate(items), np.concatenate(known)
-        if whole:
-            result.append((known, _decided(item, np.zeros(len(item), bool))))
-            continue
-        anchor, body = _number(item["anchor"]), _number(item["body"])
-        order = np.lexsort((item["start"], known[:, 1], known[:, 0], body, anchor))
-        item, known, anchor, body = item[order], known[order], anchor[order], body[order]
-        new_anchor = np.ones(len(item), bool)
-        new_anchor[1:] = anchor[1:] != anchor[:-1]
-        new_body = new_anchor.copy()
-        new_body[1:] |= body[1:] != body[:-1]
-        group = np.cumsum(new_anchor) - 1
-        shared = np.bincount(group, weights=new_body) > 1
-        head = np.flatnonzero(new_body)[np.cumsum(new_body) - 1]
-        first = (known[:, 0] == known[head, 0]) & (known[:, 1] == known[head, 1]) & (item["start"] == item["start"][head])
-        ask = first & shared[group]
-        use = ~first | ask
-        result.append((known[use], _decided(item[use], ask[use])))
-    if not result:
+        settled = []
+        for whole, docs, content in zip(*(batch.column(c).to_pylist() for c in ("whole", "docs", "items"))):
+            item = np.frombuffer(content, _ITEM)
+            own = np.frombuffer(docs, "<i8").reshape(-1, 2)[item["doc"]]
+            if whole:  # decided where it was found
+                settled.append((own, _decided(item, np.zeros(len(item), bool))))
+            else:
+                items.append(item)
+                known.append(own)
+        if settled:
+            yield _dealt_by_document(*(np.concatenate(x) for x in zip(*settled)), buckets)
+    if not items:
         return
-    known, decided = (np.concatenate(x) for x in zip(*result))
+    item, known = np.concatenate(items), np.concatenate(known)
+    items.clear()
+    anchor, body = _number(item["anchor"]), _number(item["body"])
+    order = np.lexsort((item["start"], known[:, 1], known[:, 0], body, anchor))
+    item, known, anchor, body = item[order], known[order], anchor[order], body[order]
+    new_anchor = np.ones(len(item), bool)
+    new_anchor[1:] = anchor[1:] != anchor[:-1]
+    new_body = new_anchor.copy()
+    new_body[1:] |= body[1:] != body[:-1]
+    group = np.cumsum(new_anchor) - 1
+    shared = np.bincount(group, weights=new_body) > 1
+    head = np.flatnonzero(new_body)[np.cumsum(new_body) - 1]
+    first = (known[:, 0] == known[head, 0]) & (known[:, 1] == known[head, 1]) & (item["start"] == item["start"][head])
+    ask = first & shared[group]
+    use = ~first | ask
+    yield _dealt_by_document(known[use], _decided(item[use], ask[use]), buckets)
+
+
+def _dealt_by_document(known: np.ndarray, decided: np.ndarray, buckets: int) -> pa.RecordBatch:
     where = (_mix((known[:, 0] ^ known[:, 1]).view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
     by = np.argsort(where, kind="stable")
     edge = np.searchsorted(where[by], np.arange(buckets + 1))
     filled = np.flatnonzero(np.diff(edge))
     parts = [by[edge[k] : edge[k + 1]] for k in filled]
-    yield batch_of(_DECISIONS, filled, [known[i].tobytes() for i in parts], [decided[i].tobytes() for i in parts])
+    return batch_of(_DECISIONS, filled, [known[i].tobytes() for i in parts], [decided[i].tobytes() for i in parts])
 
 
 def _decided(item: np.ndarray, ask: np.ndarray) -> np.ndarray:
@@ -281,7 +283,7 @@ _TEXTS = "anchor long, doc_id long, th long, start int, piece binary"
 
 def _fetch(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """The text of every piece asked for, with its anchor."""
-    for batch in batches:
+    for batch in (part for batch in batches for part in slices(batch)):
         out = ([], [], [], [], [])
         for doc, th, text, asks in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "th", "text", "asks"))):
             item = np.frombuffer(asks, _DECIDED)
@@ -351,13 +353,13 @@ def _cut(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBa
             yield batch_of(_CUT, *out)
 
 
-def remove_repeats(documents: DataFrame, length: int = LENGTH, bucket_bytes: int = 24 << 20) -> DataFrame:
+def remove_repeats(documents: DataFrame, length: int = LENGTH, bucket_bytes: int = 16 << 20) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept (the bytes that stay) of every row."""
     marked = find_repeats(documents, length, bucket_bytes)
-    return marked.select("doc_id", "text", "spans").mapInArrow(lambda batches: _cut(batches, length), _CUT)
+    return marked.select("doc_id", "text", "spans").mapInArrow(tidied(lambda batches: _cut(batches, length)), _CUT)
 
 
-def find_repeats(documents: DataFrame, length: int = LENGTH, bucket_bytes: int = 24 << 20, carried: list[str] | None = None) -> DataFrame:
+def find_repeats(documents: DataFrame, length: int = LENGTH, bucket_bytes: int = 16 << 20, carried: list[str] | None = None) -> DataFrame:
     """doc_id, text (bytes), spans (packed windows to remove), absent (the text was null) and rest (the carried columns) of every row.
 
     ``bucket_bytes`` of text fall to one task of the hash stage.
@@ -367,14 +369,14 @@ def find_repeats(documents: DataFrame, length: int = LENGTH, bucket_bytes: int =
     rows = _keyed(documents, carried)
     total = documents.select(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // bucket_bytes))
-    listed = rows.select("doc_id", "th", "text").mapInArrow(lambda batches: _list_pieces(batches, buckets, length), _PIECES)
-    judged = listed.repartition(buckets, "bucket").mapInArrow(lambda batches: _judge_pieces(batches, buckets), _DECISIONS)
-    found = materialize(judged.repartition(buckets, "bucket").mapInArrow(_by_document, _FOUND), "pieces")
+    listed = rows.select("doc_id", "th", "text").mapInArrow(tidied(lambda batches: _list_pieces(batches, buckets, length)), _PIECES)
+    judged = listed.repartition(buckets, "bucket").mapInArrow(tidied(lambda batches: _judge_pieces(batches, buckets)), _DECISIONS)
+    found = materialize(judged.repartition(buckets, "bucket").mapInArrow(tidied(_by_document), _FOUND), "pieces")
     marked = materialize(rows.join(found, ["doc_id", "th"], "left"), "marked")
     asking = marked.where(F.length("asks") > 0)
     windows = (
-        asking.select("doc_id", "th", "text", "asks").mapInArrow(lambda batches: _fetch(batches, length), _TEXTS)
-        .repartition(buckets, "anchor").mapInArrow(lambda batches: _compare(batches, length), _FOUND)
+        asking.select("doc_id", "th", "text", "asks").mapInArrow(tidied(lambda batches: _fetch(batches, length)), _TEXTS)
+        .repartition(buckets, "anchor").mapInArrow(tidied(lambda batches: _compare(batches, length)), _FOUND)
     )
     later = materialize(windows.select("doc_id", "th", "spans"), "windows").groupBy("doc_id", "th").agg(F.collect_list("spans").alias("more"))
     settled = marked.where(F.coalesce(F.length("asks"), F.lit(0)) == 0).withColumn("spans", F.array("spans"))
@@ -383,7 +385,7 @@ def find_repeats(documents: DataFrame, length: int = LENGTH, bucket_bytes: int =
     return settled.select(*columns).union(open_.select(*columns))
 
 
-def clean_documents(documents: DataFrame, length: int = LENGTH, bucket_bytes: int = 24 << 20) -> DataFrame:
+def clean_documents(documents: DataFrame, length: int = LENGTH, bucket_bytes: int = 16 << 20) -> DataFrame:
     """The documents (doc_id, text, lang, source, n_chars and the like) with repeats cut out of the text.
 
     All columns stay; ``n_chars``, if there, follows the new text. A character
@@ -395,7 +397,7 @@ def clean_documents(documents: DataFrame, length: int = LENGTH, bucket_bytes: in
     schema = StructType().add("doc_id", "long").add("text", "binary").add("rest", marked.schema["rest"].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for batch in batches for part in slices(batch)):
             texts = []
             for text, blobs, absent in zip(*(batch.column(c).to_pylist() for c in ("text", "spans", "absent"))):
                 spans = _ranges(blobs or [], length - 1).tolist()
@@ -405,7 +407,7 @@ def clean_documents(documents: DataFrame, length: int = LENGTH, bucket_bytes: in
             ids = [None if d == _NO_ID else d for d in batch.column("doc_id").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.binary()), batch.column("rest")], names=["doc_id", "text", "rest"])
 
-    done = marked.mapInArrow(run, schema)
+    done = marked.mapInArrow(tidied(run), schema)
     done = done.select("doc_id", F.col("text").cast("string").alias("text"), *[F.col("rest").getField(c).alias(c) for c in carried if c != "doc_id"])
     if "n_chars" in names:
         done = done.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))

@@ -10,12 +10,15 @@ from __future__ import annotations
 
 import os
 from array import array
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from wardstone.llm.common import release_memory
+
 _SIGNS = ".,;:!?|#*$%&\"()[]{}=+-_/"
 _BEYOND_LATIN = "ɐ"
 _DOTTED_I = "İ"
@@ -81,10 +84,14 @@ class WordEncoder:
         found = self.words[word] = self._stem(stem) + self._stem(signs) if signs else self._stem(stem)
         return found
 
+    def forget(self) -> None:
+        """Give back the memory of remembered words; a task does so at its end, as workers outlive stages."""
+        self.words, self.stems = {}, {"": b""}
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids (uint32) of the texts one after the other, and where each text's ids begin and end."""
         if len(self.words) > REMEMBERED or len(self.stems) > REMEMBERED:
-            self.words, self.stems = {}, {"": b""}
+            self.forget()
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         words = pc.ascii_split_whitespace(texts)
         bounds = words.offsets.to_numpy()
@@ -105,3 +112,17 @@ class WordEncoder:
 def encoder(path: str) -> WordEncoder:
     """The worker's encoder for a vocabulary file; it lives as long as the worker does."""
     return WordEncoder(path)
+
+
+def forgetful(path: str, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The Arrow function, with the worker's remembered words given back at the end of each task."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            if encoder.cache_info().currsize:
+                encoder(path).forget()
+            release_memory()
+
+    return task

@@ -45,6 +45,13 @@ def _difference(a: str, b: str, c: str, d: str) -> str:
     return f"coalesce({exact}, {doubles[0]} * {doubles[1]} - {doubles[2]} * {doubles[3]})"
 
 
+def _limb_sum(sql: str) -> str:
+    """Sum of whole numbers of 64 bits: three parts of 22, 22 and 20 bits as plain longs, which hold 2^41 rows, put together at the end."""
+    parts = [f"sum(({sql}) & 4194303)", f"sum(shiftright({sql}, 22) & 4194303)", f"sum(shiftright({sql}, 44))"]
+    low, middle, high = (f"cast({part} as {_TOTAL})" for part in parts)
+    return f"({low} + {middle} * 4194304BD + {high} * 17592186044416BD)"
+
+
 class Moments:
     """Sums and sums of products of some columns, by the narrowest arithmetic that is exact for their types.
 
@@ -78,6 +85,8 @@ class Moments:
         self.rows = rows
 
     def _sum(self, sql: str) -> str:
+        if self.kind == "narrow" and not self.weight:
+            return _limb_sum(sql)
         if self.weight:
             sql = f"{sql} * cast({self.weight} as {'double' if self.kind == 'double' else 'decimal(15,0)'})"
         if self.kind == "double":

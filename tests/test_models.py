@@ -182,3 +182,15 @@ def test_same_model_on_two_and_eight_cores():
         done = subprocess.run([sys.executable, "-c", _FIT, cores, SF], capture_output=True, text=True, timeout=600, check=True)
         found |= {line for line in done.stdout.splitlines() if line.startswith("MODEL")}
     assert len(found) == 1
+
+
+def test_default_parts_grow_as_the_root_of_the_rows():
+    """A learner's hundreds of jobs have a task per part, and the driver keeps a record of each."""
+    assert [M.training_parts(n) for n in (0, 1, 16_384, 16_385, 147_456)] == [1, 1, 1, 2, 9]
+    assert [M.training_parts(n) for n in (808_046, 8_080_460, 48_482_760)] == [22, 67, 164]
+
+
+def test_large_folds_are_fitted_fewer_at_a_time():
+    assert [M.folds_at_once(n, 5, 5, "weight") for n in (0, 455_529, 4_555_290, 27_331_740)] == [5, 5, 2, 1]
+    assert M.folds_at_once(1_000_000, 5, 5, "smote") == 5 and M.folds_at_once(2_000_000, 5, 5, "smote") == 2
+    assert M.folds_at_once(1_000, 5, 2, "weight") == 2

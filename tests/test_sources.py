@@ -13,7 +13,7 @@ from wardstone.operators.scoring import score_encounters
 from wardstone.plans.catalog import QUERIES
 from wardstone.plans.tables import encounters
 from wardstone.sources import encounters as E
-from wardstone.sources import folders
+from wardstone.sources import folders, orders_fixture
 from wardstone.sources.orders_fixture import encounters as derived
 
 SF = "/root/testdata/sf0.001"
@@ -146,3 +146,15 @@ def test_alignment_fills_and_orders(spark, names):
 
     row = align_features(spark.createDataFrame([(5, 7)], ["c", "a"]), names).first()
     assert row.asDict() == {"a": 7, "b": 0, "c": 5} and row.__fields__ == names
+
+
+def test_lines_are_counted_in_parts_that_follow_their_number(spark, monkeypatch):
+    monkeypatch.setattr(orders_fixture, "LINES_PER_PART", 100)
+    lines = [(None if i % 50 == 0 else i % 300, i % 7 if i % 11 else None, float(i % 5)) for i in range(1000)]
+    counted = orders_fixture.order_items(spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_quantity double"))
+    assert counted.rdd.getNumPartitions() == 10
+    expected = {}
+    for order, part, quantity in lines:
+        n, total, parts = expected.get(order, (0, 0, set()))
+        expected[order] = (n + 1, total + int(quantity), parts | ({part} - {None}))
+    assert {r["l_orderkey"]: (r["n_items"], r["qty"], r["n_parts"]) for r in counted.collect()} == {k: (n, q, len(p)) for k, (n, q, p) in expected.items()}

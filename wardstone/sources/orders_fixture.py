@@ -66,9 +66,19 @@ def _medication(name: str) -> str:
     return _choose(draw, list(cuts), S.MEDICATION_STATUSES[-1])
 
 
+#: Lines that one task counts.
+LINES_PER_PART = 250_000
+
+
 def order_items(lineitem: DataFrame) -> DataFrame:
-    """Per-order line counts. Unused ones, or the whole side, are pruned by Catalyst."""
-    return lineitem.groupBy("l_orderkey").agg(
+    """Per-order line counts. Unused ones are pruned by Catalyst.
+
+    Lines are dealt by order into parts that follow their number, so a task's
+    memory does not grow with the table; the counts and the distinct parts of an
+    order then need no exchange of their own.
+    """
+    parts = max(1, -(-lineitem.count() // LINES_PER_PART))
+    return lineitem.repartition(parts, "l_orderkey").groupBy("l_orderkey").agg(
         F.count("*").alias("n_items"),
         F.sum("l_quantity").cast("long").alias("qty"),
         F.count_distinct("l_partkey").alias("n_parts"),

@@ -1,8 +1,10 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
+from wardstone.operators import neighbors
 from wardstone.operators.neighbors import BlockSizes, k_nearest, k_nearest_hashed
 from wardstone.operators.smote import STEPS, smote_balance, smote_rows
 
@@ -135,3 +137,12 @@ def test_balance_with_the_hashed_search(spark):
     df = _sample(spark, 40, 160, lambda i: points[i].tolist())
     out = smote_balance(df, "features", "label", "id", search=lambda v, k: k_nearest_hashed(v, k, radius=3.0))
     assert out.filter("label = 1").count() == 160
+
+
+def test_distance_matrices_are_bounded():
+    """Against a large block or many pivots, fewer rows are compared at a time; every row once, in order."""
+    frame = pd.DataFrame({"vid": np.arange(3000)})
+    for width in (1, 400, 4096, 16_384, 3 * neighbors.CHUNK_CELLS):
+        parts = list(neighbors._chunks(frame[:40] if width > neighbors.CHUNK_CELLS else frame, width))
+        assert max(len(p) for p in parts) == max(1, min(neighbors.CHUNK, neighbors.CHUNK_CELLS // width))
+        assert list(pd.concat(parts)["vid"]) == list(range(sum(len(p) for p in parts)))

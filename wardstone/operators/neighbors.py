@@ -27,6 +27,8 @@ from wardstone.session import materialize
 
 MAX_PIVOTS = 4096
 CHUNK = 512
+#: Numbers of one distance matrix, 8 MB: against many pivots or a large block, fewer rows at a time.
+CHUNK_CELLS = 1 << 20
 SLACK = 1e-9
 
 
@@ -54,9 +56,11 @@ def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum((a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * cross, 0.0)
 
 
-def _chunks(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
-    for start in range(0, len(frame), CHUNK):
-        yield frame.iloc[start : start + CHUNK]
+def _chunks(frame: pd.DataFrame, width: int) -> Iterator[pd.DataFrame]:
+    """Slices of a frame whose distances to ``width`` points fit into ``CHUNK_CELLS``."""
+    size = max(1, min(CHUNK, CHUNK_CELLS // max(width, 1)))
+    for start in range(0, len(frame), size):
+        yield frame.iloc[start : start + size]
 
 
 def _nearest_in_block(queries: pd.DataFrame, block: pd.DataFrame, k: int) -> pd.DataFrame:
@@ -65,7 +69,7 @@ def _nearest_in_block(queries: pd.DataFrame, block: pd.DataFrame, k: int) -> pd.
     ids, copies, points = block["vid"].to_numpy(), block["copies"].to_numpy(), _matrix(block["x"])
     width = min(k, len(ids))
     parts = []
-    for chunk in _chunks(queries):
+    for chunk in _chunks(queries, len(ids)):
         asking = chunk["vid"].to_numpy()
         distances = _squared(_matrix(chunk["x"]), points)
         distances[asking[:, None] == ids[None, :]] = np.inf
@@ -100,7 +104,7 @@ def _assign(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for chunk in _chunks(batch):
+            for chunk in _chunks(batch, len(pivots)):
                 d2 = _squared(_matrix(chunk["x"]), pivots)
                 cell = d2.argmin(1)
                 yield chunk.assign(cell=cell.astype("int32"), radius=np.sqrt(d2[np.arange(len(chunk)), cell]))
@@ -135,7 +139,7 @@ def _reachable_cells(
 
     def reachable(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for chunk in _chunks(batch):
+            for chunk in _chunks(batch, len(pivots)):
                 d2 = _squared(_matrix(chunk["x"]), pivots)
                 own = d2.argmin(1)
                 nearest = d2[np.arange(len(chunk)), own][:, None]

@@ -190,6 +190,16 @@ def test_default_parts_grow_as_the_root_of_the_rows():
     assert [M.training_parts(n) for n in (808_046, 8_080_460, 48_482_760)] == [22, 67, 164]
 
 
+def test_a_fit_passes_over_dozens_of_parts(spark, monkeypatch):
+    """Each pass over a part has a cost of its own, however few its rows."""
+    assert [M.fitting_parts(n) for n in (0, 1, 16_385, 147_456)] == [1, 1, 2, 9]
+    assert [M.fitting_parts(n) for n in (808_046, 2_000_000, 8_080_460, 48_482_760)] == [12, 12, 24, 48]
+    assert M.fitting_parts(12_345, 100) == 124
+    monkeypatch.setattr(M, "ROWS_PER_PART", 10)
+    rows = spark.range(30_000).select(F.lit(1).alias(M.LABEL), array_to_vector(F.array(F.col("id").cast("double"))).alias("features"))
+    assert M.dealt(rows).rdd.getNumPartitions() == 12 and M.dealt(rows).count() == 30_000
+
+
 def test_large_folds_are_fitted_fewer_at_a_time():
     assert [M.folds_at_once(n, 5, 5, "weight") for n in (0, 455_529, 4_555_290, 27_331_740)] == [5, 5, 2, 1]
     assert M.folds_at_once(1_000_000, 5, 5, "smote") == 5 and M.folds_at_once(2_000_000, 5, 5, "smote") == 2

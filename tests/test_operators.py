@@ -5,6 +5,7 @@ import random
 
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from wardstone.operators import evaluate as V
@@ -15,8 +16,10 @@ from wardstone.operators import splits as L
 from wardstone.operators import stats as T
 from wardstone.operators.patients import bucketed_by_patient, first_encounter_in_bucket
 from wardstone.operators.ranges import ranked_quantiles
+from wardstone.operators.smote import smote_rows
 from wardstone.plans.catalog import QUERIES
 from wardstone.plans.tables import encounters, first_encounters
+from wardstone.sources.orders_fixture import derive_encounters, order_items
 
 SF = "/root/testdata/sf0.001"
 
@@ -349,3 +352,26 @@ def test_buckets_grow_with_the_rows(spark, monkeypatch):
     bucketed_by_patient(_patients(spark), name)
     described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE FORMATTED {name}").collect()}
     assert int(described["Num Buckets"]) == 12
+
+
+def _joins(df):
+    """Join nodes of the plan as Spark would run it."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line.strip() for line in plan.splitlines() if "Join " in line and "AdaptiveSparkPlan" not in line]
+
+
+def test_tables_that_grow_are_not_sent_through_the_driver(spark):
+    """However small Spark takes a stored table for."""
+    stays = spark.createDataFrame([(1, 7, "a"), (1, 3, "b"), (2, 5, "d")], "patient_nbr long, encounter_id long, v string")
+    joins = _joins(P.first_encounter(stays))
+    assert joins and not [j for j in joins if "Broadcast" in j]
+
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    items = order_items(spark.read.parquet(f"{SF}/lineitem.parquet"))
+    by_customer = [j for j in _joins(derive_encounters(orders, spark.read.parquet(f"{SF}/customer.parquet"), items)) if "o_custkey" in j]
+    assert by_customer and not [j for j in by_customer if "Broadcast" in j]
+
+    rows = spark.range(60).select("id", (F.col("id") < 12).cast("int").alias("label"), F.array((F.col("id") * 7 % 13).cast("double"), F.col("id").cast("double")).alias("x"))
+    grown = smote_rows(rows.select("id", "label", array_to_vector("x").alias("features")), "features", "label", "id")
+    by_vector = [j for j in _joins(grown) if "vid#" in j]
+    assert len(by_vector) == 4 and not [j for j in by_vector if "Broadcast" in j]

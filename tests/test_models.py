@@ -142,6 +142,14 @@ def test_stream_with_a_fitted_model_equals_batch(spark, boosted):
     assert pick(spark.read.parquet(sink)) == pick(boosted.transform(encounters(spark, SF)))
 
 
+def test_a_stream_of_one_file_is_scored_by_all_cores(spark):
+    sink = scratch_path(spark, "spread_sink")
+    score_stream(encounter_stream(spark, SF), sink, scratch_path(spark, "spread_ckpt")).awaitTermination()
+    scored = spark.read.parquet(sink)
+    assert scored.select(F.input_file_name()).distinct().count() == spark.sparkContext.defaultParallelism
+    assert scored.count() == encounters(spark, SF).count()
+
+
 def test_training_parts_follow_the_rows(spark):
     assert [M.training_parts(n, 100) for n in (0, 1, 100, 101, 12_345)] == [1, 1, 1, 2, 124]
     rows = spark.range(1000).select(F.col("id").cast("int").alias(M.LABEL), F.array(F.col("id").cast("double")).alias("x"))

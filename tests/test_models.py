@@ -110,6 +110,22 @@ def test_attributions_are_shapley_values(spark, boosted):
             assert got[row, f] == pytest.approx(want, abs=1e-10)
 
 
+def test_rows_of_one_part_are_explained_by_several_tasks(parts, boosted, monkeypatch):
+    monkeypatch.setattr(T, "ROWS_PER_TASK", 25)
+    rows = boosted.transform(parts[1]).coalesce(1)
+    explained = T.tree_attributions(boosted.trees, rows, M.ID)
+    assert explained.rdd.getNumPartitions() == -(-rows.count() // 25) > 1
+    assert explained.count() == rows.count()
+
+
+def test_listed_patterns_give_the_same_contributions(spark, parts, boosted, monkeypatch):
+    trees, weights = T.read_trees(boosted.trees, spark)
+    x = np.array([r["x"] for r in M.encode(boosted.encoder, parts[1]).select(vector_to_array("features").alias("x")).collect()])
+    listed = T.attribute_rows(trees, weights, x)
+    monkeypatch.setattr(T, "LISTED", 0)
+    assert np.array_equal(listed, T.attribute_rows(trees, weights, x))
+
+
 def test_importance_and_curve(spark, parts, boosted):
     top = M.feature_importance(boosted, spark, top=5).collect()
     assert len(top) == 5 and top[0]["importance"] >= top[-1]["importance"]

@@ -4,6 +4,7 @@ import subprocess
 import sys
 from itertools import combinations
 from math import factorial
+from threading import Barrier
 
 import numpy as np
 import pytest
@@ -14,6 +15,7 @@ from wardstone.operators import evaluate as V
 from wardstone.operators import models as M
 from wardstone.operators import trees as T
 from wardstone.operators.features import ORDINAL
+from wardstone.plans import modelling as P
 from wardstone.plans.tables import first_encounters
 from wardstone.session import scratch_path
 from wardstone.sources.orders_fixture import encounter_stream, encounters
@@ -187,6 +189,7 @@ def test_copies_of_one_row_spread_over_the_parts(spark):
 _FIT = """
 import sys
 from wardstone.operators import models as M
+from wardstone.plans import modelling as P
 from wardstone.plans.tables import first_encounters
 from wardstone.session import build_session
 
@@ -228,3 +231,12 @@ def test_large_folds_are_fitted_fewer_at_a_time():
     assert [M.folds_at_once(n, 5, 5, "weight") for n in (0, 455_529, 4_555_290, 27_331_740)] == [5, 5, 2, 1]
     assert M.folds_at_once(1_000_000, 5, 5, "smote") == 5 and M.folds_at_once(2_000_000, 5, 5, "smote") == 2
     assert M.folds_at_once(1_000, 5, 2, "weight") == 2
+
+
+def test_both_models_are_fitted_side_by_side(spark, monkeypatch):
+    together = Barrier(2, timeout=60)
+    for name in ("_boosted", "_logistic"):
+        monkeypatch.setattr(P, name, lambda spark, sf, name=name: (together.wait(), name)[1])
+    monkeypatch.setattr(P, "_balanced", lambda spark, sf: spark.range(10))
+    assert P._fitted(spark, SF) == ["_boosted", "_logistic"]
+    assert [M.fits_at_once(n, 2) for n in (0, 808_046, 4_000_000, 4_000_001, 8_080_460)] == [2, 2, 2, 1, 1]

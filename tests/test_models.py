@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from wardstone.operators import evaluate as V
 from wardstone.operators import models as M
@@ -227,6 +228,17 @@ def test_a_fit_passes_over_dozens_of_parts(spark, monkeypatch):
     assert M.dealt(rows).rdd.getNumPartitions() == 12 and M.dealt(rows).count() == 30_000
 
 
+def test_rows_of_a_fit_stream_from_where_they_are_kept(parts, monkeypatch):
+    """A serialized level with memory reads a part's rows back as one array; with parts of 340,000 rows executors ran out of heap."""
+    levels, persist = [], DataFrame.persist
+    monkeypatch.setattr(DataFrame, "persist", lambda df, level: levels.append(level) or persist(df, level))
+    train = M.encode(M.X.fit_encoder(parts[0]), parts[0])
+    levels.clear()
+    M.logistic_cv(train, folds=2, max_iter=2, balance="weight")
+    M.fit_boosting(train, M.BoostingParams(trees=1, depth=1), balance="weight")
+    assert len(levels) == 4 and not [v for v in levels if v.useMemory and not v.deserialized]
+
+
 def test_large_folds_are_fitted_fewer_at_a_time():
     assert [M.folds_at_once(n, 5, 5, "weight") for n in (0, 455_529, 4_555_290, 27_331_740)] == [5, 5, 2, 1]
     assert M.folds_at_once(1_000_000, 5, 5, "smote") == 5 and M.folds_at_once(2_000_000, 5, 5, "smote") == 2
